@@ -8,6 +8,7 @@ at (aircraft, month, reporter) grain. A stored warehouse stages these two.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -87,24 +88,43 @@ def aircrafts(lookup: DataFrame) -> DataFrame:
     return lookup.select("registration", "model", "manufacturer").dropDuplicates()
 
 
+@dataclass(frozen=True)
+class Grains:
+    """The two frames everything else is derived from."""
+
+    usage: DataFrame  # per aircraft and day
+    report_counts: DataFrame  # per aircraft, month and reporter, foreign aircraft included
+
+
+def grains(sources: dict[str, DataFrame], apply_business_rules: bool = True, stage: Stage | None = None) -> Grains:
+    """``stage`` stores both frames, so that the sources are read once."""
+    stage = stage or (lambda df, name: df)
+    return Grains(
+        stage(usage(sources, apply_business_rules), "usage_by_day"),
+        stage(reports.count_reports(sources["reports"]), "report_counts"),
+    )
+
+
+def tables(grains: Grains, lookup: DataFrame, personnel: DataFrame) -> dict[str, DataFrame]:
+    """The seven tables in load order."""
+    kept = reports.of_known_aircraft(grains.report_counts, lookup)
+    return {
+        "days": days(grains.usage),
+        "months": months(grains.usage, kept),
+        "aircrafts": aircrafts(lookup),
+        "reporteurs": reports.reporters(personnel, kept),
+        "daily_usage": daily_usage(grains.usage),
+        "monthly_usage": monthly_usage(grains.usage),
+        "reportage_usage": reportage_usage(kept),
+    }
+
+
 def transform(
     sources: dict[str, DataFrame], apply_business_rules: bool = True, stage: Stage | None = None
 ) -> dict[str, DataFrame]:
-    """The seven tables in load order.
+    """Sources to tables.
 
     The rules toggle covers BR-21 and BR-23; reports on foreign aircraft are
-    left out either way. ``stage`` stores the two shared frames, so that the
-    sources are read once.
+    left out either way.
     """
-    stage = stage or (lambda df, name: df)
-    by_day = stage(usage(sources, apply_business_rules), "usage_by_day")
-    kept = stage(reports.of_known_aircraft(reports.count_reports(sources["reports"]), sources["aircrafts"]), "reports")
-    return {
-        "days": days(by_day),
-        "months": months(by_day, kept),
-        "aircrafts": aircrafts(sources["aircrafts"]),
-        "reporteurs": reports.reporters(sources["personnel"], kept),
-        "daily_usage": daily_usage(by_day),
-        "monthly_usage": monthly_usage(by_day),
-        "reportage_usage": reportage_usage(kept),
-    }
+    return tables(grains(sources, apply_business_rules, stage), sources["aircrafts"], sources["personnel"])

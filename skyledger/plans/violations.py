@@ -28,12 +28,29 @@ def event_decisions(sources: dict[str, DataFrame]) -> DataFrame:
     return overlap.event_decisions(overlap.activity_events(flights, maintenance), keyed)
 
 
-def rule_violations(sources: dict[str, DataFrame]) -> DataFrame:
+def foreign_report_cases(sources: dict[str, DataFrame]) -> DataFrame:
+    return reports.of_foreign_aircraft(sources["reports"], sources["aircrafts"], "aircraftregistration").select(
+        F.lit(FOREIGN).alias("rule_id"),
+        F.col("aircraftregistration").alias("registration"),
+        t.day_id(F.col("reportingdate")).alias("day_id"),
+        F.lit("report").alias("source"),
+        F.lit(None).cast(_SLOT).alias("slot"),
+        F.lit(None).cast(f"array<{_SLOT}>").alias("existing_slots"),
+        t.wall_clock(F.col("reportingdate")).alias("ts"),
+        F.lit(1).cast("long").alias("cases"),
+    )
+
+
+def rule_violations(sources: dict[str, DataFrame], apply_business_rules: bool = True) -> DataFrame:
     """Every hit of a rule, with the slots already taken for BR-21.
 
     ``cases`` counts events alike in every column; it is 1 where the sources
-    carry a unique row key, and for reports.
+    carry a unique row key, and for reports. With the rules off only reports on
+    foreign aircraft are left.
     """
+    foreign = foreign_report_cases(sources)
+    if not apply_business_rules:
+        return foreign
     decided = event_decisions(sources)
     event_columns = [
         "registration",
@@ -55,16 +72,6 @@ def rule_violations(sources: dict[str, DataFrame]) -> DataFrame:
         F.col("began").alias("ts"),
         F.col("accepted").alias("cases"),
     )
-    foreign = reports.of_foreign_aircraft(sources["reports"], sources["aircrafts"], "aircraftregistration").select(
-        F.lit(FOREIGN).alias("rule_id"),
-        F.col("aircraftregistration").alias("registration"),
-        t.day_id(F.col("reportingdate")).alias("day_id"),
-        F.lit("report").alias("source"),
-        F.lit(None).cast(_SLOT).alias("slot"),
-        F.lit(None).cast(f"array<{_SLOT}>").alias("existing_slots"),
-        t.wall_clock(F.col("reportingdate")).alias("ts"),
-        F.lit(1).cast("long").alias("cases"),
-    )
     return rejected.unionByName(swapped).unionByName(foreign)
 
 
