@@ -37,7 +37,9 @@ def round_double(x: Column, digits: int) -> Column:
     scale = F.lit(float(10**digits))
     y = F.abs(x) * scale
     whole = F.floor(y).cast("double")
-    return F.signum(x) * (whole + F.when(y - whole >= 0.5, 1.0).otherwise(0.0)) / scale
+    rounded = F.signum(x) * (whole + F.when(y - whole >= 0.5, 1.0).otherwise(0.0)) / scale
+    # From 2^52 on a double holds no fraction, and floor would leave BIGINT.
+    return F.when(y < float(2**52), rounded).otherwise(x)
 
 
 def _integer(x: Column) -> Column:
@@ -50,8 +52,11 @@ def rounded_units(num: Column, den: Column, digits: int) -> Column:
     ``num`` and ``den`` hold integers. The arithmetic is exact.
     """
     n, d = _integer(num), _integer(den)
-    twice_n = F.abs(n) * F.lit(2 * 10**digits)
-    magnitude = F.call_function("div", _integer(twice_n + F.abs(d)), F.nullif(_integer(F.abs(d) * 2), F.lit(0)))
+    dividend = _integer(F.abs(n) * F.lit(2 * 10**digits) + F.abs(d))
+    divisor = F.nullif(_integer(F.abs(d) * 2), F.lit(0))
+    # Dividing what is left without the remainder is exact; ``div`` is no way
+    # out, as it wraps around beyond BIGINT without an error.
+    magnitude = _integer((dividend - dividend % divisor) / divisor)
     negative = (n < 0) != (d < 0)
     return F.when(negative, -magnitude).otherwise(magnitude)
 

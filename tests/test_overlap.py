@@ -1,0 +1,185 @@
+"""BR-21 and BR-23 against a plain walk over the events in order."""
+
+import datetime as dt
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger.operators import overlap as o
+from skyledger.plans import transform as tr
+from skyledger.plans import violations
+from tests_support import walk
+
+DAY = dt.datetime(2024, 1, 5)
+
+
+def hours(h, m=0):
+    return (DAY + dt.timedelta(hours=h, minutes=m)).isoformat()
+
+
+def flight(dep, arr, reg="A", cancelled=False, sched=None):
+    sched = hours(0) if sched is None else sched
+    return (reg, sched, sched, dep and hours(*dep), arr and hours(*arr), cancelled)
+
+
+def service(start, end, reg="A", programmed=True):
+    return (reg, hours(*start), hours(*end), programmed)
+
+
+def decide(make, flights, services=()):
+    sources = {"flights": make.flights(flights), "maintenance": make.maintenance(list(services))}
+    rows = violations.event_decisions(sources).collect()
+    return {(r.activity, r.row_key): r.accepted == 1 for r in rows}
+
+
+def slots_of(make, *flights):
+    got = decide(make, flights)
+    return [got.get((o.FLIGHT, i)) for i in range(len(flights))]
+
+
+def test_touching_slots_do_not_overlap(make):
+    assert slots_of(make, flight((8, 0), (10, 0)), flight((10, 30), (12, 0))) == [True, True]
+
+
+def test_a_rejected_slot_blocks_nothing(make):
+    got = slots_of(make, flight((8, 0), (10, 0)), flight((9, 0), (11, 0)), flight((10, 0), (12, 0)))
+    assert got == [True, False, True]
+
+
+def test_order_is_by_actual_departure(make):
+    assert slots_of(make, flight((9, 0), (11, 0)), flight((8, 0), (10, 0))) == [False, True]
+
+
+def test_zero_length_slots(make):
+    # (9, 9) lies strictly inside (8, 10) but only touches (9, 10).
+    assert slots_of(make, flight((8, 0), (10, 0)), flight((9, 0), (9, 30))) == [True, False]
+    assert slots_of(make, flight((9, 0), (9, 30)), flight((9, 10), (10, 0))) == [True, True]
+    assert slots_of(make, *[flight((9, m), (9, m + 5)) for m in range(5)]) == [True] * 5
+
+
+def test_flights_over_midnight_conflict_with_nothing(make):
+    assert slots_of(make, flight((0, 0), (23, 0)), flight((23, 0), (25, 0)), flight((23, 5), (25, 0))) == [True] * 3
+
+
+def test_swapped_flights_keep_their_inverted_slot(make):
+    # Tested as (12, 9): inside (8, 13), but clear of (9, 12).
+    assert slots_of(make, flight((8, 0), (13, 0)), flight((12, 0), (9, 0))) == [True, False]
+    assert slots_of(make, flight((9, 0), (12, 0)), flight((12, 0), (9, 0))) == [True, True]
+
+
+def test_cancelled_flights_take_no_slot(make):
+    flights = [flight((8, 0), (10, 0), cancelled=True), flight((8, 0), None), flight((8, 30), (10, 0), cancelled=None)]
+    assert slots_of(make, *flights) == [None, None, True]
+
+
+def test_maintenance_comes_after_flights(make):
+    got = decide(make, [flight((9, 0), (11, 0))], [service((8, 0), (10, 0)), service((11, 0), (12, 0))])
+    assert got == {(0, 0): True, (1, 0): False, (1, 1): True}
+
+
+def test_group_is_the_scheduled_day(make):
+    other = (DAY + dt.timedelta(days=1)).isoformat()
+    assert slots_of(make, flight((8, 0), (10, 0)), flight((8, 0), (10, 0), sched=other)) == [True, True]
+    assert slots_of(make, flight((8, 0), (10, 0)), flight((8, 0), (10, 0), reg="B")) == [True, True]
+
+
+def random_events(rng, size, groups, hot_share=0.0):
+    flights, services = [], []
+    for _ in range(size):
+        reg = "HOT" if rng.random() < hot_share else f"R{rng.randrange(groups)}"
+        start = rng.randrange(0, 24 * 60)
+        length = rng.choice([-180, -60, 0, 10, 30, 60, 120, 300, 700])
+        minutes = lambda m: (DAY + dt.timedelta(minutes=m)).isoformat()
+        if rng.random() < 0.6:
+            dep = None if rng.random() < 0.05 else minutes(start)
+            flights.append((reg, hours(rng.randrange(24)), hours(23), dep, minutes(start + length), rng.choice([True, False, False, None])))
+        else:
+            services.append((reg, minutes(start), minutes(start + abs(length)), rng.choice([True, False, None])))
+    return flights, services
+
+
+@pytest.mark.parametrize("seed,size,groups,hot", [(1, 400, 40, 0.0), (2, 600, 3, 0.0), (3, 3000, 50, 0.4)])
+def test_equals_a_walk_in_order(make, seed, size, groups, hot):
+    flights, services = random_events(random.Random(seed), size, groups, hot)
+    expected = walk(flights, services)
+    assert decide(make, flights, services) == {key: bool(ok) for key, (ok, _) in expected.items()}
+
+
+def test_taken_slots_at_each_rejection(make):
+    flights, services = random_events(random.Random(5), 500, 10)
+    sources = {"flights": make.flights(flights), "maintenance": make.maintenance(services)}
+    expected = walk(flights, services)
+    for r in violations.event_decisions(sources).where("accepted = 0").collect():
+        assert [tuple(s) for s in r.existing_slots] == expected[(r.activity, r.row_key)][1]
+
+
+def usage_rows(sources, rules=True):
+    return sorted(tuple(r) for r in tr.usage(sources, rules).collect())
+
+
+def test_measures_equal_a_walk_in_order(make):
+    flights, services = random_events(random.Random(7), 2500, 40, 0.35)
+    sources = {"flights": make.flights(flights), "maintenance": make.maintenance(services)}
+    decided = walk(flights, services)
+    parse = dt.datetime.fromisoformat
+    sums = defaultdict(Counter)
+    for i, (reg, sched, _, dep, arr, cancelled) in enumerate(flights):
+        sums[reg]["flights"] += 1
+        if cancelled or dep is None:
+            sums[reg]["cancellations"] += 1
+        elif decided[(0, i)][0]:
+            first, last = sorted((parse(dep), parse(arr)))
+            late = (first - parse(sched)).total_seconds()
+            sums[reg].update(
+                flight_s=(last - first).total_seconds(), take_offs=1, swapped=parse(arr) < parse(dep),
+                delays=late > 900, delay_s=late if late > 900 else 0,
+            )
+    for i, (reg, start, end, programmed) in enumerate(services):
+        sums[reg]["services"] += 1
+        if decided[(1, i)][0]:
+            name = "programmed_s" if programmed else "unprogrammed_s"
+            sums[reg].update({name: (parse(end) - parse(start)).total_seconds(), "maintenances": 1})
+    for row in tr.usage(sources).collect():
+        got = {k: float(v) for k, v in row.asDict().items() if k not in ("registration", "month", "day")}
+        assert got == {k: float(sums[row.registration][k]) for k in got}, row.registration
+
+
+def test_result_does_not_depend_on_partitions_or_order(make):
+    flights, services = random_events(random.Random(8), 800, 8)
+    sources = {"flights": make.flights(flights), "maintenance": make.maintenance(services)}
+    shuffled = {k: df.orderBy(F.rand(1)).repartition(7) for k, df in sources.items()}
+    single = {k: df.coalesce(1) for k, df in sources.items()}
+    assert usage_rows(sources) == usage_rows(shuffled) == usage_rows(single)
+
+
+def test_without_row_key_equal_rows_are_counted(make):
+    copies = [flight((8, 0), (10, 0))] * 4 + [flight((8, 0), (10, 30))]
+    sources = {"flights": make.flights(copies, keyed=False), "maintenance": make.maintenance([], keyed=False)}
+    rows = violations.event_decisions(sources).orderBy("ended").collect()
+    assert [(r.events, r.accepted) for r in rows] == [(4, 1), (1, 0)]
+    sources |= {"reports": make.reports([]), "aircrafts": make.aircrafts([])}
+    hits = violations.rule_violations(sources).collect()
+    assert sorted(h.cases for h in hits) == [1, 3]
+    assert all([tuple(s) for s in h.existing_slots] == [(8, 10)] for h in hits)
+    assert tr.usage(sources).first().take_offs == 1
+
+
+def test_rules_off_keep_everything_as_it_is(make):
+    flights = [flight((8, 0), (10, 0)), flight((9, 0), (11, 0)), flight((12, 0), (10, 0)), flight((8, 0), None)]
+    sources = {"flights": make.flights(flights), "maintenance": make.maintenance([service((8, 0), (9, 0))])}
+    row = tr.usage(sources, apply_business_rules=False).first()
+    assert (row.take_offs, row.cancellations, row.flight_s, row.maintenances) == (3, 1, 2 * 3600, 1)
+    assert tr.usage(sources).first().flight_s == 2 * 3600 + 2 * 3600
+
+
+def test_accepted_slots_never_overlap(make):
+    flights, services = random_events(random.Random(9), 1500, 20)
+    sources = {"flights": make.flights(flights), "maintenance": make.maintenance(services)}
+    taken = defaultdict(list)
+    for r in violations.event_decisions(sources).where("accepted > 0").collect():
+        taken[(r.registration, r.day)].append((r.start_hour, r.end_hour))
+    for slots in taken.values():
+        for i, a in enumerate(slots):
+            assert not any(a[0] < b[1] and b[0] < a[1] for b in slots[i + 1:])
