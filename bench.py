@@ -48,8 +48,6 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session(os.environ.get("BENCH_CPUS", "8"))
     work = tempfile.mkdtemp(prefix="skyledger-bench-")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", f"{work}/shared")
     location = f"{work}/warehouse"
     sources = lambda: fixtures.sources(spark, folder)
 

@@ -6,7 +6,8 @@ Three kinds of rounding are in use and none may be swapped for another:
 * warehouse KPIs: IEEE doubles, rounded as ``round(x * 10^n) / 10^n``;
 * raw-table KPIs: exact ratios of integers, rounded half away from zero.
 
-A division by zero yields NULL.
+A division by zero yields NULL. The KPI rules take and return SQL text, so that
+a long formula is one expression.
 """
 
 from __future__ import annotations
@@ -24,48 +25,44 @@ def as_units(seconds: Column, seconds_per_unit: int, digits: int = 2) -> Column:
     return F.round(seconds / F.lit(seconds_per_unit), digits)
 
 
-def double_ratio(num: Column, den: Column) -> Column:
+def double_ratio(num: str, den: str) -> str:
     """IEEE division of any two numbers."""
-    return F.try_divide(num.cast("double"), den.cast("double"))
+    return f"try_divide(cast({num} as double), cast({den} as double))"
 
 
-def round_double(x: Column, digits: int) -> Column:
+def round_double(x: str, digits: int) -> str:
     """Round the binary value of a double, halves away from zero.
 
     Spark's ``round`` rounds the printed decimal instead (``1.005`` -> 1.01).
+    From 2^52 on a double holds no fraction, and ``floor`` would leave BIGINT.
     """
-    scale = F.lit(float(10**digits))
-    y = F.abs(x) * scale
-    whole = F.floor(y).cast("double")
-    rounded = F.signum(x) * (whole + F.when(y - whole >= 0.5, 1.0).otherwise(0.0)) / scale
-    # From 2^52 on a double holds no fraction, and floor would leave BIGINT.
-    return F.when(y < float(2**52), rounded).otherwise(x)
+    scale = f"{10**digits}.0D"
+    y = f"(abs({x}) * {scale})"
+    whole = f"(floor({y}) + if({y} - floor({y}) >= 0.5D, 1, 0))"
+    return f"case when {y} < {float(2**52)}D then signum({x}) * {whole} / {scale} else {x} end"
 
 
-def _integer(x: Column) -> Column:
-    return x.cast("decimal(38,0)")
-
-
-def rounded_units(num: Column, den: Column, digits: int) -> Column:
+def rounded_units(num: str, den: str, digits: int) -> str:
     """``num / den`` rounded half away from zero, as a count of ``10^-digits``.
 
-    ``num`` and ``den`` hold integers. The arithmetic is exact.
+    ``num`` and ``den`` hold integers and the arithmetic is exact. What is left
+    without the remainder divides evenly; ``div`` is no way out, as it wraps
+    around beyond BIGINT without an error.
     """
-    n, d = _integer(num), _integer(den)
-    dividend = _integer(F.abs(n) * F.lit(2 * 10**digits) + F.abs(d))
-    divisor = F.nullif(_integer(F.abs(d) * 2), F.lit(0))
-    # Dividing what is left without the remainder is exact; ``div`` is no way
-    # out, as it wraps around beyond BIGINT without an error.
-    magnitude = _integer((dividend - dividend % divisor) / divisor)
-    negative = (n < 0) != (d < 0)
-    return F.when(negative, -magnitude).otherwise(magnitude)
+    integer = lambda x: f"cast({x} as decimal(38,0))"
+    n, d = integer(num), integer(den)
+    signed = f"if({d} < 0, -{n}, {n})"
+    half = f"if({signed} < 0, -abs({d}), abs({d}))"
+    dividend = integer(f"{signed} * {2 * 10**digits} + {half}")
+    divisor = f"nullif({integer(f'abs({d}) * 2')}, 0)"
+    return integer(f"({dividend} - {dividend} % {divisor}) / {divisor}")
 
 
-def from_units(units: Column, digits: int) -> Column:
+def from_units(units: str, digits: int) -> str:
     """A count of ``10^-digits`` as a double."""
-    return units.cast("double") / F.lit(float(10**digits))
+    return f"cast({units} as double) / {10**digits}.0D"
 
 
-def micros(seconds: Column) -> Column:
+def micros(seconds: str) -> str:
     """Decimal seconds as a whole number of microseconds."""
-    return _integer(seconds * F.lit(1_000_000))
+    return f"cast({seconds} * 1000000 as decimal(38,0))"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.plans import transform as tr
 from skyledger.plans import violations
-from skyledger.plans.warehouse import LoadResult, Warehouse
+from skyledger.plans.warehouse import LoadResult, Warehouse, together
 from skyledger.sources import SourceConfig, read_sources
 from skyledger.sources.paths import Staging
 
@@ -22,12 +22,10 @@ class EtlReport:
 
 def _rows_read(grains: tr.Grains) -> dict[str, int]:
     """Source rows, from the staged frames: exact even if tasks were retried."""
-    count = lambda df, column: int(df.agg(F.coalesce(F.sum(column), F.lit(0))).first()[0])
-    return {
-        "flights": count(grains.usage, "flights"),
-        "maintenance": count(grains.usage, "services"),
-        "reports": count(grains.report_counts, "reps"),
-    }
+    total = lambda column: F.coalesce(F.sum(column), F.lit(0))
+    events = grains.usage.agg(total("flights"), total("services")).first()
+    reported = grains.report_counts.agg(total("reps")).first()
+    return {"flights": int(events[0]), "maintenance": int(events[1]), "reports": int(reported[0])}
 
 
 def run_etl_on(
@@ -44,16 +42,25 @@ def run_etl_on(
     ``rule_violations`` unless ``log_violations`` is off.
     """
     staging = Staging(spark)
+    lookup, personnel = sources["aircrafts"], sources["personnel"]
     try:
-        grains = tr.grains(sources, apply_business_rules, staging)
+        grains = tr.grains(sources, apply_business_rules)
+        usage, report_counts = together(
+            [lambda: staging(grains.usage, "usage"), lambda: staging(grains.report_counts, "report_counts")]
+        )
+        grains = tr.Grains(usage, report_counts)
         warehouse = Warehouse(spark, location, create=True)
-        loaded = warehouse.load(tr.tables(grains, sources["aircrafts"], sources["personnel"]), on_violation)
+        jobs = [
+            lambda: warehouse.load(tr.tables(grains, lookup, personnel), on_violation),
+            lambda: _rows_read(grains),
+        ]
         if apply_business_rules:
-            summary = violations.rule_summary(grains.usage, grains.report_counts, sources["aircrafts"])
-            warehouse.write_log(summary, "rule_summary")
+            summary = violations.rule_summary(usage, report_counts, lookup)
+            jobs.append(lambda: warehouse.write_log(summary, "rule_summary"))
         if log_violations:
-            warehouse.write_log(violations.rule_violations(sources, apply_business_rules), "rule_violations")
-        rows_read = _rows_read(grains)
+            hits = violations.rule_violations(sources, apply_business_rules)
+            jobs.append(lambda: warehouse.write_log(hits, "rule_violations"))
+        loaded, rows_read, *_ = together(jobs)
     finally:
         staging.close()
     return EtlReport(rows_read, loaded)

@@ -41,7 +41,7 @@ def _yearly_monthly(tables: Tables, fact: str, measures: list[str]) -> DataFrame
     return _per_manufacturer(tables[fact].join(_months(tables), "month_id"), tables, measures)
 
 
-def _ratio(num: Column, den: Column, digits: int) -> Column:
+def _ratio(num: str, den: str, digits: int) -> str:
     return round_double(double_ratio(num, den), digits)
 
 
@@ -56,37 +56,30 @@ def query_utilization(tables: Tables) -> DataFrame:
     """
     daily = _yearly_daily(tables, ["fh", "tos", "sto"], aircraft_count=True)
     monthly = _yearly_monthly(tables, "monthly_usage", ["ados", "adoss", "adosu", "adis", "dh", "dy", "cn"])
-    both = daily.join(monthly, GROUP)
-    c = F.col
-    per_aircraft = lambda m: _ratio(c(m), c("n_aircrafts"), 2).alias(m)
-    unreliable = double_ratio(c("dy") + c("cn"), c("sto"))
-    return _sorted(
-        both.select(
-            *GROUP,
-            *[per_aircraft(m) for m in ("fh", "tos", "adoss", "adosu", "ados", "adis")],
-            _ratio(c("fh"), c("adis") * 24, 2).alias("du"),
-            _ratio(c("tos"), c("adis"), 2).alias("dc"),
-            _ratio(c("dy") * 100, c("sto"), 2).alias("dyr"),
-            _ratio(c("cn") * 100, c("tos"), 2).alias("cnr"),
-            round_double(F.lit(100.0) * (F.lit(1.0) - unreliable), 2).alias("tdr"),
-            _ratio(c("dh") * 6000, c("dy"), 2).alias("add"),
-        ),
-        *GROUP,
-    )
-
-
-def _rates(reports: Column) -> list[Column]:
+    kpis = {m: _ratio(m, "n_aircrafts", 2) for m in ("fh", "tos", "adoss", "adosu", "ados", "adis")} | {
+        "du": _ratio("fh", "24 * adis", 2),
+        "dc": _ratio("tos", "adis", 2),
+        "dyr": _ratio("100 * dy", "sto", 2),
+        "cnr": _ratio("100 * cn", "tos", 2),
+        "tdr": round_double(f"(100D * (1D - {double_ratio('dy + cn', 'sto')}))", 2),
+        "add": _ratio("6000 * dh", "dy", 2),
+    }
+    grouped = _sorted(daily.join(monthly, GROUP), *GROUP)
+    return grouped.select(*GROUP, *[F.expr(kpi).alias(name) for name, kpi in kpis.items()])
+
+
+def _rates(reports: str) -> list[Column]:
     """Reports per 1000 flight hours and per 100 take-offs: rounded, then scaled."""
     return [
-        (_ratio(reports, F.col("fh"), 3) * 1000.0).alias("rrh"),
-        (_ratio(reports, F.col("tos"), 2) * 100.0).alias("rrc"),
+        F.expr(f"1000D * {_ratio(reports, 'fh', 3)}").alias("rrh"),
+        F.expr(f"100D * {_ratio(reports, 'tos', 2)}").alias("rrc"),
     ]
 
 
 def query_reporting(tables: Tables) -> DataFrame:
     daily = _yearly_daily(tables, ["fh", "tos"])
     reported = _yearly_monthly(tables, "reportage_usage", ["reps"])
-    return _sorted(daily.join(reported, GROUP).select(*GROUP, *_rates(F.col("reps"))), *GROUP)
+    return _sorted(daily.join(reported, GROUP), *GROUP).select(*GROUP, *_rates("reps"))
 
 
 def query_reporting_per_role(tables: Tables) -> DataFrame:
@@ -97,8 +90,6 @@ def query_reporting_per_role(tables: Tables) -> DataFrame:
     """
     daily = _yearly_daily(tables, ["fh", "tos"])
     reported = _yearly_monthly(tables, "reportage_usage", ["mareps", "pireps"])
-    role = lambda name, column: F.struct(F.lit(name).alias("role"), F.col(column).alias("reports"))
-    long_form = daily.join(reported, GROUP).select(
-        *GROUP, "fh", "tos", F.inline(F.array(role(MAREP, "mareps"), role(PIREP, "pireps")))
-    )
-    return _sorted(long_form.select(*GROUP, "role", *_rates(F.col("reports"))), *GROUP, "role")
+    per_role = F.expr(f"stack(2, '{MAREP}', mareps, '{PIREP}', pireps) as (role, reports)")
+    long_form = daily.join(reported, GROUP).select(*GROUP, "fh", "tos", per_role)
+    return _sorted(long_form, *GROUP, "role").select(*GROUP, "role", *_rates("reports"))

@@ -57,10 +57,13 @@ def _flight_seconds() -> Column:
     return t.seconds_between(F.col("actualdeparture"), F.col("actualarrival"))
 
 
-def _zero_filled(total: Column, rows: Column, flown: Column) -> Column:
-    """A sum in which rows that are no flown flight count zero: NULL only where
-    every row is a flown flight without times."""
-    return F.coalesce(total, F.when(rows > flown, F.lit(0)))
+# Rows that are no flown flight count zero hours: the sum is NULL only where
+# every row is a flown flight without times.
+FLIGHT_SECONDS_FILLED = "coalesce(flight_s, case when rows > cycles then 0 end)"
+
+
+def _expr(sql: str, name: str) -> Column:
+    return F.expr(sql).alias(name)
 
 
 def _utilization_rows(flights: DataFrame, maintenance: DataFrame) -> DataFrame:
@@ -101,44 +104,44 @@ def query_utilization_baseline(flights: DataFrame, maintenance: DataFrame, aircr
         .groupBy("registration", "year")
         .agg(*[F.sum(c).alias(c) for c in summed], F.count("*").alias("rows"))
     )
-    c = F.col
     total = (
         named_manufacturer(per_aircraft, aircrafts)
         .groupBy(*GROUP)
         .agg(*[F.sum(x).alias(x) for x in summed], F.sum("rows").alias("rows"), F.count("registration").alias("n"))
-        .select(
-            *GROUP,
-            "n",
-            "cycles",
-            "cancellations",
-            "delays",
-            micros(_zero_filled(c("flight_s"), c("rows"), c("cycles"))).alias("flight_us"),
-            *[micros(F.coalesce(c(f"{x}_s"), F.lit(0))).alias(f"{x}_us") for x in ("delay", "programmed", "unprogrammed")],
-        )
+        .orderBy(*GROUP)
     )
-    hundredths = total.select(
+    exact = total.select(
+        *GROUP,
+        "n",
+        "cycles",
+        "cancellations",
+        "delays",
+        _expr(micros(FLIGHT_SECONDS_FILLED), "flight_us"),
+        *[_expr(micros(f"coalesce({x}_s, 0)"), f"{x}_us") for x in ("delay", "programmed", "unprogrammed")],
+    )
+    hundredths = exact.select(
         *GROUP,
         "cycles",
         "cancellations",
         "delays",
         "delay_us",
-        rounded_units(c("flight_us"), c("n") * HOUR_US, 2).alias("fh"),
-        rounded_units(c("cycles"), c("n"), 2).alias("tos"),
-        rounded_units(c("programmed_us"), c("n") * DAY_US, 2).alias("adoss"),
-        rounded_units(c("unprogrammed_us"), c("n") * DAY_US, 2).alias("adosu"),
-        rounded_units(c("programmed_us") + c("unprogrammed_us"), c("n") * DAY_US, 2).alias("ados"),
-    ).withColumn("adis", F.lit(100 * DAYS_PER_YEAR) - c("ados"))
-    whole_percent = F.call_function("div", (c("delays") + c("cancellations")) * 100, F.nullif(c("cycles"), F.lit(0)))
+        _expr(rounded_units("flight_us", f"cast(n as decimal(20,0)) * {HOUR_US}", 2), "fh"),
+        _expr(rounded_units("cycles", "n", 2), "tos"),
+        _expr(rounded_units("programmed_us", f"cast(n as decimal(20,0)) * {DAY_US}", 2), "adoss"),
+        _expr(rounded_units("unprogrammed_us", f"cast(n as decimal(20,0)) * {DAY_US}", 2), "adosu"),
+        _expr(rounded_units("(programmed_us + unprogrammed_us)", f"cast(n as decimal(20,0)) * {DAY_US}", 2), "ados"),
+    ).withColumn("adis", F.expr(f"{100 * DAYS_PER_YEAR} - ados"))
     return hundredths.select(
         *GROUP,
-        *[from_units(c(m), 2).alias(m) for m in ("fh", "tos", "adoss", "adosu", "ados", "adis")],
-        from_units(rounded_units(c("fh"), c("adis") * 24, 2), 2).alias("du"),
-        from_units(rounded_units(c("tos"), c("adis"), 2), 2).alias("dc"),
-        from_units(rounded_units(c("delays"), c("cycles"), 4), 2).alias("dyr"),
-        from_units(rounded_units(c("cancellations"), c("cycles"), 4), 2).alias("cnr"),
-        (F.lit(100) - whole_percent).cast("double").alias("tdr"),
-        rounded_units(c("delay_us"), c("delays") * MINUTE_US, 2).cast("double").alias("add"),
-    ).orderBy(*GROUP)
+        *[_expr(from_units(m, 2), m) for m in ("fh", "tos", "adoss", "adosu", "ados", "adis")],
+        _expr(from_units(rounded_units("fh", "adis * 24", 2), 2), "du"),
+        _expr(from_units(rounded_units("tos", "adis", 2), 2), "dc"),
+        _expr(from_units(rounded_units("delays", "cycles", 4), 2), "dyr"),
+        _expr(from_units(rounded_units("cancellations", "cycles", 4), 2), "cnr"),
+        # Integers divide without a fraction here, so this is a whole number.
+        _expr("cast(100 - (100 * (delays + cancellations)) div nullif(cycles, 0) as double)", "tdr"),
+        _expr(f"cast({rounded_units('delay_us', f'cast(delays as decimal(20,0)) * {MINUTE_US}', 2)} as double)", "add"),
+    )
 
 
 def _flown_totals(flights: DataFrame, aircrafts: DataFrame) -> DataFrame:
@@ -150,12 +153,11 @@ def _flown_totals(flights: DataFrame, aircrafts: DataFrame) -> DataFrame:
             F.count("*").alias("rows"),
         )
     )
-    c = F.col
     return (
         named_manufacturer(per_aircraft, aircrafts)
         .groupBy(*GROUP)
         .agg(F.sum("flight_s").alias("flight_s"), F.sum("cycles").alias("cycles"), F.sum("rows").alias("rows"))
-        .select(*GROUP, micros(_zero_filled(c("flight_s"), c("rows"), c("cycles"))).alias("flight_us"), "cycles")
+        .select(*GROUP, _expr(micros(FLIGHT_SECONDS_FILLED), "flight_us"), "cycles")
     )
 
 
@@ -175,19 +177,18 @@ def _report_totals(reports: DataFrame, aircrafts: DataFrame, per_role: bool = Fa
 
 def _rates() -> list[Column]:
     """Rounded first, then scaled: whole numbers."""
-    counter, flight_us, cycles = F.col("counter"), F.col("flight_us"), F.col("cycles")
-    per_hour = rounded_units(counter.cast("decimal(28,0)") * HOUR_US, flight_us, 3)
+    per_hour = rounded_units(f"(cast(counter as decimal(24,0)) * {HOUR_US})", "flight_us", 3)
     return [
-        per_hour.cast("double").alias("rrh"),
-        rounded_units(counter, cycles, 2).cast("double").alias("rrc"),
+        _expr(f"cast({per_hour} as double)", "rrh"),
+        _expr(f"cast({rounded_units('counter', 'cycles', 2)} as double)", "rrc"),
     ]
 
 
 def query_reporting_baseline(flights: DataFrame, reports: DataFrame, aircrafts: DataFrame) -> DataFrame:
     joined = _report_totals(reports, aircrafts).join(_flown_totals(flights, aircrafts), GROUP)
-    return joined.select(*GROUP, *_rates()).orderBy(*GROUP)
+    return joined.orderBy(*GROUP).select(*GROUP, *_rates())
 
 
 def query_reporting_per_role_baseline(flights: DataFrame, reports: DataFrame, aircrafts: DataFrame) -> DataFrame:
     joined = _report_totals(reports, aircrafts, per_role=True).join(_flown_totals(flights, aircrafts), GROUP)
-    return joined.select(*GROUP, "role", *_rates()).orderBy(*GROUP, F.col("role").asc_nulls_last())
+    return joined.orderBy(*GROUP, F.col("role").asc_nulls_last()).select(*GROUP, "role", *_rates())

@@ -8,19 +8,29 @@ dropped, and a load never claims more than it wrote.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.schemas import DIMENSIONS, FACTS, TABLES, Table
-from skyledger.sources.paths import exists
+from skyledger.sources.paths import delete, exists
+
+R = TypeVar("R")
 
 REASONS = "reasons"
 AS_GIVEN = "as_given"  # the row before it was made to fit
 
 
+REJECTS = T.StructType(
+    [T.StructField("row", T.StringType()), T.StructField(REASONS, T.ArrayType(T.StringType()))]
+)
+
+
 class ConstraintViolation(ValueError):
     """Rows break a key or type constraint and the load was told to fail."""
 
@@ -54,7 +64,16 @@ def orphans(fact: DataFrame, dimension: DataFrame, column: str, key: str) -> Dat
     return fact.where(F.col(column).isNotNull()).join(keys, F.col(column) == F.col("_key"), "left_anti")
 
 
-def _fitted(df: DataFrame, table: Table) -> DataFrame:
+@dataclass(frozen=True)
+class Checked:
+    """Rows of one table with ``reasons``; ``broken`` is set up apart, as it is
+    needed only if there is something to set aside."""
+
+    rows: DataFrame
+    broken: DataFrame
+
+
+def _fitted(df: DataFrame, table: Table, keep: Sequence[str] = ()) -> DataFrame:
     """Columns with declared types; values that do not fit become a reason."""
     fitted = [F.col(f.name).try_cast(f.dataType) for f in table.schema.fields]
     misfit = [
@@ -64,9 +83,8 @@ def _fitted(df: DataFrame, table: Table) -> DataFrame:
     ]
     return df.select(
         *[value.alias(f.name) for f, value in zip(table.schema.fields, fitted)],
-        F.array_compact(F.array(*misfit)).cast("array<string>").alias(REASONS)
-        if misfit
-        else F.array().cast("array<string>").alias(REASONS),
+        *keep,
+        F.array_compact(F.array(*misfit)).cast("array<string>").alias(REASONS),
         F.struct(*table.columns).alias(AS_GIVEN),
     )
 
@@ -75,34 +93,60 @@ def _add_reason(condition: Column, reason: str) -> Column:
     return F.when(condition, F.array_append(REASONS, F.lit(reason))).otherwise(F.col(REASONS))
 
 
-def check_dimension(df: DataFrame, table: Table) -> DataFrame:
-    """All copies of a key held more than once are rejected: which of them to
-    keep would depend on row order. Rows alike in every column are one row."""
+def _broken(rows: DataFrame) -> DataFrame:
+    return rows.where(F.size(REASONS) > 0).select(F.to_json(AS_GIVEN).alias("row"), REASONS)
+
+
+def check_dimension(df: DataFrame, table: Table) -> Checked:
+    """All rows that share a key are rejected, unless they are alike: which of
+    them to keep would depend on row order.
+
+    One combined aggregate finds the sound rows: a key is sound if its least
+    and its greatest row are the same.
+    """
     key = table.primary_key
-    rows = df.select(*table.columns).dropDuplicates()
-    repeated = (
-        rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).where("_n > 1")
+    row = F.struct(*table.columns)
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(F.min(row).alias("_least"), F.max(row).alias("_greatest"))
+    repeated = F.col("_least") != F.col("_greatest")
+
+    def marked(rows: DataFrame, is_repeated: str) -> DataFrame:
+        fitted = _fitted(rows, table, keep=[is_repeated])
+        null_key = F.col(key).isNull()
+        fitted = fitted.withColumn(REASONS, _add_reason(F.col(is_repeated) & ~null_key, f"duplicate_key:{key}"))
+        return fitted.withColumn(REASONS, _add_reason(null_key, f"null_key:{key}")).drop(is_repeated)
+
+    rivals = per_key.where(repeated).select("_key", F.lit(True).alias("_rival"))
+    copies = (
+        df.select(*table.columns)
+        .dropDuplicates()
+        .join(rivals, F.col(key) == F.col("_key"), "left")
+        .withColumn("_repeated", F.coalesce("_rival", F.lit(False)))
     )
-    checked = _fitted(rows, table).join(repeated, F.col(key) == F.col("_key"), "left")
-    return (
-        checked.withColumn(REASONS, _add_reason(F.col("_n").isNotNull(), f"duplicate_key:{key}"))
-        .withColumn(REASONS, _add_reason(F.col(key).isNull(), f"null_key:{key}"))
-        .drop("_key", "_n")
+    return Checked(
+        marked(per_key.select("_least.*", repeated.alias("_repeated")), "_repeated"),
+        _broken(marked(copies, "_repeated")),
     )
 
 
-def check_fact(df: DataFrame, table: Table, dimensions: dict[str, DataFrame]) -> DataFrame:
+def check_fact(df: DataFrame, table: Table, dimensions: dict[str, DataFrame]) -> Checked:
     """Marks rows that miss a dimension row. A NULL reference passes."""
     checked = _fitted(df.select(*table.columns), table)
     for column, dimension in table.foreign_keys.items():
-        key = TABLES[dimension].primary_key
-        known = dimensions[dimension].select(F.col(key).alias("_key"))
+        known = dimensions[dimension].select(F.col(TABLES[dimension].primary_key).alias("_key"))
         checked = (
             checked.join(known, F.col(column) == F.col("_key"), "left")
             .withColumn(REASONS, _add_reason(F.col(column).isNotNull() & F.col("_key").isNull(), f"orphan:{column}"))
             .drop("_key")
         )
-    return checked
+    return Checked(checked, _broken(checked))
+
+
+def together(jobs: Iterable[Callable[[], R]]) -> list[R]:
+    """Runs independent Spark jobs side by side, so that small ones need not
+    wait for each other."""
+    jobs = list(jobs)
+    with ThreadPoolExecutor(max_workers=max(len(jobs), 1)) as pool:
+        return list(pool.map(lambda job: job(), jobs))
 
 
 class Warehouse:
@@ -121,18 +165,18 @@ class Warehouse:
     def _path(self, name: str) -> str:
         return f"{self.location}/{name}"
 
-    def _write(self, df: DataFrame, name: str) -> int:
-        observed = Observation()
-        df.observe(observed, F.count("*").alias("rows")).write.mode("overwrite").parquet(self._path(name))
-        return int(observed.get["rows"])
+    def _empty(self, schema: T.StructType) -> DataFrame:
+        return self.spark.createDataFrame([], schema)
 
     def restart(self) -> None:
         """Empties all tables, facts before dimensions."""
-        for name in (*FACTS, *DIMENSIONS):
-            self.spark.createDataFrame([], TABLES[name].schema).write.mode("overwrite").parquet(self._path(name))
-            self.spark.createDataFrame([], "row string, reasons array<string>").write.mode("overwrite").parquet(
-                self._path(f"{name}_rejects")
-            )
+        for group in (FACTS, DIMENSIONS):
+            together(lambda n=name: self._replace(self._empty(TABLES[n].schema), n) for name in group)
+            for name in group:
+                delete(self.spark, self._path(f"{name}_rejects"))
+
+    def _replace(self, df: DataFrame, name: str) -> None:
+        df.write.mode("overwrite").parquet(self._path(name))
 
     def table(self, name: str) -> DataFrame | None:
         """A stored table, or None for a name that is none."""
@@ -143,33 +187,52 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in TABLES}
 
-    def write_log(self, df: DataFrame, name: str) -> int:
+    def rejects(self, name: str) -> DataFrame:
+        """Rows of the last load that were set aside: the row as JSON, and why."""
+        path = self._path(f"{name}_rejects")
+        if not exists(self.spark, path):
+            return self._empty(REJECTS)
+        return self.spark.read.schema(REJECTS).parquet(path)
+
+    def write_log(self, df: DataFrame, name: str) -> None:
         """Replaces a table beside the star schema, such as the rule hits."""
-        return self._write(df, name)
+        self._replace(df, name)
 
-    def rejects(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self._path(f"{name}_rejects"))
+    def _store(self, table: Table, checked: Checked, on_violation: str) -> LoadResult:
+        if on_violation == "fail":
+            example = checked.broken.limit(1).collect()
+            if example:
+                raise ConstraintViolation(f"{table.name}: {example[0][REASONS]} in {example[0]['row']}")
+        observed = Observation()
+        sound = F.size(REASONS) == 0
+        counted = checked.rows.observe(
+            observed, F.count_if(sound).alias("written"), F.count_if(~sound).alias("broken")
+        )
+        self._replace(counted.where(sound).select(*table.columns), table.name)
+        counts = observed.get
+        rejects = f"{table.name}_rejects"
+        if not counts["broken"]:
+            delete(self.spark, self._path(rejects))
+            return LoadResult(table.name, counts["written"], 0)
+        lost = Observation()
+        self._replace(checked.broken.observe(lost, F.count("*").alias("rows")), rejects)
+        return LoadResult(table.name, counts["written"], lost.get["rows"])
 
     def load(self, frames: dict[str, DataFrame], on_violation: str = "quarantine") -> list[LoadResult]:
-        """Replaces all seven tables, dimensions first.
+        """Replaces all seven tables: the dimensions, then the facts.
 
         ``quarantine`` writes the sound rows and sets the others aside;
-        ``fail`` raises at the first table with a violation, before it is written.
+        ``fail`` raises on a violation before that table is written.
         """
         if on_violation not in ("quarantine", "fail"):
             raise ValueError(f"on_violation: {on_violation!r}")
-        results = []
-        for name, table in TABLES.items():
-            if table.primary_key:
-                checked = check_dimension(frames[name], table)
-            else:
-                stored = {d: self.table(d) for d in table.foreign_keys.values()}
-                checked = check_fact(frames[name], table, stored)
-            broken = checked.where(F.size(REASONS) > 0).select(F.to_json(AS_GIVEN).alias("row"), REASONS)
-            if on_violation == "fail":
-                example = broken.limit(1).collect()
-                if example:
-                    raise ConstraintViolation(f"{name}: {example[0]['reasons']} in {example[0]['row']}")
-            written = self._write(checked.where(F.size(REASONS) == 0).select(*table.columns), name)
-            results.append(LoadResult(name, written, self._write(broken, f"{name}_rejects")))
-        return results
+
+        def load_dimension(name: str) -> LoadResult:
+            return self._store(TABLES[name], check_dimension(frames[name], TABLES[name]), on_violation)
+
+        def load_fact(name: str) -> LoadResult:
+            stored = {d: self.table(d) for d in TABLES[name].foreign_keys.values()}
+            return self._store(TABLES[name], check_fact(frames[name], TABLES[name], stored), on_violation)
+
+        dimensions = together(lambda n=name: load_dimension(n) for name in DIMENSIONS)
+        return dimensions + together(lambda n=name: load_fact(n) for name in FACTS)

@@ -93,7 +93,7 @@ def test_round_double_equals_duckdb(spark):
     values = [1.005, 0.285, 1.015, 0.125, 0.135, -1.005, -0.125, 0.0, 2.5e15, 0.49999999999999994]
     values += [rng.uniform(-1000, 1000) for _ in range(20_000)] + [rng.randrange(-10**6, 10**6) / 1000 for _ in range(20_000)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
-    got = {r[0]: tuple(r)[1:] for r in df.select("i", *[n.round_double(F.col("x"), d) for d in (2, 3, 4)]).collect()}
+    got = {r[0]: tuple(r)[1:] for r in df.select("i", *[F.expr(n.round_double("x", d)).alias(f"r{d}") for d in (2, 3, 4)]).collect()}
     con = duckdb.connect()
     con.register("w", pd.DataFrame({"i": range(len(values)), "x": values}))
     for i, *expected in con.execute("SELECT i, round(x, 2), round(x, 3), round(x, 4) FROM w").fetchall():
@@ -105,8 +105,7 @@ def test_rounded_units_are_exact(spark):
     cases = [(1, 8), (-1, 8), (1005, 1000), (-1005, 1000), (5, -2), (0, 5), (10**24 + 1, 7), (1, 0), (0, 0)]
     cases += [(rng.randrange(-10**12, 10**12), rng.randrange(-10**4, 10**4)) for _ in range(500)]
     df = spark.createDataFrame([(str(a), str(b)) for a, b in cases], "a string, b string")
-    a, b = F.col("a").cast("decimal(38,0)"), F.col("b").cast("decimal(38,0)")
-    for (num, den), row in zip(cases, df.select(n.rounded_units(a, b, 2)).collect()):
+    for (num, den), row in zip(cases, df.select(F.expr(n.rounded_units("a", "b", 2))).collect()):
         if den == 0:
             assert row[0] is None
             continue
