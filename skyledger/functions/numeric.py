@@ -63,6 +63,6 @@ def from_units(units: str, digits: int) -> str:
     return f"cast({units} as double) / {10**digits}.0D"
 
 
-def micros(seconds: str) -> str:
-    """Decimal seconds as a whole number of microseconds."""
-    return f"cast({seconds} * 1000000 as decimal(38,0))"
+def micros(name: str) -> str:
+    """The summed parts of a duration as a whole number of microseconds."""
+    return f"(cast({name}_sec as decimal(25,0)) * 1000000 + {name}_us)"

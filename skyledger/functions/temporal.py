@@ -57,6 +57,27 @@ def seconds_between(start: Column, end: Column) -> Column:
     return (wall_clock(end) - wall_clock(start)).cast(SECONDS)
 
 
+def duration_parts(name: str, interval: str) -> dict[str, str]:
+    """A duration as two BIGINTs to be summed: whole seconds and microseconds.
+
+    Both have the sign of the duration. Sums of wide decimals rewrite a byte
+    array per row, and sums of microseconds alone leave BIGINT at 292 thousand
+    years, which a hot key reaches; these sums are cheap and exact up to nine
+    trillion rows.
+    """
+    return {
+        f"{name}_sec": f"cast({interval} as bigint)",
+        f"{name}_us": f"cast(extract(second from {interval}) * 1000000 as bigint) % 1000000",
+    }
+
+
+def seconds_of(name: str) -> Column:
+    """Exact seconds from the (summed) parts of a duration."""
+    return F.expr(
+        f"cast(cast({name}_sec as decimal(28,6)) + cast({name}_us as decimal(20,0)) * 0.000001BD as {SECONDS_SUM})"
+    )
+
+
 def day_columns(day: Column) -> list[Column]:
     """The columns of one ``days`` row."""
     return [day_id(day).alias("day_id"), F.dayofmonth(day).alias("day"), month_id(day).alias("month_id")]

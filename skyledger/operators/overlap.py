@@ -96,40 +96,32 @@ def activity_events(flights: DataFrame, maintenance: DataFrame) -> DataFrame:
 def _event_measures(prefix: str, swap: bool) -> dict[str, str]:
     """What one accepted event adds, as SQL; NULL where it adds nothing."""
     began, ended, planned = f"{prefix}began", f"{prefix}ended", f"{prefix}planned"
-    flight = f"{prefix}activity = {FLIGHT}"
-    programmed = f"{prefix}programmed"
+    flight, programmed = f"{prefix}activity = {FLIGHT}", f"{prefix}programmed"
     # BR-23 puts the two times in order before hours and delay are taken.
     start, end = (f"least({began}, {ended})", f"greatest({began}, {ended})") if swap else (began, ended)
-    delay = f"cast({start} - {planned} as {t.SECONDS})"
-    delayed = f"{flight} and {delay} > {P.DELAY_SECONDS}"
-    out = f"cast({ended} - {began} as {t.SECONDS})"
-    return {
-        "flight_s": f"case when {flight} then cast({end} - {start} as {t.SECONDS}) end",
+    delayed = f"{flight} and {start} - {planned} > interval {P.DELAY_SECONDS} seconds"
+    durations = {
+        "flight": f"case when {flight} then {end} - {start} end",
+        "delay": f"case when {delayed} then {start} - {planned} end",
+        "programmed": f"case when not {flight} and {programmed} then {ended} - {began} end",
+        "unprogrammed": f"case when not {flight} and not {programmed} then {ended} - {began} end",
+    }
+    measures = {
         "take_offs": f"case when {flight} then 1 end",
-        "delay_s": f"case when {delayed} then {delay} end",
         "delays": f"case when {delayed} then 1 end",
         "swapped": f"case when {flight} and {ended} < {began} then 1 end",
-        "programmed_s": f"case when not {flight} and {programmed} then {out} end",
-        "unprogrammed_s": f"case when not {flight} and not {programmed} then {out} end",
         "maintenances": f"case when not {flight} then 1 end",
     }
+    for name, interval in durations.items():
+        measures |= t.duration_parts(name, interval)
+    return measures
 
 
-MEASURES = {
-    "flight_s": t.SECONDS_SUM,
-    "take_offs": "bigint",
-    "delay_s": t.SECONDS_SUM,
-    "delays": "bigint",
-    "swapped": "bigint",
-    "programmed_s": t.SECONDS_SUM,
-    "unprogrammed_s": t.SECONDS_SUM,
-    "maintenances": "bigint",
-}
+MEASURES = tuple(_event_measures("", swap=True))  # all BIGINT
 
 
-def _summed(condition: str, amount: str, kind: str) -> Column:
-    """Sum where NULL adds nothing: rows without a measure cost no arithmetic."""
-    return F.expr(f"cast(coalesce(sum(case when {condition} then {amount} end), 0) as {kind})")
+def _summed(condition: str, amount: str) -> Column:
+    return F.expr(f"coalesce(sum(case when {condition} then {amount} end), 0)")
 
 
 def distinct_slots(events: DataFrame) -> DataFrame:
@@ -144,11 +136,7 @@ def distinct_slots(events: DataFrame) -> DataFrame:
         F.min(F.when(~F.col("cancelled"), F.struct(*EVENT))).alias("first"),
         F.count_if(F.col("activity") == FLIGHT).alias("flights"),
         F.count_if(F.col("activity") == MAINTENANCE).alias("services"),
-        # Guarded, so that the sums cost nothing for the ordinary slots.
-        *[
-            F.expr(f"cast(sum(case when start_hour >= end_hour then {measures[name]} end) as {kind})").alias(name)
-            for name, kind in MEASURES.items()
-        ],
+        *[_summed("start_hour >= end_hour", measures[name]).alias(name) for name in MEASURES],
     )
     return reduced.select(
         *GROUP,
@@ -237,10 +225,7 @@ def usage_by_day(events: DataFrame) -> DataFrame:
             F.sum("slot.flights").alias("flights"),
             F.sum("slot.services").alias("services"),
             F.expr("sum(case when slot.first is null then slot.flights else 0 end)").alias("cancellations"),
-            *[
-                _summed("accepted", adds.format(name=name, first=first[name]), kind).alias(name)
-                for name, kind in MEASURES.items()
-            ],
+            *[_summed("accepted", adds.format(name=name, first=first[name])).alias(name) for name in MEASURES],
         )
     )
 
@@ -255,10 +240,7 @@ def usage_by_day_unruled(events: DataFrame) -> DataFrame:
             F.count_if(F.col("activity") == FLIGHT).alias("flights"),
             F.count_if(F.col("activity") == MAINTENANCE).alias("services"),
             F.count_if("cancelled").alias("cancellations"),
-            *[
-                _summed("not cancelled", measures[name], kind).alias(name)
-                for name, kind in MEASURES.items()
-            ],
+            *[_summed("not cancelled", measures[name]).alias(name) for name in MEASURES],
         )
     )
 

@@ -49,17 +49,16 @@ def _year(ts: Column) -> Column:
     return F.year(ts).cast("string").alias("year")
 
 
-def _flown() -> Column:
-    return ~P.flagged(F.col("cancelled"))
-
-
-def _flight_seconds() -> Column:
-    return t.seconds_between(F.col("actualdeparture"), F.col("actualarrival"))
-
-
 # Rows that are no flown flight count zero hours: the sum is NULL only where
 # every row is a flown flight without times.
-FLIGHT_SECONDS_FILLED = "coalesce(flight_s, case when rows > cycles then 0 end)"
+FLIGHT_US_FILLED = f"coalesce({micros('flight')}, case when rows > cycles then 0 end)"
+
+_FLOWN = "not coalesce(cancelled, false)"
+_LATE = "actualarrival - scheduledarrival"
+_DELAYED = f"({_FLOWN} and coalesce({_LATE} > interval {P.DELAY_SECONDS} seconds, false))"
+_OUT = "scheduledarrival - scheduleddeparture"
+_PROGRAMMED = "coalesce(programmed, false)"
+_FLIGHT_PARTS = t.duration_parts("flight", f"case when {_FLOWN} then actualarrival - actualdeparture end")
 
 
 def _expr(sql: str, name: str) -> Column:
@@ -67,42 +66,32 @@ def _expr(sql: str, name: str) -> Column:
 
 
 def _utilization_rows(flights: DataFrame, maintenance: DataFrame) -> DataFrame:
-    delay = t.seconds_between(F.col("scheduledarrival"), F.col("actualarrival"))
-    delayed = _flown() & P.flagged(P.is_delayed(delay))
-    out = t.seconds_between(F.col("scheduleddeparture"), F.col("scheduledarrival"))
-    programmed = P.flagged(F.col("programmed"))
-    none, zero = F.lit(None).cast(t.SECONDS), F.lit(0)
-    flown_rows = flights.select(
-        F.col("aircraftregistration").alias("registration"),
-        _year(F.col("scheduleddeparture")),
-        F.when(_flown(), _flight_seconds()).alias("flight_s"),
-        _flown().cast("int").alias("cycles"),
-        (~_flown()).cast("int").alias("cancellations"),
-        delayed.cast("int").alias("delays"),
-        F.when(delayed, delay).alias("delay_s"),
-        none.alias("programmed_s"),
-        none.alias("unprogrammed_s"),
-    )
-    out_rows = maintenance.select(
-        F.col("aircraftregistration").alias("registration"),
-        _year(F.col("scheduleddeparture")),
-        none.alias("flight_s"),
-        zero.alias("cycles"),
-        zero.alias("cancellations"),
-        zero.alias("delays"),
-        none.alias("delay_s"),
-        F.when(programmed, out).alias("programmed_s"),
-        F.when(~programmed, out).alias("unprogrammed_s"),
-    )
+    """Flights and maintenance in one shape; what a row does not have is zero,
+    and a missing flight time stays missing."""
+    flown = {
+        **_FLIGHT_PARTS,
+        "cycles": f"cast({_FLOWN} as int)",
+        "cancellations": f"cast(not {_FLOWN} as int)",
+        "delays": f"cast({_DELAYED} as int)",
+        **t.duration_parts("delay", f"case when {_DELAYED} then {_LATE} end"),
+    }
+    out = {
+        **t.duration_parts("programmed", f"case when {_PROGRAMMED} then {_OUT} end"),
+        **t.duration_parts("unprogrammed", f"case when not {_PROGRAMMED} then {_OUT} end"),
+    }
+    keys = [F.col("aircraftregistration").alias("registration"), _year(F.col("scheduleddeparture"))]
+    none = "cast(null as bigint)"
+    flown_rows = flights.select(*keys, *[_expr(sql, name) for name, sql in (flown | dict.fromkeys(out, none)).items()])
+    absent = {name: none if name.startswith("flight_") else "0" for name in flown}
+    out_rows = maintenance.select(*keys, *[_expr(sql, name) for name, sql in (absent | out).items()])
     return flown_rows.unionByName(out_rows)
 
 
 def query_utilization_baseline(flights: DataFrame, maintenance: DataFrame, aircrafts: DataFrame) -> DataFrame:
-    summed = ["flight_s", "cycles", "cancellations", "delays", "delay_s", "programmed_s", "unprogrammed_s"]
-    per_aircraft = (
-        _utilization_rows(flights, maintenance)
-        .groupBy("registration", "year")
-        .agg(*[F.sum(c).alias(c) for c in summed], F.count("*").alias("rows"))
+    rows = _utilization_rows(flights, maintenance)
+    summed = [c for c in rows.columns if c not in ("registration", "year")]
+    per_aircraft = rows.groupBy("registration", "year").agg(
+        *[F.sum(c).alias(c) for c in summed], F.count("*").alias("rows")
     )
     total = (
         named_manufacturer(per_aircraft, aircrafts)
@@ -112,12 +101,12 @@ def query_utilization_baseline(flights: DataFrame, maintenance: DataFrame, aircr
     )
     exact = total.select(
         *GROUP,
-        "n",
         "cycles",
         "cancellations",
         "delays",
-        _expr(micros(FLIGHT_SECONDS_FILLED), "flight_us"),
-        *[_expr(micros(f"coalesce({x}_s, 0)"), f"{x}_us") for x in ("delay", "programmed", "unprogrammed")],
+        _expr("cast(n as decimal(20,0))", "n"),
+        _expr(FLIGHT_US_FILLED, "flight_us"),
+        *[_expr(f"coalesce({micros(x)}, 0)", f"{x}_us") for x in ("delay", "programmed", "unprogrammed")],
     )
     hundredths = exact.select(
         *GROUP,
@@ -125,11 +114,11 @@ def query_utilization_baseline(flights: DataFrame, maintenance: DataFrame, aircr
         "cancellations",
         "delays",
         "delay_us",
-        _expr(rounded_units("flight_us", f"cast(n as decimal(20,0)) * {HOUR_US}", 2), "fh"),
+        _expr(rounded_units("flight_us", f"n * {HOUR_US}", 2), "fh"),
         _expr(rounded_units("cycles", "n", 2), "tos"),
-        _expr(rounded_units("programmed_us", f"cast(n as decimal(20,0)) * {DAY_US}", 2), "adoss"),
-        _expr(rounded_units("unprogrammed_us", f"cast(n as decimal(20,0)) * {DAY_US}", 2), "adosu"),
-        _expr(rounded_units("(programmed_us + unprogrammed_us)", f"cast(n as decimal(20,0)) * {DAY_US}", 2), "ados"),
+        _expr(rounded_units("programmed_us", f"n * {DAY_US}", 2), "adoss"),
+        _expr(rounded_units("unprogrammed_us", f"n * {DAY_US}", 2), "adosu"),
+        _expr(rounded_units("(programmed_us + unprogrammed_us)", f"n * {DAY_US}", 2), "ados"),
     ).withColumn("adis", F.expr(f"{100 * DAYS_PER_YEAR} - ados"))
     return hundredths.select(
         *GROUP,
@@ -145,19 +134,19 @@ def query_utilization_baseline(flights: DataFrame, maintenance: DataFrame, aircr
 
 
 def _flown_totals(flights: DataFrame, aircrafts: DataFrame) -> DataFrame:
-    per_aircraft = (
-        flights.groupBy(F.col("aircraftregistration").alias("registration"), _year(F.col("scheduleddeparture")))
-        .agg(
-            F.sum(F.when(_flown(), _flight_seconds())).alias("flight_s"),
-            F.count_if(_flown()).alias("cycles"),
-            F.count("*").alias("rows"),
-        )
+    parts = list(_FLIGHT_PARTS)
+    per_aircraft = flights.groupBy(
+        F.col("aircraftregistration").alias("registration"), _year(F.col("scheduleddeparture"))
+    ).agg(
+        *[_expr(f"sum({sql})", name) for name, sql in _FLIGHT_PARTS.items()],
+        _expr(f"count_if({_FLOWN})", "cycles"),
+        F.count("*").alias("rows"),
     )
     return (
         named_manufacturer(per_aircraft, aircrafts)
         .groupBy(*GROUP)
-        .agg(F.sum("flight_s").alias("flight_s"), F.sum("cycles").alias("cycles"), F.sum("rows").alias("rows"))
-        .select(*GROUP, _expr(micros(FLIGHT_SECONDS_FILLED), "flight_us"), "cycles")
+        .agg(*[F.sum(c).alias(c) for c in (*parts, "cycles", "rows")])
+        .select(*GROUP, _expr(FLIGHT_US_FILLED, "flight_us"), "cycles")
     )
 
 

@@ -33,7 +33,7 @@ def daily_usage(usage: DataFrame) -> DataFrame:
     return usage.where("flights > 0").select(
         "registration",
         t.day_id(F.col("day")).alias("day_id"),
-        n.as_units(F.col("flight_s"), t.SECONDS_PER_HOUR).alias("fh"),
+        n.as_units(t.seconds_of("flight"), t.SECONDS_PER_HOUR).alias("fh"),
         F.col("take_offs").alias("tos"),
         (F.col("take_offs") + F.col("cancellations")).alias("sto"),
     )
@@ -47,19 +47,21 @@ def monthly_usage(usage: DataFrame) -> DataFrame:
         .agg(
             F.sum("delays").alias("dy"),
             F.sum("cancellations").alias("cn"),
-            F.sum("delay_s").alias("delay_s"),
-            F.sum("programmed_s").alias("programmed_s"),
-            F.sum("unprogrammed_s").alias("unprogrammed_s"),
+            *[
+                F.sum(f"{name}_{part}").alias(f"{name}_{part}")
+                for name in ("delay", "programmed", "unprogrammed")
+                for part in ("sec", "us")
+            ],
         )
     )
-    programmed, unprogrammed = F.col("programmed_s"), F.col("unprogrammed_s")
+    programmed, unprogrammed = t.seconds_of("programmed"), t.seconds_of("unprogrammed")
     out = programmed + unprogrammed
     return summed.select(
         "registration",
         t.month_id(F.col("month")).alias("month_id"),
         "dy",
         "cn",
-        n.as_units(F.col("delay_s"), t.SECONDS_PER_HOUR).alias("dh"),
+        n.as_units(t.seconds_of("delay"), t.SECONDS_PER_HOUR).alias("dh"),
         n.as_units(out, t.SECONDS_PER_DAY).alias("ados"),
         n.as_units(programmed, t.SECONDS_PER_DAY).alias("adoss"),
         n.as_units(unprogrammed, t.SECONDS_PER_DAY).alias("adosu"),

@@ -120,3 +120,22 @@ def test_units_round_half_away_from_zero(spark):
     for s, row in zip(seconds, df.select(n.as_units(F.col("s"), 3600)).collect()):
         exact = Decimal(str(s)) / 3600
         assert row[0] == exact.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+
+
+def test_summed_parts_of_durations(spark):
+    rng = random.Random(6)
+    start = dt.datetime(2024, 3, 9, 22)
+    spans = [rng.randrange(-10**13, 10**13) for _ in range(300)] + [0, 1, -1, 999_999, -1_000_000, -59_999_999]
+    df = spark.createDataFrame([(start, start + dt.timedelta(microseconds=us)) for us in spans], "a timestamp_ntz, b timestamp_ntz")
+    parts = t.duration_parts("x", "b - a")
+    each = df.select(*[F.expr(sql).alias(name) for name, sql in parts.items()])
+    assert [r.x_sec * 10**6 + r.x_us for r in each.collect()] == spans
+    total = each.agg(*[F.sum(name).alias(name) for name in parts])
+    got = total.select(t.seconds_of("x").alias("s"), F.expr(n.micros("x")).alias("us")).first()
+    assert got.us == sum(spans) and got.s == Decimal(sum(spans)).scaleb(-6)
+
+
+def test_sums_of_durations_do_not_overflow(spark):
+    df = spark.range(8).selectExpr("cast(9e17 as bigint) as x_sec", "cast(9e17 as bigint) as x_us")
+    total = df.agg(F.sum("x_sec").alias("x_sec"), F.sum("x_us").alias("x_us"))
+    assert total.select(F.expr(n.micros("x"))).first()[0] == 8 * (9 * 10**17 * 10**6 + 9 * 10**17)

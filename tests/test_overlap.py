@@ -133,13 +133,13 @@ def test_measures_equal_a_walk_in_order(make):
             first, last = sorted((parse(dep), parse(arr)))
             late = (first - parse(sched)).total_seconds()
             sums[reg].update(
-                flight_s=(last - first).total_seconds(), take_offs=1, swapped=parse(arr) < parse(dep),
-                delays=late > 900, delay_s=late if late > 900 else 0,
+                flight_sec=(last - first).total_seconds(), take_offs=1, swapped=parse(arr) < parse(dep),
+                delays=late > 900, delay_sec=late if late > 900 else 0,
             )
     for i, (reg, start, end, programmed) in enumerate(services):
         sums[reg]["services"] += 1
         if decided[(1, i)][0]:
-            name = "programmed_s" if programmed else "unprogrammed_s"
+            name = "programmed_sec" if programmed else "unprogrammed_sec"
             sums[reg].update({name: (parse(end) - parse(start)).total_seconds(), "maintenances": 1})
     for row in tr.usage(sources).collect():
         got = {k: float(v) for k, v in row.asDict().items() if k not in ("registration", "month", "day")}
@@ -170,8 +170,8 @@ def test_rules_off_keep_everything_as_it_is(make):
     flights = [flight((8, 0), (10, 0)), flight((9, 0), (11, 0)), flight((12, 0), (10, 0)), flight((8, 0), None)]
     sources = {"flights": make.flights(flights), "maintenance": make.maintenance([service((8, 0), (9, 0))])}
     row = tr.usage(sources, apply_business_rules=False).first()
-    assert (row.take_offs, row.cancellations, row.flight_s, row.maintenances) == (3, 1, 2 * 3600, 1)
-    assert tr.usage(sources).first().flight_s == 2 * 3600 + 2 * 3600
+    assert (row.take_offs, row.cancellations, row.flight_sec, row.maintenances) == (3, 1, 2 * 3600, 1)
+    assert tr.usage(sources).first().flight_sec == 2 * 3600 + 2 * 3600
 
 
 def test_accepted_slots_never_overlap(make):
