@@ -50,7 +50,7 @@ def overlaps_any(slot: Column, slots: Column) -> Column:
     """Whether ``slot`` overlaps any element of an array of slots."""
     return F.exists(
         slots,
-        lambda s: slots_overlap(slot["start_hour"], slot["end_hour"], s["start_hour"], s["end_hour"]),
+        lambda other: slots_overlap(slot["start_hour"], slot["end_hour"], other["start_hour"], other["end_hour"]),
     )
 
 
@@ -191,18 +191,10 @@ def _decided_slots(slots: DataFrame) -> DataFrame:
     firsts = F.col("slots.first")
     first_type = grouped.select(firsts.alias("f")).schema["f"].dataType
 
-    def clashes(event: Column, taken: Column) -> Column:
-        return F.exists(
-            taken,
-            lambda other: slots_overlap(
-                event["start_hour"], event["end_hour"], other["start_hour"], other["end_hour"]
-            ),
-        )
-
     taken = F.aggregate(
         F.array_sort(F.filter(firsts, lambda event: event.isNotNull())),
         F.array().cast(first_type),
-        lambda taken, event: F.when(clashes(event, taken), taken).otherwise(F.array_append(taken, event)),
+        lambda taken, event: F.when(overlaps_any(event, taken), taken).otherwise(F.array_append(taken, event)),
     )
     return (
         grouped.withColumn("taken", taken)

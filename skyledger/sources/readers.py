@@ -123,11 +123,15 @@ def read_personnel(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def project(df: DataFrame, schema: T.StructType, keep_key: bool = False) -> DataFrame:
-    """The used columns only, plus the row key where there is one."""
-    names = schema.fieldNames()
+    """The used columns only, times as wall-clock times, plus the row key where
+    there is one."""
+    columns = [
+        F.col(f.name).cast(f.dataType).alias(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name)
+        for f in schema.fields
+    ]
     if keep_key and schemas.ROW_KEY in df.columns:
-        names = [*names, schemas.ROW_KEY]
-    return df.select(*names)
+        columns.append(F.col(schemas.ROW_KEY))
+    return df.select(*columns)
 
 
 def read_sources(spark: SparkSession, config: SourceConfig) -> dict[str, DataFrame]:
