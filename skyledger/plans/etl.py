@@ -45,11 +45,14 @@ def run_etl_on(
     lookup, personnel = sources["aircrafts"], sources["personnel"]
     try:
         grains = tr.grains(sources, apply_business_rules)
-        usage, report_counts = together(
-            [lambda: staging(grains.usage, "usage"), lambda: staging(grains.report_counts, "report_counts")]
+        usage, report_counts, warehouse = together(
+            [
+                lambda: staging(grains.usage, "usage"),
+                lambda: staging(grains.report_counts, "report_counts"),
+                lambda: Warehouse(spark, location, create=True),
+            ]
         )
         grains = tr.Grains(usage, report_counts)
-        warehouse = Warehouse(spark, location, create=True)
         jobs = [
             lambda: warehouse.load(tr.tables(grains, lookup, personnel), on_violation),
             lambda: _rows_read(grains),

@@ -75,22 +75,23 @@ class Checked:
 
 def _fitted(df: DataFrame, table: Table, keep: Sequence[str] = ()) -> DataFrame:
     """Columns with declared types; values that do not fit become a reason."""
-    fitted = [F.col(f.name).try_cast(f.dataType) for f in table.schema.fields]
-    misfit = [
-        F.when(F.col(f.name).isNotNull() & value.isNull(), F.lit(f"out_of_range:{f.name}"))
-        for f, value in zip(table.schema.fields, fitted)
+    fields = table.schema.fields
+    fitted = {f.name: f"try_cast({f.name} as {f.dataType.simpleString()})" for f in fields}
+    misfit = ", ".join(
+        f"if({f.name} is not null and {fitted[f.name]} is null, 'out_of_range:{f.name}', null)"
+        for f in fields
         if not isinstance(f.dataType, T.StringType)
-    ]
-    return df.select(
-        *[value.alias(f.name) for f, value in zip(table.schema.fields, fitted)],
+    )
+    return df.selectExpr(
+        *[f"{value} as {name}" for name, value in fitted.items()],
         *keep,
-        F.array_compact(F.array(*misfit)).cast("array<string>").alias(REASONS),
-        F.struct(*table.columns).alias(AS_GIVEN),
+        f"cast(array_compact(array({misfit})) as array<string>) as {REASONS}",
+        f"struct({', '.join(table.columns)}) as {AS_GIVEN}",
     )
 
 
-def _add_reason(condition: Column, reason: str) -> Column:
-    return F.when(condition, F.array_append(REASONS, F.lit(reason))).otherwise(F.col(REASONS))
+def _add_reason(condition: str, reason: str) -> Column:
+    return F.expr(f"if({condition}, array_append({REASONS}, '{reason}'), {REASONS})")
 
 
 def _broken(rows: DataFrame) -> DataFrame:
@@ -111,9 +112,9 @@ def check_dimension(df: DataFrame, table: Table) -> Checked:
 
     def marked(rows: DataFrame, is_repeated: str) -> DataFrame:
         fitted = _fitted(rows, table, keep=[is_repeated])
-        null_key = F.col(key).isNull()
-        fitted = fitted.withColumn(REASONS, _add_reason(F.col(is_repeated) & ~null_key, f"duplicate_key:{key}"))
-        return fitted.withColumn(REASONS, _add_reason(null_key, f"null_key:{key}")).drop(is_repeated)
+        repeats = f"{is_repeated} and {key} is not null"
+        fitted = fitted.withColumn(REASONS, _add_reason(repeats, f"duplicate_key:{key}"))
+        return fitted.withColumn(REASONS, _add_reason(f"{key} is null", f"null_key:{key}")).drop(is_repeated)
 
     rivals = per_key.where(repeated).select("_key", F.lit(True).alias("_rival"))
     copies = (
@@ -135,7 +136,7 @@ def check_fact(df: DataFrame, table: Table, dimensions: dict[str, DataFrame]) ->
         known = dimensions[dimension].select(F.col(TABLES[dimension].primary_key).alias("_key"))
         checked = (
             checked.join(known, F.col(column) == F.col("_key"), "left")
-            .withColumn(REASONS, _add_reason(F.col(column).isNotNull() & F.col("_key").isNull(), f"orphan:{column}"))
+            .withColumn(REASONS, _add_reason(f"{column} is not null and _key is null", f"orphan:{column}"))
             .drop("_key")
         )
     return Checked(checked, _broken(checked))
