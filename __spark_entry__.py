@@ -27,6 +27,13 @@ from skyledger.plans.reconcile import REPORTING, UTILIZATION, reconcile  # noqa:
 from skyledger.sources.paths import Staging  # noqa: E402
 from skyledger.sources.readers import project  # noqa: E402
 
+# Training-data operators are a part by themselves: everything else works without them.
+try:
+    import corpus_pipeline
+    from skyledger.llm import queries as training_data
+except ImportError:
+    corpus_pipeline = training_data = None
+
 Sources = dict[str, DataFrame]
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -268,8 +275,15 @@ def queries() -> dict[str, Query]:
     for name in schemas.FACTS:
         q[f"fact_{name}"] = _fitted(name)
         q[f"fact_{name}_norules"] = _fitted(name, rules=False)
+    if training_data:
+        q |= training_data.queries() | {"pipeline": corpus_pipeline.run}
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    found = oracle_queries.oracle_sql()
+    if training_data:
+        found |= training_data.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
