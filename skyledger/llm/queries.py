@@ -8,13 +8,33 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import packing, texts, tokenfiles, wordtokens
+from skyledger.llm import langid, lattice, mixing, packing, secrets, setsketch, texts, tokenfiles, topk, weighted, wordtokens
 from skyledger.sources.paths import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
+SUBWORDS = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted.with_edits(texts.documents(spark, sf_dir))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = texts.documents(spark, sf_dir).withColumn("size", texts.word_count(F.col("text")))
+    return mixing.mix(docs, weights=(5, 2, 1), share=1.5, most=2.0)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = texts.documents(spark, sf_dir)
+    held_out = texts.remainder(F.col("doc_id"), 4) == 2
+    return langid.identify(docs, langid.train(docs, ~held_out), held_out)
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(texts.documents(spark, sf_dir))
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,15 +47,60 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(spark, folder, tokenfiles.ids_crc32, "ids_crc32")
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where(topk.usable(F.col("embedding")))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    return topk.search(rows.select("vec_id", whole.alias("vector")), queries=F.col("vec_id") % 50 == 0, k=5)
+
+
+def op8_lattice_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(texts.documents(spark, sf_dir), texts.remainder(F.col("doc_id"), 7) == 2, SUBWORDS)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(texts.documents(spark, sf_dir), BYTES, capacity=2048, end_id=0)
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(texts.documents(spark, sf_dir), percent=75).rows
+
+
 def queries() -> dict[str, Query]:
-    found = [op5_token_counts, op6_token_files, op9_packing]
+    found = [
+        op1_fingerprints,
+        op2_mixing,
+        op3_language_id,
+        op4_secrets,
+        op5_token_counts,
+        op6_token_files,
+        op7_top_k,
+        op8_lattice_scores,
+        op9_packing,
+        op10_near_duplicates,
+    ]
     return {f.__name__: f for f in found}
 
 
+# Ties go to the smaller vec_id; a shorter vector has zeros at its end.
+TOP_K = """
+WITH usable AS (
+    SELECT vec_id, embedding FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), weights AS (
+    SELECT vec_id, unnest(range(len(embedding))) AS term, floor(256 * unnest(embedding)::DOUBLE)::BIGINT AS weight FROM usable
+), scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, sum(q.weight * c.weight)::BIGINT AS score
+    FROM weights q JOIN weights c ON q.term = c.term AND q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+    GROUP BY ALL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {}
+    return {"op7_top_k": TOP_K}
