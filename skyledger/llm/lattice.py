@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -257,14 +258,13 @@ def score(df: DataFrame, held_out: Column, vocabulary_path: str, prior: float =
                 place = places[words.codes]
                 missing = place == len(known)
 
-                def sums(values: np.ndarray, offsets: np.ndarray = words.offsets) -> np.ndarray:
-                    total = np.concatenate([[0], np.cumsum(values)])
-                    return total[offsets[1:]] - total[offsets[:-1]]
+                owners = words.owners()
+
+                def sums(values: np.ndarray, owners: np.ndarray = owners, rows: int = part.num_rows) -> np.ndarray:
+                    return np.bincount(owners, weights=values, minlength=rows)
 
-                checks = [h.view(np.int64) for h in _checksums(part.column("text"))]
-                owners = words.owners()[missing]
                 size = max(1, len(words.vocabulary))
-                rest, times = np.unique(owners * size + words.codes[missing], return_counts=True)
+                rest, times = np.unique(owners[missing] * size + words.codes[missing], return_counts=True)
                 owner = rest // size
                 cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=part.num_rows))]).astype(np.int32)
                 rare = pa.StructArray.from_arrays([words.vocabulary.take(pa.array(rest % size)), pa.array(times.astype(np.int32))], names=["word", "times"])
@@ -272,7 +272,7 @@ def score(df: DataFrame, held_out: Column, vocabulary_path: str, prior: float =
                     [
                         part.column("doc_id"),
                         part.column("held_out"),
-                        pa.array(checks, pa.int64()),
+                        pa.array(_checksums(part.column("text")), pa.int64()),
                         pa.array(words.counts.astype(np.int64)),
                         pa.array(sums(~missing).astype(np.int64)),
                         pa.array(sums(logs[place])),
@@ -311,5 +311,7 @@ def score(df: DataFrame, held_out: Column, vocabulary_path: str, prior: float =
     )
 
 
-def _checksums(column: pa.Array) -> list[np.uint64]:
-    return [np.uint64(texts.xxhash.xxh3_64_intdigest(t)) for t in texts.filled(column).cast(pa.binary()).to_pylist()]
+def _checksums(column: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each text."""
+    entries = texts.filled(column).cast(pa.binary()).to_pylist()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, entries), dtype=np.uint64, count=len(entries)).view(np.int64)

@@ -25,6 +25,8 @@ from skyledger.sources.paths import Staging
 
 #: Documents of a block, on average.
 BLOCK = 20_000
+#: Documents, of all lengths, that a block keeps apart for later rounds, and that the landing decides.
+LEFT, LANDING = 6, 12
 #: A probability this near 0 or 1 is decided.
 EXACT = 1e-9
 
@@ -54,14 +56,16 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
     return rows.select("source", "source_size", F.least("limit", shared).alias("target"))
 
 
-def flight(sizes: np.ndarray, chances: np.ndarray, draws: np.ndarray, land: bool) -> np.ndarray:
-    """Moves probabilities to 0 or 1, in the given order; all but two at most, or all if ``land``.
+def flight(sizes: np.ndarray, chances: np.ndarray, draws: np.ndarray, apart: int) -> np.ndarray:
+    """Moves probabilities to 0 or 1, in the given order, and keeps the sums of chances and of chance * size.
 
+    At most two documents are left undecided, and ``apart`` more that take no part.
     ``draws``: a number in [0, 1) for each document, used when a document joins.
     """
-    out = chances.astype(np.float64).copy()
+    size, p, u = sizes.tolist(), chances.astype(np.float64).tolist(), draws.tolist()
+    live = np.flatnonzero((chances > 0) & (chances < 1))
+    set_apart = set(live[np.unique(np.linspace(0, len(live) - 1, apart).round().astype(int))].tolist()) if len(live) and apart else set()
     held: list[int] = []
-    size, p, u = sizes.tolist(), out.tolist(), draws.tolist()
 
     def move(direction: list[float], draw: float) -> None:
         ahead = min((1 - p[i]) / d if d > 0 else p[i] / -d for i, d in zip(held, direction, strict=True) if d)
@@ -73,8 +77,8 @@ def flight(sizes: np.ndarray, chances: np.ndarray, draws: np.ndarray, land: bool
                 p[i] = float(round(p[i]))
         held[:] = [i for i in held if 0 < p[i] < 1]
 
-    for i in range(len(size)):
-        if not 0 < p[i] < 1:
+    for i in live.tolist():
+        if i in set_apart:
             continue
         held.append(i)
         while len(held) == 3:
@@ -82,22 +86,27 @@ def flight(sizes: np.ndarray, chances: np.ndarray, draws: np.ndarray, land: bool
             move([c - b, a - c, b - a] if not a == b == c else [1, -1, 0], u[i])
     if len(held) == 2 and size[held[0]] == size[held[1]]:
         move([1, -1], u[held[1]])  # both constraints hold along this line
-    if land:
-        while len(held) == 2:
-            a, b = (size[j] for j in held)
-            # Along the words' constraint; a document without words only changes the count.
-            move([1, 0] if a == 0 else [0, 1] if b == 0 else [b, -a], u[held[1]])
-        for i in held:
-            p[i] = float(p[i] > 0.5 or (p[i] == 0.5 and u[i] < 0.5))
     return np.array(p)
 
 
+def landing(sizes: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    """Decides the few undecided documents: of all choices the nearest to the expected words, then number."""
+    out = chances.copy()
+    left = np.flatnonzero((chances > 0) & (chances < 1))
+    choices = np.arange(1 << len(left))[:, None] >> np.arange(len(left)) & 1
+    words = np.abs(choices @ sizes[left] - chances[left] @ sizes[left])
+    number = np.abs(choices.sum(axis=1) - chances[left].sum())
+    out[left] = choices[np.lexsort((number.round(6), words.round(6)))[0]]
+    return out
+
+
 def _flown(table: pa.Table, land: bool = False) -> pa.Table:
     sizes, draws = table.column("size").to_numpy(), table.column("draw").to_numpy()
     ids = table.column("doc_id").fill_null(-(1 << 63)).to_numpy()
     order = np.lexsort((ids, draws, -sizes))
     chances = np.empty(len(sizes))
-    chances[order] = flight(sizes[order], table.column("chance").to_numpy()[order], draws[order], land)
+    flown = flight(sizes[order], table.column("chance").to_numpy()[order], draws[order], LANDING if land else LEFT)
+    chances[order] = landing(sizes[order], flown) if land else flown
     at = table.schema.get_field_index("chance")
     return table.set_column(at, "chance", pa.array(chances))
 
@@ -150,8 +159,7 @@ def mix(
         flying = flown.where(undecided).drop("block")
         if flying.isEmpty():
             break
-        # A block leaves two documents at most.
-        flying = flying.withColumn("blocks", F.ceil(2 * F.col("blocks") / block).cast("long"))
+        flying = flying.withColumn("blocks", F.ceil((2 + LEFT) * F.col("blocks") / block).cast("long"))
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more.select(*out.columns))
