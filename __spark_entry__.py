@@ -24,6 +24,7 @@ from skyledger.operators import reports  # noqa: E402
 from skyledger.plans import etl, kpis, raw_kpis, violations, warehouse  # noqa: E402
 from skyledger.plans import transform as tr  # noqa: E402
 from skyledger.plans.reconcile import REPORTING, UTILIZATION, reconcile  # noqa: E402
+from skyledger.sources import SourceConfig, TableSource, read_sources, readers  # noqa: E402
 from skyledger.sources.paths import Staging  # noqa: E402
 from skyledger.sources.readers import project  # noqa: E402
 
@@ -173,18 +174,29 @@ def _rule_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _pk_violations(s: Sources, tables: dict[str, DataFrame]) -> DataFrame:
-    summaries = [warehouse.primary_key_summary(tables[n], schemas.TABLES[n]) for n in schemas.DIMENSIONS]
+    """Over the rows before the load chooses among them."""
+    found = tables | {"aircrafts": tr.aircrafts(s["aircrafts"])}
+    summaries = [warehouse.primary_key_summary(found[n], schemas.TABLES[n]) for n in schemas.DIMENSIONS]
     first, *rest = summaries
     for summary in rest:
         first = first.unionByName(summary)
     return first
 
 
+def _lookup_rivals(s: Sources) -> DataFrame:
+    return warehouse.set_aside(tr.aircrafts(s["aircrafts"]), schemas.TABLES["aircrafts"])
+
+
 def _fk_orphans(fact: str) -> Query:
+    """Rows that miss a dimension row; for reports before those on foreign aircraft are left out."""
+
     def run(s: Sources, tables: dict[str, DataFrame]) -> DataFrame:
         table = schemas.TABLES[fact]
+        rows = tables[fact]
+        if fact == "reportage_usage":
+            rows = tr.reportage_usage(reports.count_reports(s["reports"]))
         found = [
-            warehouse.orphans(tables[fact], tables[dimension], column, schemas.TABLES[dimension].primary_key).select(
+            warehouse.orphans(rows, tables[dimension], column, schemas.TABLES[dimension].primary_key).select(
                 *table.foreign_keys, F.lit(column).alias("missing")
             )
             for column, dimension in table.foreign_keys.items()
@@ -197,16 +209,13 @@ def _fk_orphans(fact: str) -> Query:
     return _on_tables(run)
 
 
-def _warehouse_load(spark: SparkSession, folder: str) -> DataFrame:
-    """A full run into a warehouse beside the staged data; what was written and set aside."""
-    location = Staging(spark).folder
-    etl.run_etl_on(spark, fixtures.sources(spark, folder), location, log_violations=False)
+def _stored_counts(spark: SparkSession, location: str) -> DataFrame:
     stored = warehouse.Warehouse(spark, location)
     counts = [
-        stored.table(name)
-        .agg(F.count("*").alias("written"))
-        .select(F.lit(name).alias("table_name"), "written", F.lit(stored.rejects(name).count()).cast("long").alias("rejected"))
-        for name in schemas.TABLES
+        df.agg(F.count("*").alias("written")).select(
+            F.lit(name).alias("table_name"), "written", F.lit(stored.rejects(name).count()).cast("long").alias("rejected")
+        )
+        for name, df in stored.tables().items()
     ]
     first, *rest = counts
     for df in rest:
@@ -214,6 +223,57 @@ def _warehouse_load(spark: SparkSession, folder: str) -> DataFrame:
     return first
 
 
+def _warehouse_load(spark: SparkSession, folder: str) -> DataFrame:
+    """A full run, with the log of rule hits, into a warehouse beside the staged data; what was written and set aside."""
+    location = Staging(spark).folder
+    etl.run_etl_on(spark, fixtures.sources(spark, folder), location)
+    return _stored_counts(spark, location)
+
+
+def _logged_violations(spark: SparkSession, folder: str) -> DataFrame:
+    """Cases per rule and source in the table that a run writes."""
+    location = Staging(spark).folder
+    etl.run_etl_on(spark, fixtures.sources(spark, folder), location)
+    logged = warehouse.Warehouse(spark, location).log("rule_violations")
+    return logged.groupBy("rule_id", "source").agg(F.sum("cases").cast("long").alias("cases"))
+
+
+def _as_files(spark: SparkSession, folder: str) -> SourceConfig:
+    """The source relations as files of several formats, with columns in another order and one too many."""
+    sources = fixtures.sources(spark, folder)
+    at = Staging(spark).folder
+    mixed = sources["flights"].select(F.lit("x").alias("remark"), *reversed(sources["flights"].columns))
+    mixed.write.csv(f"{at}/flights", header=True)
+    sources["maintenance"].write.json(f"{at}/maintenance")
+    sources["reports"].write.parquet(f"{at}/reports")
+    lookups = f"{at}/lookups"
+    aircrafts = sources["aircrafts"].select(
+        F.col("registration").alias("aircraft_reg_code"),
+        F.lit("MSN").alias("manufacturer_serial_number"),
+        F.col("model").alias("aircraft_model"),
+        F.col("manufacturer").alias("aircraft_manufacturer"),
+    )
+    kept_blanks = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    aircrafts.write.csv(f"{lookups}/{readers.AIRCRAFT_FILES[1]}", **kept_blanks)
+    sources["personnel"].write.csv(f"{lookups}/{readers.PERSONNEL_FILE}", **kept_blanks)
+    return SourceConfig(
+        TableSource(f"{at}/flights", "csv"),
+        TableSource(f"{at}/maintenance", "json", row_key=True),
+        TableSource(f"{at}/reports"),
+        lookups,
+    )
+
+
+def _from_files(name: str) -> Query:
+    return lambda spark, folder: read_sources(spark, _as_files(spark, folder))[name]
+
+
+def _etl_from_files(spark: SparkSession, folder: str) -> DataFrame:
+    location = Staging(spark).folder
+    etl.run_etl(spark, _as_files(spark, folder), location)
+    return _stored_counts(spark, location)
+
+
 def _raw(fn: Callable[..., DataFrame], *names: str) -> Query:
     return _on_sources(lambda s: fn(*[s[n] for n in names]))
 
@@ -240,6 +300,11 @@ def queries() -> dict[str, Query]:
         "source_flights": _on_sources(lambda s: project(s["flights"], schemas.FLIGHTS, keep_key=True)),
         "source_maintenance": _on_sources(lambda s: project(s["maintenance"], schemas.MAINTENANCE, keep_key=True)),
         "source_reports": _on_sources(lambda s: project(s["reports"], schemas.REPORTS)),
+        "source_lookup_aircrafts": _from_files("aircrafts"),
+        "source_lookup_personnel": _from_files("personnel"),
+        "source_files_flights": _from_files("flights"),
+        "source_files_maintenance": _from_files("maintenance"),
+        "etl_from_files": _etl_from_files,
         "date_codes": _on_sources(_date_codes),
         "hour_code": _on_sources(_hour_code),
         "time_differences": _on_sources(_time_differences),
@@ -254,6 +319,8 @@ def queries() -> dict[str, Query]:
         "rule_violations": _on_sources(_rule_violations),
         "reports_foreign": _on_sources(_reports_foreign),
         "rule_summary": _rule_summary,
+        "lookup_rivals": _on_sources(_lookup_rivals),
+        "logged_violations": _logged_violations,
         "pk_violations": _on_tables(_pk_violations),
         "fk_orphans_daily": _fk_orphans("daily_usage"),
         "fk_orphans_monthly": _fk_orphans("monthly_usage"),

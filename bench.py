@@ -34,6 +34,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="skyledger-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -47,8 +48,7 @@ def compute(df: DataFrame) -> None:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = session(os.environ.get("BENCH_CPUS", "8"))
-    work = tempfile.mkdtemp(prefix="skyledger-bench-")
-    location = f"{work}/warehouse"
+    location = f"{spark.conf.get('spark.checkpoint.dir')}/warehouse"
     sources = lambda: fixtures.sources(spark, folder)
 
     def raw(fn, *names):
@@ -63,7 +63,7 @@ def main() -> None:
         return violations.rule_summary(tr.usage(s), reports.count_reports(s["reports"]), s["aircrafts"])
 
     runs = {
-        "etl_load": lambda: run_etl_on(spark, sources(), location, log_violations=False),
+        "etl_load": lambda: run_etl_on(spark, sources(), location),
         "warehouse_utilization": lambda: compute(stored(kpis.query_utilization)),
         "warehouse_reporting": lambda: compute(stored(kpis.query_reporting)),
         "warehouse_reporting_per_role": lambda: compute(stored(kpis.query_reporting_per_role)),

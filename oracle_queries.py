@@ -8,14 +8,26 @@ of the distinct-slot reduction), and the seven tables.
 from __future__ import annotations
 
 SOURCES = """
+fx_groups AS (
+  SELECT c_custkey // 5 AS number, min(c_mktsegment) AS model, min(c_nationkey) AS nation FROM customer GROUP BY 1
+),
+fx_numbers AS (
+  SELECT number, 'XY-' || number AS registration, model,
+         CASE WHEN number % 4 = 0 THEN 'Embraer' WHEN nation % 4 = 0 THEN 'Boeing' ELSE 'Airbus' END AS manufacturer
+  FROM fx_groups WHERE number % 7 <> 0
+),
 fx_aircraft AS (
-  SELECT 'XY-' || (c_custkey // 5) AS registration, c_mktsegment AS model,
-         CASE WHEN c_custkey % 20 = 0 THEN 'Embraer' WHEN c_nationkey % 4 = 0 THEN 'Boeing' ELSE 'Airbus' END AS manufacturer
-  FROM customer WHERE c_custkey % 5 = 0 AND c_custkey % 35 <> 0
+  SELECT registration, model, manufacturer FROM fx_numbers
+  UNION ALL SELECT registration, model, manufacturer FROM fx_numbers WHERE number % 13 = 0
+  UNION ALL SELECT registration, 'GLIDER', 'Boeing' FROM fx_numbers WHERE number % 11 = 0
+  UNION ALL SELECT NULL, model, manufacturer FROM fx_numbers WHERE number % 50 = 0
 ),
+fx_known AS (SELECT DISTINCT registration FROM fx_aircraft WHERE registration IS NOT NULL),
 fx_ops AS (
   SELECT 'XY-' || (o_custkey // 5) AS reg, o_orderkey AS k, o_orderstatus AS st,
-         make_timestamp(year(o_orderdate), 1 + o_orderkey % 2, 1 + (o_orderkey // 2) % 2,
+         make_timestamp(year(o_orderdate),
+                        CASE WHEN o_orderkey % 4 = 0 THEN 1 + (o_orderkey // 4) % 12 ELSE 1 + 10 * (o_orderkey % 2) END,
+                        CASE WHEN o_orderkey % 4 = 0 THEN 1 + (o_orderkey // 48) % 28 ELSE 9 + (o_orderkey // 2) % 2 END,
                         (o_orderkey * 7) % 22, (o_orderkey * 13) % 60, 0) AS sd,
          to_hours(1 + o_orderkey % 5) AS dur, to_minutes((o_orderkey * 11) % 45 - 10) AS late
   FROM orders
@@ -24,22 +36,30 @@ fx_flights AS (
   SELECT reg, k, sd, sd + dur AS sa,
          CASE WHEN k % 37 = 0 THEN sd + late + dur ELSE sd + late END AS ad,
          CASE WHEN k % 31 = 0 THEN NULL WHEN k % 37 = 0 THEN sd + late ELSE sd + late + dur END AS aa,
-         k % 29 = 0 AS cancelled
+         CASE WHEN k % 23 <> 0 THEN k % 29 = 0 END AS flag, k % 23 <> 0 AND k % 29 = 0 AS cancelled
   FROM fx_ops WHERE st <> 'P'
 ),
 fx_maint AS (
-  SELECT reg, k, sd, sd + dur AS sa, k % 3 <> 0 AS programmed FROM fx_ops WHERE st = 'P'
+  SELECT reg, k, sd, sd + dur AS sa, CASE WHEN k % 17 <> 0 THEN k % 3 <> 0 END AS flag,
+         k % 17 <> 0 AND k % 3 <> 0 AS programmed
+  FROM fx_ops WHERE st = 'P'
 ),
 fx_reports AS (
-  SELECT 'XY-' || (l_partkey // 6) AS reg, l_shipdate AS rd, l_suppkey AS rid,
-         CASE l_returnflag WHEN 'A' THEN 'MAREP' WHEN 'N' THEN 'PIREP' WHEN 'R' THEN 'MAREP' END AS cls
-  FROM lineitem WHERE l_linenumber <= 2
+  SELECT CASE WHEN l_partkey % 97 <> 0 THEN 'XY-' || (l_partkey // 6) END AS reg, l_shipdate AS rd,
+         CASE WHEN l_orderkey % 41 <> 0 THEN l_suppkey END AS rid,
+         CASE WHEN l_linenumber = 7 THEN 'CABIN' WHEN l_orderkey % 53 = 0 THEN NULL
+              WHEN l_returnflag = 'N' THEN 'PIREP' WHEN l_returnflag IN ('A', 'R') THEN 'MAREP' END AS cls
+  FROM lineitem
 ),
 fx_personnel AS (
-  SELECT CAST(s_suppkey AS VARCHAR) AS rid, upper(substr(n_name, 1, 3)) AS airport
+  SELECT CASE WHEN s_suppkey % 3 = 0 THEN ' ' || s_suppkey || '  ' ELSE CAST(s_suppkey AS VARCHAR) END AS rid,
+         upper(substr(n_name, 1, 3)) AS airport
   FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 10 <> 0
 )"""
 
+# Aircraft that the lookup does not know, a missing one included.
+FOREIGN = "(reg IS NULL OR reg NOT IN (SELECT registration FROM fx_known))"
+
 
 def _day_id(ts: str) -> str:
     return f"(year({ts}) || '-' || month({ts}) || '-' || day({ts}))"
@@ -118,16 +138,19 @@ t_days AS (
 t_months AS (
   SELECT DISTINCT {_month_id("d")} AS month_id, CAST(month(d) AS INTEGER) AS month, CAST(year(d) AS INTEGER) AS year
   FROM (SELECT sd AS d FROM fx_flights UNION ALL SELECT sd FROM fx_maint
-        UNION ALL SELECT rd FROM fx_reports WHERE reg IN (SELECT registration FROM fx_aircraft))
+        UNION ALL SELECT rd FROM fx_reports WHERE reg IN (SELECT registration FROM fx_known))
+),
+t_aircrafts AS (
+  SELECT registration, model, manufacturer FROM fx_aircraft WHERE registration IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY registration ORDER BY model DESC, manufacturer DESC) = 1
 ),
-t_aircrafts AS (SELECT registration, model, manufacturer FROM fx_aircraft),
 kept AS (
   SELECT reg, rd, coalesce(CAST(rid AS VARCHAR), 'None') AS rid, cls
-  FROM fx_reports WHERE reg IN (SELECT registration FROM fx_aircraft)
+  FROM fx_reports WHERE reg IN (SELECT registration FROM fx_known)
 ),
 roles AS (
   SELECT rid, cls FROM (
-    SELECT rid, cls, row_number() OVER (PARTITION BY rid ORDER BY rd DESC, cls DESC) AS rn FROM kept) WHERE rn = 1
+    SELECT rid, cls, row_number() OVER (PARTITION BY rid ORDER BY rd DESC, cls DESC NULLS LAST) AS rn FROM kept) WHERE rn = 1
 ),
 t_reporteurs AS (
   SELECT coalesce(trim(p.rid), r.rid) AS reporteur_uid, p.airport, r.cls AS role
@@ -171,45 +194,61 @@ t_reportage AS (
 )"""
 
 
-YEARLY = """
-yd AS (
-  SELECT a.manufacturer, m.year, sum(u.fh) AS fh, sum(u.tos) AS tos, sum(u.sto) AS sto, count(DISTINCT a.registration) AS n
-  FROM t_daily u JOIN t_days d ON u.day_id = d.day_id JOIN t_months m ON d.month_id = m.month_id
-       JOIN t_aircrafts a ON a.registration = u.registration GROUP BY ALL
-),
-ym AS (
-  SELECT a.manufacturer, m.year, sum(u.ados) AS ados, sum(u.adoss) AS adoss, sum(u.adosu) AS adosu, sum(u.adis) AS adis,
-         sum(u.dh) AS dh, sum(u.dy) AS dy, sum(u.cn) AS cn
-  FROM t_monthly u JOIN t_months m ON u.month_id = m.month_id JOIN t_aircrafts a ON a.registration = u.registration GROUP BY ALL
-),
-yr AS (
-  SELECT a.manufacturer, m.year, sum(u.reps) AS reps, sum(u.mareps) AS mareps, sum(u.pireps) AS pireps
-  FROM t_reportage u JOIN t_months m ON u.month_id = m.month_id JOIN t_aircrafts a ON a.registration = u.registration GROUP BY ALL
+DAILY, MONTHLY = ("fh", "tos", "sto"), ("ados", "adoss", "adosu", "adis", "dh", "dy", "cn")
+REPORTED = ("reps", "mareps", "pireps")
+
+
+def _named(measures: tuple[str, ...], kind: str) -> str:
+    """A list of (measure, value) for UNNEST."""
+    return "[" + ", ".join(f"{{'measure': '{m}', 'value': CAST({m} AS {kind})}}" for m in measures) + "]"
+
+
+def _wide(measures: tuple[str, ...]) -> str:
+    return ", ".join(f"sum(x.value) FILTER (x.measure = '{m}') AS {m}" for m in measures)
+
+
+def _yearly() -> str:
+    """KPIs from one long table of measures per aircraft and year, laid out once per group."""
+    day_months = "(SELECT u.*, d.month_id FROM t_daily u JOIN t_days d ON d.day_id = u.day_id)"
+    facts = ((day_months, DAILY), ("t_monthly", MONTHLY), ("t_reportage", REPORTED))
+    longs = " UNION ALL ".join(
+        f"SELECT registration, month_id, unnest({_named(measures, 'DECIMAL(28,2)')}) AS x FROM {fact}" for fact, measures in facts
+    )
+    return f"""
+measures AS ({longs}),
+per_group AS (
+  SELECT a.manufacturer, m.year, {_wide(DAILY + MONTHLY + REPORTED)},
+         count(DISTINCT a.registration) FILTER (x.measure = 'fh') AS aircraft
+  FROM measures JOIN t_months m ON m.month_id = measures.month_id
+       JOIN t_aircrafts a ON a.registration = measures.registration
+  GROUP BY a.manufacturer, m.year
 ),
 q_utilization AS (
-  SELECT yd.manufacturer, yd.year,
-         round(fh / n, 2) AS fh, round(tos / n, 2) AS tos, round(adoss / n, 2) AS adoss, round(adosu / n, 2) AS adosu,
-         round(ados / n, 2) AS ados, round(adis / n, 2) AS adis,
+  SELECT manufacturer, year,
+         {", ".join(f"round({m} / aircraft, 2) AS {m}" for m in ("fh", "tos", "adoss", "adosu", "ados", "adis"))},
          round(fh / nullif(24 * adis, 0), 2) AS du, round(tos / nullif(adis, 0), 2) AS dc,
          round(100 * dy / nullif(sto, 0), 2) AS dyr, round(100 * cn / nullif(tos, 0), 2) AS cnr,
-         round(100 * (1 - (dy + cn) / nullif(sto, 0)), 2) AS tdr, round(100 * 60 * dh / nullif(dy, 0), 2) AS "add"
-  FROM yd JOIN ym ON yd.manufacturer = ym.manufacturer AND yd.year = ym.year
+         round(100 * (1 - (dy + cn) / nullif(sto, 0)), 2) AS tdr, round(6000 * dh / nullif(dy, 0), 2) AS "add"
+  FROM per_group WHERE aircraft > 0 AND adis IS NOT NULL
 ),
-q_reporting AS (
-  SELECT yd.manufacturer, yd.year, 1000 * round(reps / nullif(fh, 0), 3) AS rrh, 100 * round(reps / nullif(tos, 0), 2) AS rrc
-  FROM yd JOIN yr ON yd.manufacturer = yr.manufacturer AND yd.year = yr.year
+reported AS (
+  SELECT manufacturer, year, fh, tos, unnest({_named(REPORTED, "DECIMAL(28,2)")}) AS x
+  FROM per_group WHERE aircraft > 0 AND reps IS NOT NULL
 ),
+rates AS (
+  SELECT manufacturer, year, x.measure AS counted,
+         1000 * round(x.value / nullif(fh, 0), 3) AS rrh, 100 * round(x.value / nullif(tos, 0), 2) AS rrc
+  FROM reported
+),
+q_reporting AS (SELECT manufacturer, year, rrh, rrc FROM rates WHERE counted = 'reps'),
 q_per_role AS (
-  SELECT yd.manufacturer, yd.year, 'MAREP' AS role,
-         1000 * round(mareps / nullif(fh, 0), 3) AS rrh, 100 * round(mareps / nullif(tos, 0), 2) AS rrc
-  FROM yd JOIN yr ON yd.manufacturer = yr.manufacturer AND yd.year = yr.year
-  UNION ALL
-  SELECT yd.manufacturer, yd.year, 'PIREP',
-         1000 * round(pireps / nullif(fh, 0), 3), 100 * round(pireps / nullif(tos, 0), 2)
-  FROM yd JOIN yr ON yd.manufacturer = yr.manufacturer AND yd.year = yr.year
+  SELECT manufacturer, year, upper(rtrim(counted, 's')) AS role, rrh, rrc FROM rates WHERE counted <> 'reps'
 )"""
 
 
+YEARLY = _yearly()
+
+
 def _maker(reg: str) -> str:
     return (
         f"CASE WHEN {reg} IN (SELECT registration FROM fx_aircraft WHERE manufacturer = 'Airbus') THEN 'Airbus' "
@@ -226,65 +265,61 @@ def _exact(num: str, den: str, scale: int) -> str:
     )
 
 
+RAW_FLIGHT = ("flight_us", "cycles", "cancellations", "delays", "delay_us")
+RAW_OUT = ("programmed_us", "unprogrammed_us")
+LATE = f"(NOT cancelled AND {_us('sa', 'aa')} > 900000000)"
+
 RAW = f"""
-raw_rows AS (
-  SELECT reg, {_maker("reg")} AS manufacturer, CAST(year(sd) AS VARCHAR) AS year,
-         CASE WHEN cancelled THEN 0 ELSE {_us("ad", "aa")} END AS fus,
-         CASE WHEN cancelled THEN 0 ELSE 1 END AS cycles, CASE WHEN cancelled THEN 1 ELSE 0 END AS canc,
-         CASE WHEN NOT cancelled AND {_us("sa", "aa")} > 900000000 THEN 1 ELSE 0 END AS delays,
-         CASE WHEN NOT cancelled AND {_us("sa", "aa")} > 900000000 THEN {_us("sa", "aa")} ELSE 0 END AS dus,
-         CAST(0 AS BIGINT) AS pus, CAST(0 AS BIGINT) AS uus
+raw_flights AS (
+  SELECT reg, CAST(year(sd) AS VARCHAR) AS year, CASE WHEN cancelled THEN 0 ELSE {_us("ad", "aa")} END AS flight_us,
+         CAST(NOT cancelled AS INTEGER) AS cycles, CAST(cancelled AS INTEGER) AS cancellations,
+         CAST(coalesce({LATE}, false) AS INTEGER) AS delays, CASE WHEN {LATE} THEN {_us("sa", "aa")} ELSE 0 END AS delay_us
   FROM fx_flights
-  UNION ALL
-  SELECT reg, {_maker("reg")}, CAST(year(sd) AS VARCHAR), CAST(0 AS BIGINT), 0, 0, 0, CAST(0 AS BIGINT),
-         CASE WHEN programmed THEN {_us("sd", "sa")} ELSE 0 END, CASE WHEN programmed THEN 0 ELSE {_us("sd", "sa")} END
+),
+raw_out AS (
+  SELECT reg, CAST(year(sd) AS VARCHAR) AS year, CASE WHEN programmed THEN {_us("sd", "sa")} ELSE 0 END AS programmed_us,
+         CASE WHEN programmed THEN 0 ELSE {_us("sd", "sa")} END AS unprogrammed_us
   FROM fx_maint
 ),
-raw_sums AS (
-  SELECT manufacturer, year, count(DISTINCT reg) AS n, sum(fus) AS fus, sum(cycles) AS cycles, sum(canc) AS canc,
-         sum(delays) AS delays, sum(dus) AS dus, sum(pus) AS pus, sum(uus) AS uus
-  FROM raw_rows GROUP BY ALL
+raw_measures AS (
+  SELECT reg, year, unnest({_named(RAW_FLIGHT, "BIGINT")}) AS x FROM raw_flights
+  UNION ALL SELECT reg, year, unnest({_named(RAW_OUT, "BIGINT")}) FROM raw_out
+),
+raw_groups AS (
+  SELECT {_maker("reg")} AS manufacturer, year, count(DISTINCT reg) AS n, {_wide(RAW_FLIGHT + RAW_OUT)}
+  FROM raw_measures GROUP BY 1, 2
 ),
 raw_units AS (
-  SELECT *, {_exact("fus", f"n * {HOUR}", 100)} AS fh_u, {_exact("cycles", "n", 100)} AS to_u,
-         {_exact("pus", f"n * {DAY}", 100)} AS adoss_u, {_exact("uus", f"n * {DAY}", 100)} AS adosu_u,
-         {_exact("pus + uus", f"n * {DAY}", 100)} AS ados_u,
-         36500 - {_exact("pus + uus", f"n * {DAY}", 100)} AS adis_u
-  FROM raw_sums
+  SELECT manufacturer, year, coalesce(cycles, 0) AS cycles, coalesce(cancellations, 0) AS cancellations,
+         coalesce(delays, 0) AS delays, coalesce(delay_us, 0) AS delay_us,
+         {_exact("coalesce(flight_us, CASE WHEN programmed_us IS NOT NULL THEN 0 END)", f"n * {HOUR}", 100)} AS fh,
+         {_exact("coalesce(cycles, 0)", "n", 100)} AS tos,
+         {_exact("coalesce(programmed_us, 0)", f"n * {DAY}", 100)} AS adoss,
+         {_exact("coalesce(unprogrammed_us, 0)", f"n * {DAY}", 100)} AS adosu,
+         {_exact("(coalesce(programmed_us, 0) + coalesce(unprogrammed_us, 0))", f"n * {DAY}", 100)} AS ados
+  FROM raw_groups
 ),
 r_utilization AS (
-  SELECT manufacturer, year, CAST(fh_u AS DOUBLE) / 100 AS fh, CAST(to_u AS DOUBLE) / 100 AS tos,
-         CAST(adoss_u AS DOUBLE) / 100 AS adoss, CAST(adosu_u AS DOUBLE) / 100 AS adosu,
-         CAST(ados_u AS DOUBLE) / 100 AS ados, CAST(adis_u AS DOUBLE) / 100 AS adis,
-         CAST({_exact("fh_u", "adis_u * 24", 100)} AS DOUBLE) / 100 AS du,
-         CAST({_exact("to_u", "adis_u", 100)} AS DOUBLE) / 100 AS dc,
+  SELECT manufacturer, year, {", ".join(f"CAST({m} AS DOUBLE) / 100 AS {m}" for m in ("fh", "tos", "adoss", "adosu", "ados"))},
+         CAST(36500 - ados AS DOUBLE) / 100 AS adis,
+         CAST({_exact("fh", "(36500 - ados) * 24", 100)} AS DOUBLE) / 100 AS du,
+         CAST({_exact("tos", "(36500 - ados)", 100)} AS DOUBLE) / 100 AS dc,
          CAST({_exact("delays", "cycles", 10000)} AS DOUBLE) / 100 AS dyr,
-         CAST({_exact("canc", "cycles", 10000)} AS DOUBLE) / 100 AS cnr,
-         CAST(100 - (100 * (delays + canc)) // nullif(cycles, 0) AS DOUBLE) AS tdr,
-         CAST({_exact("dus", f"delays * {MINUTE}", 100)} AS DOUBLE) AS "add"
+         CAST({_exact("cancellations", "cycles", 10000)} AS DOUBLE) / 100 AS cnr,
+         CAST(100 - (100 * (delays + cancellations)) // nullif(cycles, 0) AS DOUBLE) AS tdr,
+         CAST({_exact("delay_us", f"delays * {MINUTE}", 100)} AS DOUBLE) AS "add"
   FROM raw_units
 ),
-raw_flown AS (
-  SELECT {_maker("reg")} AS manufacturer, CAST(year(sd) AS VARCHAR) AS year,
-         sum(CASE WHEN cancelled THEN 0 ELSE {_us("ad", "aa")} END) AS fus,
-         sum(CASE WHEN cancelled THEN 0 ELSE 1 END) AS cycles
-  FROM fx_flights GROUP BY ALL
-),
-raw_reported AS (
-  SELECT {_maker("reg")} AS manufacturer, CAST(year(rd) AS VARCHAR) AS year, cls AS role, count(*) AS counter
-  FROM fx_reports GROUP BY ALL
-),
-r_reporting AS (
-  SELECT f1.manufacturer, f1.year, CAST({_exact(f"f1.counter * {HOUR}", "f2.fus", 1000)} AS DOUBLE) AS rrh,
-         CAST({_exact("f1.counter", "f2.cycles", 100)} AS DOUBLE) AS rrc
-  FROM (SELECT manufacturer, year, sum(counter) AS counter FROM raw_reported GROUP BY ALL) f1
-       JOIN raw_flown f2 ON f1.manufacturer = f2.manufacturer AND f1.year = f2.year
-),
-r_per_role AS (
-  SELECT f1.manufacturer, f1.year, f1.role, CAST({_exact(f"f1.counter * {HOUR}", "f2.fus", 1000)} AS DOUBLE) AS rrh,
-         CAST({_exact("f1.counter", "f2.cycles", 100)} AS DOUBLE) AS rrc
-  FROM raw_reported f1 JOIN raw_flown f2 ON f1.manufacturer = f2.manufacturer AND f1.year = f2.year
-)"""
+raw_rates AS (
+  SELECT p.manufacturer, p.year, p.role, p.whole, CAST({_exact(f"p.reports * {HOUR}", "g.flight_us", 1000)} AS DOUBLE) AS rrh,
+         CAST({_exact("p.reports", "g.cycles", 100)} AS DOUBLE) AS rrc
+  FROM (SELECT {_maker("reg")} AS manufacturer, CAST(year(rd) AS VARCHAR) AS year, cls AS role, grouping(cls) AS whole,
+               count(*) AS reports
+        FROM fx_reports GROUP BY GROUPING SETS ((1, 2, 3), (1, 2))) p
+  JOIN raw_groups g ON g.manufacturer = p.manufacturer AND g.year = p.year AND g.cycles IS NOT NULL
+),
+r_reporting AS (SELECT manufacturer, year, rrh, rrc FROM raw_rates WHERE whole = 1),
+r_per_role AS (SELECT manufacturer, year, role, rrh, rrc FROM raw_rates WHERE whole = 0)"""
 
 
 def _query(select: str, *parts: str) -> str:
@@ -324,6 +359,28 @@ def _orphans(table: str, columns: str, *fks: tuple[str, str, str]) -> str:
     return " UNION ALL ".join(tests)
 
 
+# Reports per aircraft, month and reporter, those on foreign aircraft included.
+ALL_REPORTED = f"""
+all_reported AS (
+  SELECT DISTINCT reg AS registration, {_month_id("rd")} AS month_id, coalesce(CAST(rid AS VARCHAR), 'None') AS reporteur_uid
+  FROM fx_reports
+)"""
+
+
+def _load_counts(aircraft: str) -> str:
+    """Rows written and set aside; of the lookup's different rows one for each key is written."""
+    known = "(SELECT registration FROM t_aircrafts)"
+    written = f"(SELECT count(DISTINCT registration) FROM ({aircraft}))"
+    rows = [f"SELECT 'aircrafts' AS table_name, {written} AS written, (SELECT count(*) FROM (SELECT DISTINCT * FROM ({aircraft}))) - {written} AS rejected"]
+    rows += [f"SELECT '{name}', (SELECT count(*) FROM {t}), 0" for name, t in _DIMS.items() if name != "aircrafts"]
+    rows += [
+        f"SELECT '{name}', (SELECT count(*) FROM {t} WHERE registration IN {known}), "
+        f"(SELECT count(*) FROM {t} WHERE registration NOT IN {known})"
+        for name, t in _FACTS.items()
+    ]
+    return " UNION ALL ".join(rows)
+
+
 UTILIZATION = ["fh", "tos", "adoss", "adosu", "ados", "adis", "du", "dc", "dyr", "cnr", "tdr", "add"]
 GROUP = ["manufacturer", "year"]
 _FACTS = {"daily_usage": "t_daily", "monthly_usage": "t_monthly", "reportage_usage": "t_reportage"}
@@ -334,15 +391,19 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {
         "source_flights": _query(
             "SELECT reg AS aircraftregistration, sd AS scheduleddeparture, sa AS scheduledarrival, ad AS actualdeparture, "
-            "aa AS actualarrival, cancelled, k AS row_key FROM fx_flights"
+            "aa AS actualarrival, flag AS cancelled, k AS row_key FROM fx_flights"
         ),
         "source_maintenance": _query(
-            "SELECT reg AS aircraftregistration, sd AS scheduleddeparture, sa AS scheduledarrival, programmed, "
+            "SELECT reg AS aircraftregistration, sd AS scheduleddeparture, sa AS scheduledarrival, flag AS programmed, "
             "k AS row_key FROM fx_maint"
         ),
         "source_reports": _query(
             "SELECT reg AS aircraftregistration, rd AS reportingdate, rid AS reporteurid, cls AS reporteurclass FROM fx_reports"
         ),
+        "source_lookup_aircrafts": _query(
+            "SELECT coalesce(registration, '') AS registration, model, manufacturer FROM fx_aircraft"
+        ),
+        "source_lookup_personnel": _query("SELECT rid AS reporteurid, airport FROM fx_personnel"),
         "date_codes": _query(
             f"SELECT k AS row_key, {_day_id('sd')} AS day_id, CAST(day(sd) AS INTEGER) AS day, {_month_id('sd')} AS month_id, "
             "CAST(month(sd) AS INTEGER) AS month, CAST(year(sd) AS INTEGER) AS year FROM fx_flights"
@@ -357,7 +418,7 @@ def oracle_sql() -> dict[str, str]:
             f"CAST({_us('ad', 'aa')} AS DOUBLE) / 1000000 / 3600 AS hours FROM fx_flights"
         ),
         "effective_cancellation": _query(
-            "SELECT k AS row_key, cancelled AS flagged, cancelled OR ad IS NULL OR aa IS NULL AS effectively_cancelled "
+            "SELECT k AS row_key, flag AS flagged, cancelled OR ad IS NULL OR aa IS NULL AS effectively_cancelled "
             "FROM fx_flights"
         ),
         "delay_flags": _query(
@@ -398,12 +459,12 @@ def oracle_sql() -> dict[str, str]:
             f"UNION ALL SELECT 'BR-23', reg, {_day_id('sd')}, 'flight', s || '-' || e, NULL, t0 "
             "FROM decided WHERE act = 0 AND ok AND t1 < t0 "
             f"UNION ALL SELECT 'FOREIGN-AIRCRAFT', reg, {_day_id('rd')}, 'report', NULL, NULL, rd FROM fx_reports "
-            "WHERE reg NOT IN (SELECT registration FROM fx_aircraft)",
+            f"WHERE {FOREIGN}",
             EVENTS,
         ),
         "reports_foreign": _query(
             "SELECT reg AS registration, count(*) AS reports FROM fx_reports "
-            "WHERE reg NOT IN (SELECT registration FROM fx_aircraft) GROUP BY ALL"
+            f"WHERE {FOREIGN} GROUP BY ALL"
         ),
         "rule_summary": _query(
             "SELECT 'BR-21' AS rule_id, 'flight' AS source, (SELECT count(*) FROM decided WHERE act = 0 AND NOT ok) AS hits, "
@@ -413,7 +474,7 @@ def oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT 'BR-23', 'flight', (SELECT count(*) FROM decided WHERE act = 0 AND ok AND t1 < t0), "
             "(SELECT count(*) FROM fx_flights) "
             "UNION ALL SELECT 'FOREIGN-AIRCRAFT', 'report', "
-            "(SELECT count(*) FROM fx_reports WHERE reg NOT IN (SELECT registration FROM fx_aircraft)), "
+            f"(SELECT count(*) FROM fx_reports WHERE {FOREIGN}), "
             "(SELECT count(*) FROM fx_reports)",
             EVENTS,
         ),
@@ -425,7 +486,7 @@ def oracle_sql() -> dict[str, str]:
                 for name, t, key in (
                     ("days", "t_days", "day_id"),
                     ("months", "t_months", "month_id"),
-                    ("aircrafts", "t_aircrafts", "registration"),
+                    ("aircrafts", "(SELECT DISTINCT * FROM fx_aircraft)", "registration"),
                     ("reporteurs", "t_reporteurs", "reporteur_uid"),
                 )
             )
@@ -448,22 +509,28 @@ def oracle_sql() -> dict[str, str]:
         ),
         "fk_orphans_reportage": _ruled(
             _orphans(
-                "t_reportage",
+                "all_reported",
                 "registration, month_id, reporteur_uid",
                 ("registration", "t_aircrafts", "registration"),
                 ("month_id", "t_months", "month_id"),
                 ("reporteur_uid", "t_reporteurs", "reporteur_uid"),
-            )
+            ),
+            ALL_REPORTED,
         ),
-        "warehouse_load": _ruled(
-            " UNION ALL ".join(
-                [f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {t}) AS written, 0 AS rejected" for name, t in _DIMS.items()]
-                + [
-                    f"SELECT '{name}', (SELECT count(*) FROM {t} WHERE registration IN (SELECT registration FROM t_aircrafts)), "
-                    f"(SELECT count(*) FROM {t} WHERE registration NOT IN (SELECT registration FROM t_aircrafts))"
-                    for name, t in _FACTS.items()
-                ]
-            )
+        "lookup_rivals": _ruled(
+            "SELECT *, CASE WHEN registration IS NULL THEN 'null_key:registration' ELSE 'duplicate_key:registration' END AS reason "
+            "FROM (SELECT * FROM fx_aircraft EXCEPT SELECT * FROM t_aircrafts)"
+        ),
+        "logged_violations": _ruled(
+            "SELECT 'BR-21' AS rule_id, CASE act WHEN 0 THEN 'flight' ELSE 'maintenance' END AS source, count(*) AS cases "
+            "FROM decided WHERE NOT ok GROUP BY ALL "
+            "UNION ALL SELECT 'BR-23', 'flight', count(*) FROM decided WHERE act = 0 AND ok AND t1 < t0 HAVING count(*) > 0 "
+            f"UNION ALL SELECT 'FOREIGN-AIRCRAFT', 'report', count(*) FROM fx_reports WHERE {FOREIGN} HAVING count(*) > 0"
+        ),
+        "warehouse_load": _ruled(_load_counts("SELECT * FROM fx_aircraft")),
+        # A missing registration is read from a file as an empty one, which is a key.
+        "etl_from_files": _ruled(
+            _load_counts("SELECT coalesce(registration, '') AS registration, model, manufacturer FROM fx_aircraft")
         ),
         "kpi_utilization": _ruled("SELECT * FROM q_utilization", YEARLY),
         "kpi_utilization_norules": _unruled("SELECT * FROM q_utilization", YEARLY),
@@ -478,6 +545,7 @@ def oracle_sql() -> dict[str, str]:
             _reconcile("q_per_role", "r_per_role", ["rrh", "rrc"], [*GROUP, "role"]), YEARLY, RAW
         ),
     }
+    q["source_files_flights"], q["source_files_maintenance"] = q["source_flights"], q["source_maintenance"]
     for name, t in _DIMS.items():
         q[f"dim_{name}"] = _ruled(f"SELECT * FROM {t}")
     for name, t in _FACTS.items():

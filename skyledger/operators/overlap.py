@@ -39,6 +39,7 @@ SLOT = ["start_hour", "end_hour"]
 # The order of events, then what the measures need. Content after the row key
 # makes the order total even where no row key is given.
 EVENT = ["activity", "began", "row_key", *SLOT, "ended", "planned", "programmed"]
+KEYED_ORDER = EVENT[:5]
 
 
 def slots_overlap(start_1: Column, end_1: Column, start_2: Column, end_2: Column) -> Column:
@@ -148,27 +149,7 @@ def distinct_slots(events: DataFrame) -> DataFrame:
     )
 
 
-def _accepted_slots(slots: Column, slot_type: str) -> Column:
-    """The greedy fold over the distinct slots of one aircraft and day."""
-    return F.aggregate(
-        F.array_sort(slots),
-        F.array().cast(f"array<{slot_type}>"),
-        lambda taken, slot: F.when(
-            F.exists(
-                taken,
-                lambda s: slots_overlap(
-                    slot["first"]["start_hour"],
-                    slot["first"]["end_hour"],
-                    s["first"]["start_hour"],
-                    s["first"]["end_hour"],
-                ),
-            ),
-            taken,
-        ).otherwise(F.array_append(taken, slot)),
-    )
-
-
-def _decided_slots(slots: DataFrame) -> DataFrame:
+def decided_slots(events: DataFrame) -> DataFrame:
     """The greedy fold: each distinct slot with ``accepted`` and with ``taken``,
     the first events of all accepted slots of its aircraft and day.
 
@@ -178,7 +159,7 @@ def _decided_slots(slots: DataFrame) -> DataFrame:
     shuffle is the same and is shared within a query.
     """
     grouped = (
-        slots.select(
+        distinct_slots(events).select(
             "registration",
             t.calendar_month(F.col("day")).alias("month"),
             "day",
@@ -203,16 +184,15 @@ def _decided_slots(slots: DataFrame) -> DataFrame:
     )
 
 
-def usage_by_day(events: DataFrame) -> DataFrame:
-    """Measures per aircraft and day under BR-21 and BR-23.
+def usage_by_day(decided: DataFrame) -> DataFrame:
+    """Measures per aircraft and day under BR-21 and BR-23, from decided slots.
 
     ``flights`` and ``services`` count all events, rejected ones included.
     """
     first = _event_measures("slot.first.", swap=True)
     adds = "case when slot.totals is not null then slot.totals.{name} else {first} end"
     return (
-        _decided_slots(distinct_slots(events))
-        .groupBy("registration", "month", "day")
+        decided.groupBy("registration", "month", "day")
         .agg(
             F.sum("slot.flights").alias("flights"),
             F.sum("slot.services").alias("services"),
@@ -237,23 +217,25 @@ def usage_by_day_unruled(events: DataFrame) -> DataFrame:
     )
 
 
-def slot_decisions(events: DataFrame) -> DataFrame:
-    """One row per distinct slot: its first event, whether it was accepted, and
-    the first events of all accepted slots of that aircraft and day."""
-    decided = _decided_slots(distinct_slots(events)).where(F.col("slot.first").isNotNull())
-    return decided.select(
+def slot_decisions(decided: DataFrame, order: list[str]) -> DataFrame:
+    """One row per distinct slot: the ``order`` columns of its first event, whether it was
+    accepted, and the same columns of the first events of all accepted slots of that
+    aircraft and day."""
+    only = lambda event: F.struct(*[event[c].alias(c) for c in order])
+    return decided.where(F.col("slot.first").isNotNull()).select(
         *GROUP,
         *[F.col(f"slot.first.{c}").alias(c) for c in SLOT],
-        F.col("slot.first").alias("first"),
+        only(F.col("slot.first")).alias("first"),
         F.col("accepted").alias("slot_accepted"),
-        "taken",
+        F.transform("taken", only).alias("taken"),
     )
 
 
-def event_decisions(events: DataFrame, keyed: bool) -> DataFrame:
-    """Accept or reject every event that takes a slot.
+def event_decisions(events: DataFrame, keyed: bool, decided: DataFrame | None = None) -> DataFrame:
+    """Accept or reject every event that takes a slot; ``decided``: the slots, if they are at hand.
 
-    Rows are events if they carry a unique row key (``keyed``). Otherwise
+    Rows are events if they carry a unique row key (``keyed``), which then also tells
+    events apart, so that of the taken slots little else travels. Otherwise
     events alike in every column share a row and ``events`` and ``accepted``
     count them. ``existing_slots`` lists the distinct slots taken before.
 
@@ -265,12 +247,13 @@ def event_decisions(events: DataFrame, keyed: bool) -> DataFrame:
         counted = active.withColumn("events", F.lit(1).cast("long"))
     else:
         counted = active.groupBy(*GROUP, *EVENT).agg(F.count("*").alias("events"))
-    decisions = slot_decisions(events)
+    order = KEYED_ORDER if keyed else EVENT
+    decisions = slot_decisions(decided_slots(events) if decided is None else decided, order)
     same_slot = reduce(
         lambda a, b: a & b,
         [F.col(f"e.{c}").eqNullSafe(F.col(f"d.{c}")) for c in [*GROUP, *SLOT]],
     )
-    event = F.struct(*[F.col(f"e.{c}") for c in EVENT])
+    event = F.struct(*[F.col(f"e.{c}") for c in order])
     is_first = event.eqNullSafe(F.col("d.first"))
     accepted = (
         F.when(~F.col("d.slot_accepted"), F.lit(0))

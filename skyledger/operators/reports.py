@@ -12,22 +12,28 @@ from skyledger.functions import temporal as t
 def count_reports(reports: DataFrame) -> DataFrame:
     """Reports per aircraft, month and reporter, combined before the shuffle.
 
-    ``last`` is the latest (date, class): the reporter's role follows from it.
+    ``last`` is the latest (date, class): the reporter's role follows from it. Reports are
+    counted per class first, with the latest date of each, which hashes; only these few
+    rows are compared as (date, class).
     """
-    return reports.groupBy(
+    keys = ["registration", "month", "reporteur_uid"]
+    per_class = reports.groupBy(
         F.col("aircraftregistration").alias("registration"),
         t.calendar_month(F.col("reportingdate")).alias("month"),
         P.reporter_key(F.col("reporteurid")).alias("reporteur_uid"),
-    ).agg(
-        F.count("*").alias("reps"),
-        F.count_if(P.is_marep(F.col("reporteurclass"))).alias("mareps"),
-        F.count_if(P.is_pirep(F.col("reporteurclass"))).alias("pireps"),
+        "reporteurclass",
+    ).agg(F.count("*").alias("n"), F.max("reportingdate").alias("reportingdate"))
+    of_class = lambda is_class: F.sum(F.when(is_class(F.col("reporteurclass")), F.col("n")).otherwise(0))
+    return per_class.groupBy(*keys).agg(
+        F.sum("n").alias("reps"),
+        of_class(P.is_marep).alias("mareps"),
+        of_class(P.is_pirep).alias("pireps"),
         F.max(F.struct("reportingdate", "reporteurclass")).alias("last"),
     )
 
 
 def _known(aircrafts: DataFrame) -> DataFrame:
-    return aircrafts.select("registration")
+    return aircrafts.where("registration is not null").select("registration")
 
 
 def of_known_aircraft(counts: DataFrame, aircrafts: DataFrame) -> DataFrame:
@@ -37,9 +43,16 @@ def of_known_aircraft(counts: DataFrame, aircrafts: DataFrame) -> DataFrame:
 
 
 def of_foreign_aircraft(df: DataFrame, aircrafts: DataFrame, registration: str = "registration") -> DataFrame:
-    """Rows on aircraft outside the lookup, a missing registration included."""
-    known = _known(aircrafts)
-    return df.join(known, df[registration] == known["registration"], "left_anti")
+    """Rows on aircraft outside the lookup, a missing registration included.
+
+    Rows without a registration are foreign by definition; they are spread by their content,
+    so that they do not meet in one task of a shuffled join.
+    """
+    known = aircrafts.where("registration is not null").select(F.col("registration").alias("_known"))
+    missing = F.col(registration).isNull()
+    spread = F.xxhash64(*[c for c in df.columns if c != registration]).cast("string")
+    same = (missing == F.lit(False)) & (F.coalesce(F.col(registration), spread) == F.col("_known"))
+    return df.join(known, same, "left_anti")
 
 
 def reporter_roles(kept: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.operators import overlap, reports
 from skyledger.plans import transform as tr
 from skyledger.plans import violations
-from skyledger.plans.warehouse import LoadResult, Warehouse, together
+from skyledger.plans.warehouse import LoadResult, published, together
 from skyledger.sources import SourceConfig, read_sources
 from skyledger.sources.paths import Staging
 
@@ -19,6 +20,11 @@ class EtlReport:
     rows_read: dict[str, int]
     loaded: list[LoadResult]
 
+    @property
+    def set_aside(self) -> dict[str, int]:
+        """Rows that were not loaded, for each table that has any."""
+        return {r.table: r.rejected for r in self.loaded if r.rejected}
+
 
 def _rows_read(grains: tr.Grains) -> dict[str, int]:
     """Source rows, from the staged frames: exact even if tasks were retried."""
@@ -36,34 +42,35 @@ def run_etl_on(
     on_violation: str = "quarantine",
     log_violations: bool = True,
 ) -> EtlReport:
-    """Fills a new warehouse at ``location`` from source relations.
+    """Fills the warehouse at ``location`` from source relations, all tables at once at the end.
 
-    The events are read once for the tables, and once more for the table
-    ``rule_violations`` unless ``log_violations`` is off.
+    The events are reduced to decided slots once, for the tables and for the table
+    ``rule_violations``, which reads the events themselves once more; ``log_violations``
+    leaves that table out. If anything fails the warehouse stays as it was.
     """
     staging = Staging(spark)
     lookup, personnel = sources["aircrafts"], sources["personnel"]
     try:
-        grains = tr.grains(sources, apply_business_rules)
-        usage, report_counts, warehouse = together(
-            [
-                lambda: staging(grains.usage, "usage"),
-                lambda: staging(grains.report_counts, "report_counts"),
-                lambda: Warehouse(spark, location, create=True),
-            ]
-        )
-        grains = tr.Grains(usage, report_counts)
-        jobs = [
-            lambda: warehouse.load(tr.tables(grains, lookup, personnel), on_violation),
-            lambda: _rows_read(grains),
-        ]
+        counting = lambda: staging(reports.count_reports(sources["reports"]), "report_counts")
         if apply_business_rules:
-            summary = violations.rule_summary(usage, report_counts, lookup)
-            jobs.append(lambda: warehouse.write_log(summary, "rule_summary"))
-        if log_violations:
-            hits = violations.rule_violations(sources, apply_business_rules)
-            jobs.append(lambda: warehouse.write_log(hits, "rule_violations"))
-        loaded, rows_read, *_ = together(jobs)
+            decided, report_counts = together([lambda: staging(tr.decided_slots(sources), "slots"), counting])
+            usage = staging(overlap.usage_by_day(decided), "usage")
+        else:
+            decided = None
+            usage, report_counts = together([lambda: staging(tr.usage(sources, False), "usage"), counting])
+        grains = tr.Grains(usage, report_counts)
+        with published(spark, location, on_violation) as run:
+            jobs = [
+                lambda: run.load(tr.rows_to_load(grains, lookup, personnel), on_violation),
+                lambda: _rows_read(grains),
+            ]
+            if apply_business_rules:
+                summary = violations.rule_summary(usage, report_counts, lookup)
+                jobs.append(lambda: run.write_log(summary, "rule_summary"))
+            if log_violations:
+                hits = violations.rule_violations(sources, apply_business_rules, decided)
+                jobs.append(lambda: run.write_log(hits, "rule_violations"))
+            loaded, rows_read, *_ = together(jobs)
     finally:
         staging.close()
     return EtlReport(rows_read, loaded)

@@ -159,17 +159,17 @@ def _report_totals(reports: DataFrame, aircrafts: DataFrame, per_role: bool = Fa
             F.col("reporteurclass").alias("role"),
         )
         .groupBy("registration", "year", *role)
-        .agg(F.count("*").alias("counter"))
+        .agg(F.count("*").alias("reports"))
     )
-    return named_manufacturer(per_aircraft, aircrafts).groupBy(*GROUP, *role).agg(F.sum("counter").alias("counter"))
+    return named_manufacturer(per_aircraft, aircrafts).groupBy(*GROUP, *role).agg(F.sum("reports").alias("reports"))
 
 
 def _rates() -> list[Column]:
     """Rounded first, then scaled: whole numbers."""
-    per_hour = rounded_units(f"(cast(counter as decimal(24,0)) * {HOUR_US})", "flight_us", 3)
+    per_hour = rounded_units(f"(cast(reports as decimal(24,0)) * {HOUR_US})", "flight_us", 3)
     return [
         _expr(f"cast({per_hour} as double)", "rrh"),
-        _expr(f"cast({rounded_units('counter', 'cycles', 2)} as double)", "rrc"),
+        _expr(f"cast({rounded_units('reports', 'cycles', 2)} as double)", "rrc"),
     ]
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from skyledger.functions import numeric as n
 from skyledger.functions import temporal as t
 from skyledger.operators import overlap, reports
+from skyledger.plans.warehouse import unique
+from skyledger.schemas import TABLES
 
 # 365.25 / 12 days, in seconds: an average month, exactly.
 MONTH_SECONDS = 2_629_800
@@ -23,9 +25,14 @@ MONTH_SECONDS = 2_629_800
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
+def decided_slots(sources: dict[str, DataFrame]) -> DataFrame:
+    return overlap.decided_slots(overlap.activity_events(sources["flights"], sources["maintenance"]))
+
+
 def usage(sources: dict[str, DataFrame], apply_business_rules: bool = True) -> DataFrame:
-    events = overlap.activity_events(sources["flights"], sources["maintenance"])
-    return overlap.usage_by_day(events) if apply_business_rules else overlap.usage_by_day_unruled(events)
+    if apply_business_rules:
+        return overlap.usage_by_day(decided_slots(sources))
+    return overlap.usage_by_day_unruled(overlap.activity_events(sources["flights"], sources["maintenance"]))
 
 
 def daily_usage(usage: DataFrame) -> DataFrame:
@@ -107,8 +114,8 @@ def grains(sources: dict[str, DataFrame], apply_business_rules: bool = True, sta
     )
 
 
-def tables(grains: Grains, lookup: DataFrame, personnel: DataFrame) -> dict[str, DataFrame]:
-    """The seven tables in load order."""
+def rows_to_load(grains: Grains, lookup: DataFrame, personnel: DataFrame) -> dict[str, DataFrame]:
+    """The seven tables in load order, with all rows that share a key: the load chooses among them."""
     kept = reports.of_known_aircraft(grains.report_counts, lookup)
     return {
         "days": days(grains.usage),
@@ -121,6 +128,14 @@ def tables(grains: Grains, lookup: DataFrame, personnel: DataFrame) -> dict[str,
     }
 
 
+def tables(grains: Grains, lookup: DataFrame, personnel: DataFrame) -> dict[str, DataFrame]:
+    """The seven tables in load order, as a load stores them: one row for each key of a dimension."""
+    found = rows_to_load(grains, lookup, personnel)
+    for name in ("aircrafts", "reporteurs"):
+        found[name] = unique(found[name], TABLES[name].primary_key)
+    return found
+
+
 def transform(
     sources: dict[str, DataFrame], apply_business_rules: bool = True, stage: Stage | None = None
 ) -> dict[str, DataFrame]:

@@ -22,10 +22,10 @@ def _source():
     )
 
 
-def event_decisions(sources: dict[str, DataFrame]) -> DataFrame:
+def event_decisions(sources: dict[str, DataFrame], decided: DataFrame | None = None) -> DataFrame:
     flights, maintenance = sources["flights"], sources["maintenance"]
     keyed = schemas.ROW_KEY in flights.columns and schemas.ROW_KEY in maintenance.columns
-    return overlap.event_decisions(overlap.activity_events(flights, maintenance), keyed)
+    return overlap.event_decisions(overlap.activity_events(flights, maintenance), keyed, decided)
 
 
 def foreign_report_cases(sources: dict[str, DataFrame]) -> DataFrame:
@@ -41,45 +41,48 @@ def foreign_report_cases(sources: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def rule_violations(sources: dict[str, DataFrame], apply_business_rules: bool = True) -> DataFrame:
+def rule_violations(
+    sources: dict[str, DataFrame], apply_business_rules: bool = True, decided: DataFrame | None = None
+) -> DataFrame:
     """Every hit of a rule, with the slots already taken for BR-21.
 
     ``cases`` counts events alike in every column; it is 1 where the sources
     carry a unique row key, and for reports. With the rules off only reports on
-    foreign aircraft are left.
+    foreign aircraft are left. ``decided``: the decided slots, if they are at hand.
     """
     foreign = foreign_report_cases(sources)
     if not apply_business_rules:
         return foreign
-    decided = event_decisions(sources)
-    event_columns = [
+    none_taken = F.lit(None).cast(f"array<{_SLOT}>")
+    hit = lambda rule, taken, cases: F.struct(
+        F.lit(rule).alias("rule_id"), taken.alias("existing_slots"), cases.cast("long").alias("cases")
+    )
+    rejected, swapped = F.col("accepted") < F.col("events"), _is_swapped()
+    events = event_decisions(sources, decided).where(rejected | swapped)
+    hits = F.array_compact(
+        F.array(
+            F.when(rejected, hit(OVERLAP, F.col("existing_slots").cast(f"array<{_SLOT}>"), F.col("events") - F.col("accepted"))),
+            F.when(swapped, hit(SWAPPED, none_taken, F.col("accepted"))),
+        )
+    )
+    found = events.select(
         "registration",
         t.day_id(F.col("day")).alias("day_id"),
         _source().alias("source"),
         F.struct("start_hour", "end_hour").cast(_SLOT).alias("slot"),
-    ]
-    rejected = decided.where("accepted < events").select(
-        F.lit(OVERLAP).alias("rule_id"),
-        *event_columns,
-        F.col("existing_slots").cast(f"array<{_SLOT}>").alias("existing_slots"),
         F.col("began").alias("ts"),
-        (F.col("events") - F.col("accepted")).alias("cases"),
+        F.inline(hits),
     )
-    swapped = swapped_flights(decided).select(
-        F.lit(SWAPPED).alias("rule_id"),
-        *event_columns,
-        F.lit(None).cast(f"array<{_SLOT}>").alias("existing_slots"),
-        F.col("began").alias("ts"),
-        F.col("accepted").alias("cases"),
-    )
-    return rejected.unionByName(swapped).unionByName(foreign)
+    return found.select(*foreign.columns).unionByName(foreign)
+
+
+def _is_swapped():
+    return (F.col("activity") == overlap.FLIGHT) & (F.col("accepted") > 0) & P.is_swapped(F.col("began"), F.col("ended"))
 
 
 def swapped_flights(decided: DataFrame) -> DataFrame:
     """Accepted flights whose arrival precedes their departure."""
-    return decided.where(
-        (F.col("activity") == overlap.FLIGHT) & (F.col("accepted") > 0) & P.is_swapped(F.col("began"), F.col("ended"))
-    )
+    return decided.where(_is_swapped())
 
 
 def foreign_reports(counts: DataFrame, aircrafts: DataFrame) -> DataFrame:
@@ -120,7 +123,7 @@ def rule_summary(usage: DataFrame, counts: DataFrame, aircrafts: DataFrame) -> D
             )
         )
     )
-    known = aircrafts.select("registration").distinct().withColumn("known", F.lit(True))
+    known = aircrafts.where("registration is not null").select("registration").distinct().withColumn("known", F.lit(True))
     on_reports = (
         counts.join(known, "registration", "left")
         .agg(

@@ -1,15 +1,20 @@
-"""The stored star schema: create, load with key checks, open, empty.
-
-A warehouse is a folder of parquet tables with the declared schemas. Rows that
-do not fit a declared type, share a primary key or miss a dimension row are
-kept apart in ``<table>_rejects`` with the reason, and counted. Nothing is
-dropped, and a load never claims more than it wrote.
+"""The stored star schema: create, load with key checks, publish, open, empty.
+
+A warehouse is a folder of runs. A run is a folder of parquet tables with the declared
+schemas; it counts from the moment its marker file, written last, is there, and a
+warehouse is opened at the last run that counts. A load that fails leaves the tables as
+they were. Rows that do not fit a declared type, lose against another row with their
+primary key or miss a dimension row are kept apart in ``<table>_rejects`` with the reason,
+and counted. Nothing is dropped, and a load never claims more than it wrote.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+import time
+import uuid
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import TypeVar
 
@@ -18,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyledger.schemas import DIMENSIONS, FACTS, TABLES, Table
-from skyledger.sources.paths import delete, exists
+from skyledger.sources.paths import children, create_empty, delete, exists
 
 R = TypeVar("R")
 
@@ -67,10 +72,11 @@ def orphans(fact: DataFrame, dimension: DataFrame, column: str, key: str) -> Dat
 @dataclass(frozen=True)
 class Checked:
     """Rows of one table with ``reasons``; ``broken`` is set up apart, as it is
-    needed only if there is something to set aside."""
+    needed only if ``suspect`` holds for a row."""
 
     rows: DataFrame
     broken: DataFrame
+    suspect: Column
 
 
 def _fitted(df: DataFrame, table: Table, keep: Sequence[str] = ()) -> DataFrame:
@@ -98,35 +104,40 @@ def _broken(rows: DataFrame) -> DataFrame:
     return rows.where(F.size(REASONS) > 0).select(F.to_json(AS_GIVEN).alias("row"), REASONS)
 
 
+def unique(df: DataFrame, key: str) -> DataFrame:
+    """One row for each key, the one with the greatest content; none for a missing key."""
+    rest = [c for c in df.columns if c != key]
+    kept = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*rest)).alias("_kept"))
+    return kept.select(*[F.col(c) if c == key else F.col(f"_kept.{c}") for c in df.columns])
+
+
+def set_aside(df: DataFrame, table: Table) -> DataFrame:
+    """Different rows of a dimension that another row with their key replaces, or that have no key, with ``reason``."""
+    key = table.primary_key
+    rows = df.select(*table.columns).dropDuplicates()
+    kept = unique(df.select(*table.columns), key)
+    alike = [F.col(f"_row.{c}").eqNullSafe(F.col(f"_kept.{c}")) for c in table.columns]
+    beaten = rows.alias("_row").join(kept.alias("_kept"), alike, "left_anti")
+    reason = F.when(F.col(key).isNull(), f"null_key:{key}").otherwise(f"duplicate_key:{key}")
+    return beaten.select(*table.columns, reason.alias("reason"))
+
+
 def check_dimension(df: DataFrame, table: Table) -> Checked:
-    """All rows that share a key are rejected, unless they are alike: which of
-    them to keep would depend on row order.
+    """Of rows that share a key the one with the greatest content stays, so that facts keep
+    their dimension row; the others are set aside. Rows alike count once.
 
-    One combined aggregate finds the sound rows: a key is sound if its least
-    and its greatest row are the same.
+    One combined aggregate finds the rows to write, and whether any are to be set aside.
     """
     key = table.primary_key
     row = F.struct(*table.columns)
     per_key = df.groupBy(F.col(key).alias("_key")).agg(F.min(row).alias("_least"), F.max(row).alias("_greatest"))
-    repeated = F.col("_least") != F.col("_greatest")
-
-    def marked(rows: DataFrame, is_repeated: str) -> DataFrame:
-        fitted = _fitted(rows, table, keep=[is_repeated])
-        repeats = f"{is_repeated} and {key} is not null"
-        fitted = fitted.withColumn(REASONS, _add_reason(repeats, f"duplicate_key:{key}"))
-        return fitted.withColumn(REASONS, _add_reason(f"{key} is null", f"null_key:{key}")).drop(is_repeated)
-
-    rivals = per_key.where(repeated).select("_key", F.lit(True).alias("_rival"))
-    copies = (
-        df.select(*table.columns)
-        .dropDuplicates()
-        .join(rivals, F.col(key) == F.col("_key"), "left")
-        .withColumn("_repeated", F.coalesce("_rival", F.lit(False)))
-    )
-    return Checked(
-        marked(per_key.select("_least.*", repeated.alias("_repeated")), "_repeated"),
-        _broken(marked(copies, "_repeated")),
-    )
+    rival = (F.col("_least") != F.col("_greatest")).alias("_rival")
+    rows = _fitted(per_key.select("_greatest.*", rival), table, keep=["_rival"])
+    rows = rows.withColumn(REASONS, _add_reason(f"{key} is null", f"null_key:{key}"))
+    beaten = set_aside(df, table)
+    misfits = _broken(_fitted(unique(df.select(*table.columns), key), table))
+    broken = misfits.unionByName(beaten.select(F.to_json(F.struct(*table.columns)).alias("row"), F.array("reason").alias(REASONS)))
+    return Checked(rows, broken, F.col("_rival") | (F.size(REASONS) > 0))
 
 
 def check_fact(df: DataFrame, table: Table, dimensions: dict[str, DataFrame]) -> Checked:
@@ -139,7 +150,7 @@ def check_fact(df: DataFrame, table: Table, dimensions: dict[str, DataFrame]) ->
             .withColumn(REASONS, _add_reason(f"{column} is not null and _key is null", f"orphan:{column}"))
             .drop("_key")
         )
-    return Checked(checked, _broken(checked))
+    return Checked(checked, _broken(checked), F.size(REASONS) > 0)
 
 
 def together(jobs: Iterable[Callable[[], R]]) -> list[R]:
@@ -150,54 +161,28 @@ def together(jobs: Iterable[Callable[[], R]]) -> list[R]:
         return list(pool.map(lambda job: job(), jobs))
 
 
-class Warehouse:
-    """``create=True`` starts empty; otherwise an existing warehouse is opened."""
+MARKER = "_PUBLISHED"
 
-    def __init__(self, spark: SparkSession, location: str, create: bool = False):
+
+class Run:
+    """The tables of one load, not part of the warehouse before ``publish``."""
+
+    def __init__(self, spark: SparkSession, location: str):
         self.spark = spark
-        self.location = location.rstrip("/")
-        if create:
-            self.restart()
-        else:
-            missing = [name for name in TABLES if not exists(spark, self._path(name))]
-            if missing:
-                raise FileNotFoundError(f"no warehouse at {self.location}: missing {missing}")
+        self.location = location
 
     def _path(self, name: str) -> str:
         return f"{self.location}/{name}"
 
-    def _empty(self, schema: T.StructType) -> DataFrame:
-        return self.spark.createDataFrame([], schema)
-
-    def restart(self) -> None:
-        """Empties all tables, facts before dimensions."""
-        for group in (FACTS, DIMENSIONS):
-            together(lambda n=name: self._replace(self._empty(TABLES[n].schema), n) for name in group)
-            for name in group:
-                delete(self.spark, self._path(f"{name}_rejects"))
-
-    def _replace(self, df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").parquet(self._path(name))
-
-    def table(self, name: str) -> DataFrame | None:
-        """A stored table, or None for a name that is none."""
-        if name not in TABLES:
-            return None
-        return self.spark.read.schema(TABLES[name].schema).parquet(self._path(name))
-
-    def tables(self) -> dict[str, DataFrame]:
-        return {name: self.table(name) for name in TABLES}
-
-    def rejects(self, name: str) -> DataFrame:
-        """Rows of the last load that were set aside: the row as JSON, and why."""
-        path = self._path(f"{name}_rejects")
-        if not exists(self.spark, path):
-            return self._empty(REJECTS)
-        return self.spark.read.schema(REJECTS).parquet(path)
+    def _write(self, df: DataFrame, name: str) -> None:
+        df.write.parquet(self._path(name))
 
     def write_log(self, df: DataFrame, name: str) -> None:
-        """Replaces a table beside the star schema, such as the rule hits."""
-        self._replace(df, name)
+        """A table beside the star schema, such as the rule hits."""
+        self._write(df, name)
+
+    def write_empty(self) -> None:
+        together(lambda t=table: self._write(self.spark.createDataFrame([], t.schema).coalesce(1), t.name) for table in TABLES.values())
 
     def _store(self, table: Table, checked: Checked, on_violation: str) -> LoadResult:
         if on_violation == "fail":
@@ -207,33 +192,118 @@ class Warehouse:
         observed = Observation()
         sound = F.size(REASONS) == 0
         counted = checked.rows.observe(
-            observed, F.count_if(sound).alias("written"), F.count_if(~sound).alias("broken")
+            observed, F.count_if(sound).alias("written"), F.count_if(checked.suspect).alias("suspect")
         )
-        self._replace(counted.where(sound).select(*table.columns), table.name)
+        self._write(counted.where(sound).select(*table.columns), table.name)
         counts = observed.get
-        rejects = f"{table.name}_rejects"
-        if not counts["broken"]:
-            delete(self.spark, self._path(rejects))
+        if not counts["suspect"]:
             return LoadResult(table.name, counts["written"], 0)
         lost = Observation()
-        self._replace(checked.broken.observe(lost, F.count("*").alias("rows")), rejects)
+        self._write(checked.broken.observe(lost, F.count("*").alias("rows")), f"{table.name}_rejects")
         return LoadResult(table.name, counts["written"], lost.get["rows"])
 
     def load(self, frames: dict[str, DataFrame], on_violation: str = "quarantine") -> list[LoadResult]:
-        """Replaces all seven tables: the dimensions, then the facts.
-
-        ``quarantine`` writes the sound rows and sets the others aside;
-        ``fail`` raises on a violation before that table is written.
-        """
-        if on_violation not in ("quarantine", "fail"):
-            raise ValueError(f"on_violation: {on_violation!r}")
+        """Writes all seven tables: the dimensions, then the facts."""
 
         def load_dimension(name: str) -> LoadResult:
             return self._store(TABLES[name], check_dimension(frames[name], TABLES[name]), on_violation)
 
+        def stored(name: str) -> DataFrame:
+            return self.spark.read.schema(TABLES[name].schema).parquet(self._path(name))
+
         def load_fact(name: str) -> LoadResult:
-            stored = {d: self.table(d) for d in TABLES[name].foreign_keys.values()}
-            return self._store(TABLES[name], check_fact(frames[name], TABLES[name], stored), on_violation)
+            known = {d: stored(d) for d in TABLES[name].foreign_keys.values()}
+            return self._store(TABLES[name], check_fact(frames[name], TABLES[name], known), on_violation)
 
         dimensions = together(lambda n=name: load_dimension(n) for name in DIMENSIONS)
         return dimensions + together(lambda n=name: load_fact(n) for name in FACTS)
+
+    def publish(self) -> None:
+        create_empty(self.spark, self._path(MARKER))
+
+    def discard(self) -> None:
+        delete(self.spark, self.location)
+
+
+class Warehouse:
+    """``create=True`` starts a warehouse, empty, where there is none yet; ``restart``
+    empties one that is there. Otherwise an existing warehouse is opened."""
+
+    def __init__(self, spark: SparkSession, location: str, create: bool = False):
+        self.spark = spark
+        self.location = location.rstrip("/")
+        if self._published() is None:
+            if not create:
+                raise FileNotFoundError(f"no warehouse at {self.location}")
+            self.restart()
+
+    def _runs(self) -> list[str]:
+        return sorted(children(self.spark, f"{self.location}/runs"))
+
+    def _published(self) -> str | None:
+        """The last run that counts."""
+        paths = [f"{self.location}/runs/{run}" for run in reversed(self._runs())]
+        return next((p for p in paths if exists(self.spark, f"{p}/{MARKER}")), None)
+
+    def _path(self, name: str) -> str:
+        return f"{self._published()}/{name}"
+
+    def restart(self) -> None:
+        """Empties all tables."""
+        with published(self.spark, self.location) as run:
+            run.write_empty()
+
+    def table(self, name: str) -> DataFrame | None:
+        """A stored table, or None for a name that is none."""
+        if name not in TABLES:
+            return None
+        return self.spark.read.schema(TABLES[name].schema).parquet(self._path(name))
+
+    def tables(self) -> dict[str, DataFrame]:
+        run = self._published()
+        return {name: self.spark.read.schema(t.schema).parquet(f"{run}/{name}") for name, t in TABLES.items()}
+
+    def rejects(self, name: str) -> DataFrame:
+        """Rows of the last load that were set aside: the row as JSON, and why."""
+        path = self._path(f"{name}_rejects")
+        if not exists(self.spark, path):
+            return self.spark.createDataFrame([], REJECTS)
+        return self.spark.read.schema(REJECTS).parquet(path)
+
+    def log(self, name: str) -> DataFrame:
+        """A table beside the star schema."""
+        return self.spark.read.parquet(self._path(name))
+
+    def load(self, frames: dict[str, DataFrame], on_violation: str = "quarantine") -> list[LoadResult]:
+        """Replaces all seven tables at once.
+
+        ``quarantine`` writes the sound rows and sets the others aside; ``fail`` raises on a
+        violation in any table, and nothing is replaced.
+        """
+        with published(self.spark, self.location, on_violation) as run:
+            return run.load(frames, on_violation)
+
+
+def begin(spark: SparkSession, location: str) -> Run:
+    """A new run; its name sorts after those before."""
+    return Run(spark, f"{location.rstrip('/')}/runs/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
+
+
+@contextmanager
+def published(spark: SparkSession, location: str, on_violation: str = "quarantine") -> Iterator[Run]:
+    """A run that counts if the block ends well and is removed if it does not.
+
+    Earlier runs go, but for the one before, which readers may still have open.
+    """
+    if on_violation not in ("quarantine", "fail"):
+        raise ValueError(f"on_violation: {on_violation!r}")
+    run = begin(spark, location)
+    try:
+        yield run
+        run.publish()
+    except BaseException:
+        run.discard()
+        raise
+    folder = f"{location.rstrip('/')}/runs"
+    for old in sorted(children(spark, folder))[:-2]:
+        delete(spark, f"{folder}/{old}")

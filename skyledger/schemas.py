@@ -38,8 +38,6 @@ REPORTS = _struct(
     ("reporteurid", T.LongType(), True),
     ("reporteurclass", _S, True),
 )
-AIRCRAFT_LOOKUP = _struct(("registration", _S, True), ("model", _S, True), ("manufacturer", _S, True))
-PERSONNEL = _struct(("reporteurid", _S, True), ("airport", _S, True))
 
 # Optional unique row key of flights and maintenance. It breaks ties between
 # events with the same start; without it ties are broken by the rows' content.

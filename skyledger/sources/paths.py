@@ -23,6 +23,18 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    fs, hadoop_path = _hadoop(spark, folder)
+    return [s.getPath().getName() for s in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """An empty file, which is there or not on any store."""
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.create(hadoop_path, True).close()
+
+
 def first_existing(spark: SparkSession, folder: str, names: tuple[str, ...]) -> str:
     for name in names:
         path = f"{folder.rstrip('/')}/{name}"
@@ -32,19 +44,19 @@ def first_existing(spark: SparkSession, folder: str, names: tuple[str, ...]) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for intermediate data.
+    """The folder the cluster names for intermediate data in ``spark.checkpoint.dir``.
 
-    A machine-local folder is chosen only in local mode with none configured;
+    Without the setting a session in local mode gets a temporary folder of its own;
     on a cluster a missing setting is an error.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="skyledger-"))
-    return context.getCheckpointDir()
+    folder = tempfile.mkdtemp(prefix="skyledger-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
 
 
 class Staging:

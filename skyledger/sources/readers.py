@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,24 +22,48 @@ REPORTS_TABLE = '"AMOS"."postflightreports"'
 
 @dataclass(frozen=True)
 class TableSource:
-    """Files of one relation, in any format Spark reads."""
+    """Files of one relation, in any format Spark reads.
+
+    Columns go by name, whatever their order and whatever else there is; a missing one is
+    an error, and the row key is taken where there is one. CSV files have a header. JSON
+    leaves out what is NULL, so there a missing column is NULL, and ``row_key`` has to say
+    whether the rows have a key. A line that does not fit its header or its types fails the
+    read: no row is read as something else.
+    """
 
     path: str
     format: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
+    row_key: bool = False
 
     def load(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
-        reader = spark.read.format(self.format).options(**self.options)
-        if self.format in ("csv", "json"):
-            reader = reader.schema(schema)
-        return reader.load(self.path)
+        reader = spark.read.format(self.format)
+        if self.format == "csv":
+            reader = reader.options(header="true", mode="FAILFAST", enforceSchema="false", inferSchema="false")
+        if self.format == "json":
+            names = [*schema.fieldNames(), *[schemas.ROW_KEY][: self.row_key]]
+            reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names])).options(mode="FAILFAST")
+        return by_name(reader.options(**self.options).load(self.path), schema)
+
+
+def by_name(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of the schema with its types, and the row key where there is one."""
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns {missing} among {df.columns}")
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+    if schemas.ROW_KEY in df.columns:
+        columns.append(F.col(schemas.ROW_KEY).cast("long").alias(schemas.ROW_KEY))
+    return df.select(*columns)
 
 
 @dataclass(frozen=True, repr=False)
 class JdbcSource:
     """One database table, read in parallel ranges of ``partition_column``.
 
-    ``options`` holds the URL and credentials and is never printed.
+    ``options`` holds the URL and credentials and is never printed. The ranges are
+    conditions, not numbers, so that a time without a zone can be split: half-open ranges
+    between the bounds, one below, one above, and one for NULL.
     """
 
     options: dict[str, str]
@@ -49,27 +74,29 @@ class JdbcSource:
     partitions: int = 1
     fetch_size: int = 10_000
 
-    def reader_options(self) -> dict[str, str]:
-        options = {
-            **self.options,
-            "dbtable": self.table,
-            "preferTimestampNTZ": "true",
-            "fetchsize": str(self.fetch_size),
-        }
-        if self.partition_column:
-            if self.lower_bound is None or self.upper_bound is None:
-                raise ValueError(f"{self.table}: a partitioned read needs both bounds")
-            # The bounds only set the stride; rows outside them are read too.
-            options |= {
-                "partitionColumn": self.partition_column,
-                "lowerBound": self.lower_bound,
-                "upperBound": self.upper_bound,
-                "numPartitions": str(self.partitions),
-            }
-        return options
+    def properties(self) -> dict[str, str]:
+        rest = {k: v for k, v in self.options.items() if k != "url"}
+        return rest | {"preferTimestampNTZ": "true", "fetchsize": str(self.fetch_size)}
+
+    def predicates(self) -> list[str] | None:
+        """Conditions of which every row meets exactly one; None for a read in one piece."""
+        if not self.partition_column:
+            return None
+        if self.lower_bound is None or self.upper_bound is None:
+            raise ValueError(f"{self.table}: a partitioned read needs both bounds")
+        low, high = (dt.datetime.fromisoformat(b) for b in (self.lower_bound, self.upper_bound))
+        if not low < high or self.partitions < 1:
+            raise ValueError(f"{self.table}: no range between {low} and {high}")
+        step = (high - low) / self.partitions
+        edges = [low + i * step for i in range(self.partitions)] + [high]
+        column, at = self.partition_column, [f"TIMESTAMP '{e.isoformat(sep=' ', timespec='microseconds')}'" for e in edges]
+        inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(at[:-1], at[1:])]
+        return [f"{column} < {at[0]}", *inner, f"{column} >= {at[-1]}", f"{column} IS NULL"]
 
     def load(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.reader_options()).load()
+        predicates = self.predicates()
+        split = {} if predicates is None else {"predicates": predicates}
+        return spark.read.jdbc(self.options["url"], self.table, properties=self.properties(), **split)
 
 
 def jdbc_sources(options: dict[str, str], lower_bound: str, upper_bound: str, partitions: int) -> dict[str, JdbcSource]:

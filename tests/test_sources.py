@@ -1,4 +1,7 @@
+import datetime as dt
+
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger import schemas
 from skyledger.sources import JdbcSource, SourceConfig, TableSource, read_sources
@@ -51,22 +54,66 @@ def test_read_sources(spark, make, lookups, tmp_path):
     )
     got = read_sources(spark, config)
     assert got["flights"].columns == [*schemas.FLIGHTS.fieldNames(), "row_key"]
-    assert got["maintenance"].schema == schemas.MAINTENANCE
-    assert got["reports"].schema == schemas.REPORTS
+    assert got["maintenance"].columns == schemas.MAINTENANCE.fieldNames()
+    assert [f.dataType for f in got["reports"].schema] == [f.dataType for f in schemas.REPORTS]
     assert got["reports"].first().reporteurid == 1 and got["maintenance"].first().programmed is True
 
 
-def test_jdbc_options():
-    secret = {"url": "jdbc:postgresql://db/x", "password": "hush"}
-    sources = readers.jdbc_sources(secret, "2015-01-01", "2025-01-01", 64)
-    options = sources["reports"].reader_options()
-    assert options["dbtable"] == '"AMOS"."postflightreports"'
-    assert options["partitionColumn"] == "reportingdate" and options["numPartitions"] == "64"
-    assert options["preferTimestampNTZ"] == "true"
+def test_csv_columns_go_by_name_and_keep_the_row_key(spark, make, tmp_path):
+    flights = make.flights([
+        ("XY-AAA", "2024-01-01T08:00", "2024-01-01T09:00", "2024-01-01T08:05", None, None),
+        ("XY-BBB", "2024-01-02T08:00", "2024-01-02T09:00", None, None, True),
+    ])
+    mixed = flights.select(F.lit("F1").alias("flightid"), *reversed(flights.columns), F.lit(None).cast("string").alias("more"))
+    for number, form in enumerate(("csv", "json", "parquet")):
+        mixed.write.format(form).option("header", True).save(str(tmp_path / form))
+        got = TableSource(str(tmp_path / form), form, row_key=form == "json").load(spark, schemas.FLIGHTS)
+        assert got.columns == [*schemas.FLIGHTS.fieldNames(), "row_key"]
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, flights.select(got.columns).collect()), key=str)
+    mixed.drop("actualarrival").write.option("header", True).csv(str(tmp_path / "short"))
+    with pytest.raises(ValueError, match="actualarrival"):
+        TableSource(str(tmp_path / "short"), "csv").load(spark, schemas.FLIGHTS)
+
+
+def test_a_malformed_line_fails_the_read(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("aircraftregistration,reportingdate,reporteurid,reporteurclass\nA,2024-01-01,x,PIREP\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        TableSource(str(tmp_path / "r.csv"), "csv").load(spark, schemas.REPORTS).collect()
+
+
+SECRET = {"url": "jdbc:postgresql://db/x", "password": "hush"}
+
+
+def test_jdbc_properties():
+    sources = readers.jdbc_sources(SECRET, "2015-01-01", "2025-01-01", 64)
+    properties = sources["reports"].properties()
+    assert sources["reports"].table == '"AMOS"."postflightreports"'
+    assert properties["preferTimestampNTZ"] == "true" and "url" not in properties
     assert "hush" not in repr(sources["flights"])
     with pytest.raises(ValueError, match="bounds") as error:
-        JdbcSource(secret, "t", "c").reader_options()
+        JdbcSource(SECRET, "t", "c").predicates()
     assert "hush" not in str(error.value)
+    assert JdbcSource(SECRET, "t").predicates() is None
+
+
+@pytest.mark.parametrize("name,schema", [("flights", schemas.FLIGHTS), ("maintenance", schemas.MAINTENANCE), ("reports", schemas.REPORTS)])
+def test_jdbc_ranges_split_all_times_without_a_zone(spark, name, schema):
+    """Every time, also outside the bounds and none, meets exactly one condition."""
+    source = readers.jdbc_sources(SECRET, "2015-01-01", "2016-01-01", 7)[name]
+    conditions = source.predicates()
+    assert len(conditions) == 7 + 3
+    column = next(f for f in schema.fields if f.name == source.partition_column)
+    assert column.dataType.typeName() == "timestamp_ntz"
+    times = [None, "1900-01-01T00:00", "2014-12-31T23:59:59.999999", "2015-01-01T00:00", "2015-12-31T23:59:59.999999", "2016-01-01T00:00"]
+    times += [f"2015-{m:02}-{d:02}T{h:02}:00" for m in range(1, 13) for d in (1, 22) for h in (0, 13)]
+    times += [c.split("'")[1].replace(" ", "T") for c in conditions if "'" in c]
+    rows = spark.createDataFrame([(t and dt.datetime.fromisoformat(t),) for t in times], f"{column.name} timestamp_ntz")
+    spark.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")
+    try:
+        met = rows.select(sum((F.when(F.expr(c), 1).otherwise(0) for c in conditions), F.lit(0)).alias("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.timestampType")
+    assert {r.n for r in met} == {1}
 
 
 def test_staging_writes_once_and_cleans_up(spark):

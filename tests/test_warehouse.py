@@ -1,16 +1,18 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import as_dicts
 from skyledger import fixtures
 from skyledger.plans import kpis
 from skyledger.plans.etl import run_etl_on
 from skyledger.plans.transform import transform
-from skyledger.plans.warehouse import ConstraintViolation, Warehouse, primary_key_summary
-from skyledger.schemas import TABLES
+from skyledger.plans.warehouse import ConstraintViolation, Warehouse, begin, primary_key_summary
+from skyledger.schemas import DIMENSIONS, TABLES
 
 SF = "/root/testdata/sf0.001"
+MOST_JOBS = 80
 
 
 def frames(spark, **rows):
@@ -61,25 +63,60 @@ def test_broken_rows_are_set_aside(spark, tmp_path):
     }
     w = Warehouse(spark, str(tmp_path / "w"), create=True)
     results = {r.table: (r.written, r.rejected) for r in w.load(frames(spark, **rows))}
-    assert results["aircrafts"] == (1, 3)  # copies alike are one row; rivals for a key all go
-    assert results["daily_usage"] == (2, 3)  # a missing reference passes
+    assert results["aircrafts"] == (2, 2)  # copies alike are one row; of rivals for a key the greatest stays
+    assert {tuple(r) for r in w.table("aircrafts").collect()} == {("A", "m", "Airbus"), ("B", "y", "Airbus")}
+    assert results["daily_usage"] == (3, 2)  # a missing reference passes
     reasons = sorted(tuple(r.reasons) for r in w.rejects("daily_usage").collect())
-    assert reasons == [("orphan:registration",), ("orphan:registration", "orphan:day_id"), ("out_of_range:fh", "out_of_range:sto")]
+    assert reasons == [("orphan:registration", "orphan:day_id"), ("out_of_range:fh", "out_of_range:sto")]
     assert any("1099511627776" in r.row for r in w.rejects("daily_usage").collect())
     assert sorted(tuple(r.reasons) for r in w.rejects("aircrafts").collect()) == [
-        ("duplicate_key:registration",), ("duplicate_key:registration",), ("null_key:registration",)]
+        ("duplicate_key:registration",), ("null_key:registration",)]
 
 
-def test_fail_raises_before_the_table_is_written(spark, tmp_path):
+def stored_files(folder):
+    return {str(p.relative_to(folder)): p.read_bytes() for p in sorted(folder.rglob("*")) if p.is_file()}
+
+
+def test_fail_publishes_nothing(spark, tmp_path):
     w = Warehouse(spark, str(tmp_path / "w"), create=True)
-    rows = SOUND | {"daily_usage": [("F", "2024-1-1", Decimal("1.00"), 1, 1)]}
+    w.load(frames(spark, **SOUND))
+    before = stored_files(tmp_path / "w")
+    rows = SOUND | {"days": [("2024-1-2", 2, "202401")], "daily_usage": [("F", "2024-1-2", Decimal("1.00"), 1, 1)]}
     with pytest.raises(ConstraintViolation, match="orphan:registration"):
         w.load(frames(spark, **rows), on_violation="fail")
-    assert w.table("daily_usage").count() == 0
+    assert stored_files(tmp_path / "w") == before
+    assert [r.day_id for r in Warehouse(spark, str(tmp_path / "w")).table("days").collect()] == ["2024-1-1"]
     with pytest.raises(ValueError):
         w.load(frames(spark), on_violation="ignore")
 
 
+def test_a_failed_reload_changes_nothing(spark, make, tmp_path):
+    sources = fixtures.sources(spark, SF)
+    run_etl_on(spark, sources, str(tmp_path / "w"))
+    before = stored_files(tmp_path / "w")
+    broken = sources["reports"].withColumn("reportingdate", F.expr("if(reporteurid > 0, cast('no time' as timestamp_ntz), reportingdate)"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        run_etl_on(spark, sources | {"reports": broken}, str(tmp_path / "w"))
+    assert stored_files(tmp_path / "w") == before
+    assert Warehouse(spark, str(tmp_path / "w")).table("daily_usage").count() > 0
+
+
+def test_a_run_without_its_marker_does_not_count(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"), create=True)
+    w.load(frames(spark, **SOUND))
+    begin(spark, str(tmp_path / "w")).write_empty()
+    assert Warehouse(spark, str(tmp_path / "w"), create=True).table("days").count() == 1
+
+
+def test_jobs_of_one_etl(spark, tmp_path):
+    """The number of Spark jobs is bounded: at this size they are most of the time."""
+    context = spark.sparkContext
+    tracker = context._jsc.sc().dagScheduler()
+    first = tracker.nextJobId()
+    run_etl_on(spark, fixtures.sources(spark, SF), str(tmp_path / "w"))
+    assert tracker.nextJobId() - first <= MOST_JOBS
+
+
 def test_primary_key_summary(spark):
     df = spark.createDataFrame([("A",), ("A",), ("B",), (None,)], "registration string")
     assert tuple(primary_key_summary(df, TABLES["aircrafts"]).first()) == ("aircrafts", 4, 2, 1, 1)
@@ -88,17 +125,19 @@ def test_primary_key_summary(spark):
 def test_etl_round_trip(spark, tmp_path):
     sources = fixtures.sources(spark, SF)
     report = run_etl_on(spark, sources, str(tmp_path / "w"))
-    assert report.rows_read == {"flights": 1007, "maintenance": 493, "reports": 1707}
+    assert report.rows_read == {"flights": 1007, "maintenance": 493, "reports": 6000}
+    assert report.set_aside["aircrafts"] == 2
     w = Warehouse(spark, str(tmp_path / "w"))
     for result in report.loaded:
         assert w.table(result.table).count() == result.written
         assert w.rejects(result.table).count() == result.rejected
     live = transform(sources)
-    assert {r.table: r.written + r.rejected for r in report.loaded} == {n: df.count() for n, df in live.items()}
+    loaded = {r.table: r.written + (0 if r.table in DIMENSIONS else r.rejected) for r in report.loaded}
+    assert loaded == {n: df.count() for n, df in live.items()}
     # Orphans never reach the KPIs, so stored and live tables give the same.
     assert as_dicts(kpis.query_utilization(w.tables())) == as_dicts(kpis.query_utilization(live))
-    logged = {r.rule_id: r.n for r in spark.read.parquet(str(tmp_path / "w/rule_violations")).groupBy("rule_id")
+    logged = {r.rule_id: r.n for r in w.log("rule_violations").groupBy("rule_id")
               .agg({"cases": "sum"}).withColumnRenamed("sum(cases)", "n").collect()}
-    summed = {r.rule_id: r.n for r in spark.read.parquet(str(tmp_path / "w/rule_summary")).groupBy("rule_id")
+    summed = {r.rule_id: r.n for r in w.log("rule_summary").groupBy("rule_id")
               .agg({"hits": "sum"}).withColumnRenamed("sum(hits)", "n").collect()}
-    assert logged == summed and logged["FOREIGN-AIRCRAFT"] == 446
+    assert logged == summed and logged["FOREIGN-AIRCRAFT"] > 0
