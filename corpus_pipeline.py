@@ -55,11 +55,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     size = texts.word_count(F.col("text"))
     rows = docs.select("doc_id", "source", size.alias("size"))
     order = [F.col("source"), F.col("size"), F.col("copies")]
-    taken = _numbered(mixing.mix(rows).where("copies is not null"), order).select("llm_id", "llm_number", "copies")
+    taken = _numbered(mixing.mix(rows), order).select("llm_id", "llm_number", F.col("copies").cast("int").alias("llm_copies"))
     numbered = _numbered(docs.withColumn("llm_size", size), [F.col("source"), F.col("llm_size"), F.col("text")])
-    joined = numbered.join(taken.where("copies > 0"), ["llm_id", "llm_number"])
-    copies = joined.withColumn("llm_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return copies.select(*docs.columns)
+    joined = numbered.join(taken.where("llm_copies > 0"), ["llm_id", "llm_number"])
+    return joined.withColumn("llm_copy", F.explode(F.sequence(F.lit(1), F.col("llm_copies")))).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

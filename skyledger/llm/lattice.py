@@ -261,7 +261,7 @@ def score(df: DataFrame, held_out: Column, vocabulary_path: str, prior: float =
                 owners = words.owners()
 
                 def sums(values: np.ndarray, owners: np.ndarray = owners, rows: int = part.num_rows) -> np.ndarray:
-                    return np.bincount(owners, weights=values, minlength=rows)
+                    return np.bincount(owners, weights=values, minlength=rows).astype(np.float64)
 
                 size = max(1, len(words.vocabulary))
                 rest, times = np.unique(owners[missing] * size + words.codes[missing], return_counts=True)
@@ -275,8 +275,8 @@ def score(df: DataFrame, held_out: Column, vocabulary_path: str, prior: float =
                         pa.array(_checksums(part.column("text")), pa.int64()),
                         pa.array(words.counts.astype(np.int64)),
                         pa.array(sums(~missing).astype(np.int64)),
-                        pa.array(sums(logs[place])),
-                        pa.array(sums(log_p[place])),
+                        pa.array(sums(logs[place]), pa.float64()),
+                        pa.array(sums(log_p[place]), pa.float64()),
                         pa.ListArray.from_arrays(pa.array(cuts), rare),
                     ],
                     names=["doc_id", "held_out", "text_hash", "words", "known", "logs", "log_p", "rare"],

@@ -1,0 +1,205 @@
+"""Nulls in any column, empty and very long texts, ties, repeated rows, empty tables, columns with clashing names."""
+
+import hashlib
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from skyledger.llm import blocks, langid, lattice, mixing, packing, queries, secrets, setsketch, texts, tokenfiles, topk, weighted, wordtokens
+from skyledger.sources.paths import Staging
+from tests.llm import plain
+
+BYTES = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def held_out(modulus):
+    return texts.remainder(F.col("doc_id"), modulus) == 2
+
+
+def files(df):
+    folder = Staging(df.sparkSession).folder
+    tokenfiles.write(df, folder, queries.BYTES)
+    return tokenfiles.read(df.sparkSession, folder, tokenfiles.ids_crc32, "ids_crc32")
+
+
+OPERATORS = {
+    "fingerprints": weighted.with_edits,
+    "mixing": lambda df: mixing.mix(df.withColumn("size", texts.word_count(F.col("text")))),
+    "language": lambda df: langid.identify(df, langid.train(df, ~held_out(4)), held_out(4)),
+    "secrets": secrets.scan,
+    "tokens": lambda df: wordtokens.count_tokens(df, queries.WORDS),
+    "files": files,
+    "scores": lambda df: lattice.score(df, held_out(7), queries.SUBWORDS),
+    "packing": lambda df: packing.pack(df, queries.BYTES),
+    "duplicates": lambda df: setsketch.near_duplicates(df).rows,
+}
+
+
+@pytest.fixture(scope="module")
+def results(odd):
+    kept = {}
+
+    def of(name):
+        if name not in kept:
+            kept[name] = OPERATORS[name](odd).collect()
+        return kept[name]
+
+    return of
+
+
+def given(odd):
+    return [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()]
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_every_row_has_its_result(results, odd, name):
+    found = results(name)
+    ids = [r["doc_id"] for r in found if name != "packing" or r["piece"] == 0]
+    assert sorted(ids, key=str) == sorted((d for d, _ in given(odd)), key=str)
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_an_empty_table_gives_no_rows(none, name):
+    assert OPERATORS[name](none).collect() == []
+
+
+def test_edits_follow_the_order_of_ids_then_texts(results, odd):
+    rows = sorted(given(odd), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    expected = []
+    for i, (doc_id, text) in enumerate(rows):
+        text, following = text or "", rows[(i + 1) % len(rows)][1] or ""
+        quarter = len(text) // 4
+        expected.append((doc_id, len(text), hashlib.sha256((text[: len(text) - quarter] + following[:quarter]).encode()).hexdigest()))
+    found = results("fingerprints")
+    assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in found), key=str) == sorted(expected, key=str)
+    one = {r["doc_id"]: r for r in found}
+    assert one[2]["fingerprint"] == one[3]["fingerprint"] and one[2]["near_next"] == 1.0  # null and empty
+    assert one[7]["fingerprint"] == one[8]["fingerprint"] and one[7]["near_next"] == 1.0
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in found)
+
+
+def test_a_single_document_follows_itself(odd):
+    (r,) = weighted.with_edits(odd.where("doc_id = 7")).collect()
+    assert r["near_next"] == 1.0 and r["n_chars"] == 34
+
+
+def test_mixing_of_odd_rows(results, odd):
+    sizes, totals = {}, {}
+    for r in odd.collect():
+        totals[r["source"]] = totals.get(r["source"], 0) + len(plain.words(r["text"]))
+        sizes.setdefault(r["doc_id"], []).append(len(plain.words(r["text"])))
+    goal = plain.targets(totals)
+    for r in results("mixing"):
+        assert r["size"] in sizes[r["doc_id"]] and r["target"] == pytest.approx(goal[r["source"]])
+        assert r["taken"] in (0, r["size"], 2 * r["size"])
+
+
+def test_sources_without_words_are_not_taken(spark):
+    rows = spark.createDataFrame([(1, "a", 0), (2, "a", None), (3, None, 4)], "doc_id long, source string, size int")
+    found = {r["doc_id"]: r for r in mixing.mix(rows).collect()}
+    assert (found[1]["taken"], found[2]["size"], found[2]["target"], found[3]["source_size"]) == (0, 0, 0.0, 4)
+
+
+def test_languages_of_odd_rows(results):
+    for r in results("language"):
+        assert r["held_out"] == (plain.remainder(r["doc_id"], 4) == 2)
+        assert (r["lang_pred"] == "und") == (r["doc_id"] in (2, 3, 4, 9)) or r["doc_id"] is None
+        assert r["score"] == 0 if r["lang_pred"] == "und" else 0 < r["score"] <= 1
+
+
+def test_without_labels_every_language_is_unknown(odd):
+    df = odd.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["lang_pred"] for r in langid.identify(df, langid.train(df), F.lit(False)).collect()} == {"und"}
+
+
+def test_secrets_of_odd_rows(results, odd):
+    expected = []
+    for d, t in given(odd):
+        listed = ",".join(f"{plain.BASE[k][0]}:{a}:{b}" for a, k, b in plain.secrets(t))
+        expected.append((d, hashlib.sha256(listed.encode()).hexdigest()))
+    assert sorted(((r["doc_id"], r["base_sha256"]) for r in results("secrets")), key=str) == sorted(expected, key=str)
+    assert {r["doc_id"]: r["spans"] for r in results("secrets")}[10] == "assign:0:25"  # not the short one
+
+
+def test_tokens_of_odd_rows(results, odd):
+    library = Tokenizer.from_file(queries.WORDS)
+    expected = [(d, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for d, t in given(odd)]
+    assert sorted(((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in results("tokens")), key=str) == sorted(expected, key=str)
+
+
+def test_files_of_odd_rows(results, odd):
+    rows = sorted(given(odd), key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    expected, start = [], 0
+    for d, t in rows:
+        ids = BYTES.encode(t or "", add_special_tokens=False).ids + [0]
+        expected.append((d, start, len(ids), plain.crc32(ids)))
+        start += len(ids)
+    assert sorted(map(tuple, results("files")), key=str) == sorted(expected, key=str)
+
+
+def test_scores_of_odd_rows(results, odd):
+    rows = given(odd)
+    numbered = {}
+    for r in results("scores"):
+        numbered.setdefault((r["doc_id"], r["n_tokens"]), set()).add((r["n_known"], round(r["score"], 6)))
+    assert len(numbered[(1, 10)]) == 1  # repeated rows score alike
+    assert {r["n_tokens"] for r in results("scores") if r["doc_id"] in (2, 3, 4)} == {1}
+    train = [len(plain.words(t)) + 1 for d, t in rows if plain.remainder(d, 7) != 2]
+    assert {r["train_tokens"] for r in results("scores")} == {sum(train)}
+
+
+def test_packing_of_odd_rows(results, odd):
+    from tests.llm.test_queries import packing_is_right
+
+    packing_is_right(results("packing"), given(odd))
+
+
+def test_duplicates_of_odd_rows(results):
+    found = {r["doc_id"]: r for r in results("duplicates") if r["doc_id"] is not None}
+    assert [found[d]["component_id"] for d in (2, 3, 4, 5, 6, 7, 8)] == [2, 3, 4, 5, 5, 7, 7]
+    assert [found[d]["n_shingles"] for d in (2, 3, 4, 7)] == [0, 0, 0, 3]
+    assert found[5]["kept"] and not found[6]["kept"] and found[3]["kept"]
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_take_odd_rows_and_none(spark, odd, none, name, stage):
+    found = stage(spark, odd, "")
+    if name != "packing":
+        assert found.columns == odd.columns
+    rows = found.collect()
+    assert stage(spark, none, "").collect() == []
+    if name == "secrets":
+        assert len(rows) == odd.count()
+        masked = next(r for r in rows if r["doc_id"] == 10)
+        assert masked["text"] == "[REDACTED] and İ token:abc" and masked["n_chars"] == len(masked["text"])
+        assert next(r for r in rows if r["doc_id"] == 2)["text"] is None
+    if name == "near_duplicates":
+        assert sorted(r["doc_id"] for r in rows if r["doc_id"]) == [1, 2, 3, 4, 5, 7, 9, 10]
+    if name == "language_id":
+        assert not {2, 3, 4, 9} & {r["doc_id"] for r in rows}
+    if name == "mixing":
+        assert {r["text"] for r in rows} <= {r["text"] for r in odd.collect()}
+
+
+def test_top_k_of_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [1.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, None),
+        (None, [9.0, 9.0]), (8, []), (9, [-1.0, -2.0]), (0, [1.0, 2.0]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").where(topk.usable(F.col("embedding")))
+    whole = df.select("vec_id", F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("vector"))
+    found = topk.search(whole, F.col("vec_id") == 0, k=4).collect()
+    square = 256 * 256
+    assert sorted(map(tuple, found)) == [(0, 1, 1, 5 * square), (0, 2, 2, 5 * square), (0, 3, 3, square), (0, 4, 8, 0)]
+    assert topk.search(whole.limit(0), F.col("vec_id") == 0).collect() == []
+    assert len(topk.search(whole, F.col("vec_id") == 3, k=50).collect()) == 6
+
+
+def test_block_starts_are_ids_that_occur(spark):
+    rows = spark.createDataFrame([(i * i, str(i)) for i in range(100)] + [(None, "x")], "doc_id long, text string")
+    starts = blocks.block_starts(rows)
+    assert starts[0] == blocks.LEAST and {s for s in starts[1:]} <= {i * i for i in range(100)}
