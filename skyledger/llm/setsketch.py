@@ -10,14 +10,16 @@ often as their Jaccard similarity.
 2. Cut the sketch into bands of registers; classes that agree in a band share a bucket.
    A pair at the threshold is in no common bucket with a chance of ``(1 - 0.75**4)**40``,
    under three in ten million, and a more similar pair with less.
-3. In each bucket compare all members with one, the member with most company over all
-   buckets. Pairs whose likelihood estimate from registers and set sizes is far below the
-   threshold are left out; all others are confirmed on their full sets.
-4. Buckets whose members do not all hang together yet are compared further: with further
-   centres while that is cheaper, then every pair from different components.
-
-So no group is compared pair by pair while its members already hang together, and no
-link between different components is left out.
+3. Compare every member of a bucket with one of them, the centre: the member with most
+   company over all buckets. Pairs whose likelihood estimate from registers and set sizes is
+   far below the threshold are left out; all others are confirmed on their full sets.
+4. The members of all buckets with the same centre are a cluster. Where a cluster's members do
+   not all hang together yet, those apart from the centre are compared with all members of
+   other components, by estimate and then full sets, in blocks of bounded size; a block
+   returns only links that join components.
+
+So members that hang together by way of their centre are not compared with one another, no
+pairs of a group are listed, and no link between different components is left out.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm import texts
@@ -106,7 +108,7 @@ class Sketch:
 
         low, high = np.zeros(len(u)), np.minimum(u / v, v / u)
         ratio = (math.sqrt(5) - 1) / 2
-        for _ in range(40):  # golden section: the likelihood has one peak
+        for _ in range(25):  # golden section: the likelihood has one peak
             left, right = high - ratio * (high - low), low + ratio * (high - low)
             better = likelihood(left) > likelihood(right)
             low, high = np.where(better, low, left), np.where(better, right, high)
@@ -174,12 +176,16 @@ def _banded(classes: DataFrame, sketch: Sketch) -> DataFrame:
     return classes.select("id", "n_shingles", "registers").mapInArrow(run, "key long, id long, n long")
 
 
-def _possible(percent: int):
+def _possible(one: str, other: str, percent: int) -> Column:
     """Two sets of these sizes can be similar enough."""
-    return 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
+    return 100 * F.least(one, other) >= percent * F.greatest(one, other)
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, sketch: Sketch, percent: int) -> DataFrame:
+def _registers(column: pa.ChunkedArray | pa.Array, sketch: Sketch) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u2").reshape(-1, sketch.registers)
+
+
+def _estimated(pairs: DataFrame, members: DataFrame, sketch: Sketch, percent: int) -> DataFrame:
     """The pairs (a, b) whose estimate is not far below the threshold."""
     least = percent / 100 - sketch.margin
 
@@ -187,64 +193,127 @@ def _estimated(pairs: DataFrame, classes: DataFrame, sketch: Sketch, percent: in
         for batch in batches:
             if not batch.num_rows:
                 continue
-            one, other = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype="<u2").reshape(batch.num_rows, -1) for c in ("r_a", "r_b")
-            )
             n_one, n_other = (batch.column(c).to_numpy().astype(np.float64) for c in ("n_a", "n_b"))
+            one, other = (_registers(batch.column(c), sketch) for c in ("r_a", "r_b"))
             close = sketch.similarity(one, other, n_one, n_other) >= least
-            yield batch.select(["a", "b", "n_a", "n_b"]).filter(pa.array(close))
+            yield batch.select(["a", "b", "n_b"]).filter(pa.array(close))
 
     def side(name: str) -> DataFrame:
-        return classes.select(F.col("id").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("registers").alias(f"r_{name}"))
+        return members.select(F.col("id").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("registers").alias(f"r_{name}"))
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    return both.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long, n_a long, n_b long")
+    both = pairs.join(side("a"), "a").join(side("b"), "b").where(_possible("n_a", "n_b", percent))
+    return both.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long, n_b long")
 
 
-#: Shingles of the documents that one task compares with one other document.
+#: Shingles of the documents that one task compares with one centre.
 TOGETHER = 1 << 20
+#: Documents of a block that are apart from their centre, and of a block they are compared with.
+APART, ALL = 256, 512
+
 
+def _similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(one, other, assume_unique=True))
+    return 100 * shared >= percent * (len(one) + len(other) - shared)
 
-def _confirmed(pairs: DataFrame, documents: DataFrame, percent: int, width: int, stage: Staging, name: str) -> DataFrame:
+
+def _with_centres(close: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough.
 
-    Documents compared with the same ``a`` are dealt to several groups of bounded size,
-    each with a copy of ``a``'s text.
+    Documents compared with the same centre ``a`` are dealt to several groups of bounded
+    size, each with a copy of the centre's text.
     """
-    load = pairs.groupBy("a").agg(F.sum("n_b").alias("load"))
-    load = load.select("a", F.ceil(F.col("load") / TOGETHER).cast("int").alias("salts"))
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    found = stage(documents.join(needed, "id", "left_semi"), f"{name}-texts")
+    load = close.groupBy("a").agg(F.ceil(F.sum("n_b") / TOGETHER).cast("int").alias("salts"))
     salts = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("one_salt")
-    ones = load.join(found.withColumnRenamed("id", "a"), "a").select(F.col("a").alias("one"), salts, F.col("text").alias("one_text"))
-    others = pairs.join(load, "a").withColumn("salt", F.pmod(F.hash("b"), "salts"))
-    others = others.join(found.withColumnRenamed("id", "b"), "b").select("a", "salt", "b", "text")
+    text = members.select("id", "text")
+    ones = load.join(text.withColumnRenamed("id", "a"), "a").select(F.col("a").alias("one"), salts, F.col("text").alias("one_text"))
+    others = close.join(load, "a").withColumn("salt", F.pmod(F.hash("b"), "salts"))
+    others = others.join(text.withColumnRenamed("id", "b"), "b").select("a", "salt", "b", "text")
 
     def compare(one: pa.Table, many: pa.Table) -> pa.Table:
         a, b = [], []
         if one.num_rows and many.num_rows:
-            firsts = shingle_sets(one.column("one_text").combine_chunks(), width)
+            centres = shingle_sets(one.column("one_text").combine_chunks(), width)  # one, or as many as rows repeat the id
             for other, s in zip(many.column("b").to_pylist(), shingle_sets(many.column("text").combine_chunks(), width), strict=True):
-                for first in firsts:
-                    shared = len(np.intersect1d(first, s, assume_unique=True))
-                    if 100 * shared >= percent * (len(first) + len(s) - shared):
-                        a.append(one.column("one")[0].as_py())
-                        b.append(other)
-                        break
+                if any(_similar(centre, s, percent) for centre in centres):
+                    a.append(one.column("one")[0].as_py())
+                    b.append(other)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return ones.groupBy("one", "one_salt").cogroup(others.groupBy("a", "salt")).applyInArrow(compare, "a long, b long")
 
 
+def _among_members(clusters: DataFrame, members: DataFrame, sketch: Sketch, percent: int) -> DataFrame:
+    """Links (a, b) that join different components within a cluster: rows (centre, id, component).
+
+    Members apart from the centre's component are dealt to blocks, all members to other
+    blocks, and each of the former meets each of the latter once.
+    """
+    least = percent / 100 - sketch.margin
+    own = clusters.where("centre = id").select("centre", F.col("component").alias("main"))
+    rows = clusters.join(own, "centre").withColumn("apart", F.col("component") != F.col("main"))
+    sizes = rows.groupBy("centre").agg(
+        F.ceil(F.count_if("apart") / APART).cast("int").alias("apart_blocks"), F.ceil(F.count("*") / ALL).cast("int").alias("all_blocks")
+    )
+    rows = rows.join(sizes.where("apart_blocks > 0"), "centre")
+    rows = rows.join(members.select("id", "n_shingles", "registers", "text"), "id")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    columns = ["id", "component", "n_shingles", "registers", "text"]
+    apart = rows.where("apart").withColumn("i", F.pmod(F.hash("id"), "apart_blocks")).withColumn("j", every("all_blocks"))
+    apart = apart.select(F.col("centre").alias("c"), "i", "j", *[F.col(x).alias(f"one_{x}") for x in columns])
+    whole = rows.withColumn("other_j", F.pmod(F.hash("id"), "all_blocks")).withColumn("other_i", every("apart_blocks"))
+    whole = whole.select("centre", "other_i", "other_j", *columns)
+
+    def compare(one: pa.Table, other: pa.Table) -> pa.Table:
+        links: list[tuple[int, int]] = []
+        if one.num_rows and other.num_rows:
+            sides = [[t.column(f"{p}{x}").to_numpy() for x in ("id", "component", "n_shingles")] for t, p in ((one, "one_"), (other, ""))]
+            (id_a, group_a, n_a), (id_b, group_b, n_b) = sides
+            registers = _registers(one.column("one_registers"), sketch), _registers(other.column("registers"), sketch)
+            pairs = []
+            for i in range(len(id_a)):
+                sized = (100 * np.minimum(n_a[i], n_b) >= percent * np.maximum(n_a[i], n_b)) & (group_b != group_a[i])
+                j = np.flatnonzero(sized)
+                # Registers agree at least as often as the sets are similar: the estimate is for those that may pass.
+                equal = (registers[1][j] == registers[0][i]).sum(axis=1)
+                j = j[equal >= (least - 0.05) * sketch.registers]
+                pairs.append(np.stack([np.full(len(j), i), j]))
+            i, k = np.concatenate(pairs, axis=1)
+            found = []
+            for at in range(0, len(i), 1 << 14):
+                x, y = i[at : at + (1 << 14)], k[at : at + (1 << 14)]
+                estimate = sketch.similarity(registers[0][x], registers[1][y], n_a[x].astype(np.float64), n_b[y].astype(np.float64))
+                close = estimate >= least
+                found += zip(estimate[close].tolist(), x[close].tolist(), y[close].tolist(), strict=True)
+            if found:
+                sets_a = shingle_sets(one.column("one_text").combine_chunks(), sketch.width)
+                sets_b = shingle_sets(other.column("text").combine_chunks(), sketch.width)
+            parent: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while (up := parent.get(x, x)) != x:
+                    x = up
+                return x
+
+            for _, i, k in sorted(found, reverse=True):
+                x, y = root(int(group_a[i])), root(int(group_b[k]))
+                if x != y and _similar(sets_a[i], sets_b[k], percent):
+                    parent[max(x, y)] = min(x, y)
+                    links.append((int(id_a[i]), int(id_b[k])))
+        return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
+
+    return apart.groupBy("c", "i", "j").cogroup(whole.groupBy("centre", "other_i", "other_j")).applyInArrow(compare, "a long, b long")
+
+
 @dataclass
 class NearDuplicates:
-    """``rows``: a row for each document; ``links``: confirmed pairs (a, b) of class representatives."""
+    """``rows``: a row for each document; ``links``: confirmed pairs (a, b) of class
+    representatives that give the components."""
 
     rows: DataFrame
     links: DataFrame
 
 
-def near_duplicates(df: DataFrame, percent: int = 75, sketch: Sketch = DEFAULT, centres: int = 3) -> NearDuplicates:
+def near_duplicates(df: DataFrame, percent: int = 75, sketch: Sketch = DEFAULT) -> NearDuplicates:
     """Groups of documents linked by 100 * |shared| >= ``percent`` * |all| of their shingle sets.
 
     ``rows`` has doc_id, n_shingles, component_id (the least doc_id reachable) and kept
@@ -254,8 +323,7 @@ def near_duplicates(df: DataFrame, percent: int = 75, sketch: Sketch = DEFAULT,
     is reachable. Other columns are ignored.
     """
     stage = Staging(df.sparkSession)
-    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    documents = df.select(ids.alias("id"), "text")
+    documents = df.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
     sketched = stage(sketches(df, sketch), "sketches")
     sets = ["n_shingles", "set_a", "set_b"]
     classes = sketched.where("n_shingles > 0").groupBy(*sets).agg(F.min("id").alias("id"), F.any_value("registers").alias("registers"))
@@ -263,60 +331,33 @@ def near_duplicates(df: DataFrame, percent: int = 75, sketch: Sketch = DEFAULT,
 
     banded = _banded(classes, sketch)
     shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    members = stage(banded.join(shared, "key"), "members")
-    company = members.groupBy("id").agg(F.sum(F.col("size") - 1).alias("company"))
-    members = stage(members.join(company, "id").select("key", "id", "n", "company"), "buckets")
-
-    compared, links, component = [], [], None
-    number = 0
-    while True:
-        number += 1
-        if number <= centres:
-            centre = members.groupBy("key").agg(F.max_by("id", "company").alias("a"), F.max_by("n", "company").alias("n_b"))
-            if component is None:
-                near = members.join(centre, "key").where("id <> a")
-            else:
-                of = members.select("key", F.col("id").alias("a"), F.col("component").alias("other"))
-                near = members.join(centre.join(of, ["key", "a"]), "key").where("component <> other")
-            pairs = near.where(_possible(percent)).select(F.least("a", "id").alias("x"), F.greatest("a", "id").alias("y"), "a")
-            # Of a pair found from both sides either may be the centre.
-            pairs = pairs.groupBy("x", "y").agg(F.max("a").alias("a")).select("a", F.when(F.col("a") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("b"))
-        else:
-            other = members.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("other"))
-            pairs = members.join(other, "key").where((F.col("component") < F.col("other")) & _possible(percent))
-            pairs = pairs.select(F.col("id").alias("a"), "b").distinct()
-        for done in compared:
-            pairs = pairs.join(done, ["a", "b"], "left_anti").join(done.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        pairs = stage(pairs, f"pairs-{number}")
-        compared.append(pairs)
-        close = stage(_estimated(pairs, classes, sketch, percent), f"close-{number}")
-        links.append(stage(_confirmed(close, documents, percent, sketch.width, stage, f"confirm-{number}"), f"links-{number}"))
-        edges = links[0]
-        for more in links[1:]:
-            edges = edges.unionByName(more)
-        component = components(edges, stage, f"components-{number}")
-        if number > centres:
-            break
-        # Only buckets with several components can hold further links.
-        members = members.select("key", "id", "n", "company").join(component, "id", "left")
-        members = members.withColumn("component", F.coalesce("component", "id"))
-        mixed = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        members = stage(members.join(mixed.select("key"), "key", "left_semi"), f"mixed-{number}")
-        # Pairs from different components, at most, against one more centre for each bucket.
-        parts = members.groupBy("key", "component").agg(F.count("*").alias("part"))
-        parts = parts.groupBy("key").agg(F.sum("part").alias("all"), F.sum(F.col("part") * F.col("part")).alias("squares"))
-        left = parts.agg(F.sum(F.expr("(all * all - squares) div 2")).alias("pairs"), F.sum("all").alias("rows")).first()
-        if not left["pairs"]:
-            break
-        if left["pairs"] <= 4 * left["rows"]:
-            number = centres
-    found = sketched.join(classes.select(*sets, F.col("id").alias("class_id")), sets, "left")
-    found = found.join(component.select(F.col("id").alias("class_id"), "component"), "class_id", "left")
+    buckets = stage(banded.join(shared, "key"), "buckets")
+    company = buckets.groupBy("id").agg(F.sum(F.col("size") - 1).alias("company"))
+    ranked = buckets.join(company, "id")
+    centres = ranked.groupBy("key").agg(F.max_by("id", "company").alias("centre"))
+    clusters = stage(buckets.join(centres, "key").select("centre", "id").distinct(), "clusters")
+
+    # All that is compared: one row for each class with company. Their number has no bound, so they are not broadcast.
+    needed = clusters.select("id").distinct().hint("merge")
+    members = documents.join(needed, "id", "left_semi").join(classes, "id").select("id", "n_shingles", "registers", "text")
+    members = stage(members, "members")
+
+    pairs = clusters.where("centre <> id").select(F.col("centre").alias("a"), F.col("id").alias("b"))
+    close = stage(_estimated(pairs, members, sketch, percent), "close")
+    first = stage(_with_centres(close, members, percent, sketch.width), "links-centres")
+    component = components(first, stage, "components-centres")
+    named = clusters.join(component, "id", "left").select("centre", "id", F.coalesce("component", "id").alias("component"))
+    second = stage(_among_members(named, members, sketch, percent), "links-members")
+    links = first.unionByName(second)
+    component = components(links, stage, "components")
+
+    rows = sketched.join(classes.select(*sets, F.col("id").alias("class_id")), sets, "left")
+    rows = rows.join(component.select(F.col("id").alias("class_id"), "component"), "class_id", "left")
     least = F.coalesce("component", "class_id", "id")
-    rows = found.select(
+    rows = rows.select(
         F.nullif("id", F.lit(NO_ID)).alias("doc_id"),
         "n_shingles",
         F.nullif(least, F.lit(NO_ID)).alias("component_id"),
         (F.col("id") == least).alias("kept"),
     )
-    return NearDuplicates(rows, edges)
+    return NearDuplicates(rows, links)
