@@ -43,12 +43,22 @@ def _on_sources(fn: Callable[[Sources], DataFrame]) -> Query:
     return lambda spark, folder: fn(fixtures.sources(spark, folder))
 
 
-def _on_tables(fn: Callable[[Sources, dict[str, DataFrame]], DataFrame], rules: bool = True) -> Query:
-    """The star schema from staged frames, for queries over several tables."""
+def _on_tables(
+    fn: Callable[[Sources, dict[str, DataFrame]], DataFrame], rules: bool = True, reported: bool = True
+) -> Query:
+    """The star schema from staged frames, for queries over several tables.
+
+    Without ``reported`` there are no reports in it, for queries that read none.
+    """
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        sources = fixtures.sources(spark, folder)
-        return fn(sources, tr.transform(sources, rules, stage=Staging(spark)))
+        sources, stage = fixtures.sources(spark, folder), Staging(spark)
+        if reported:
+            grains = tr.grains(sources, rules, stage)
+        else:
+            none = reports.count_reports(sources["reports"]).where(F.lit(False))
+            grains = tr.Grains(stage(tr.usage(sources, rules), "usage_by_day"), none)
+        return fn(sources, tr.tables(grains, sources["aircrafts"], sources["personnel"]))
 
     return run
 
@@ -206,7 +216,7 @@ def _fk_orphans(fact: str) -> Query:
             first = first.unionByName(df)
         return first
 
-    return _on_tables(run)
+    return _on_tables(run, reported=fact == "reportage_usage")
 
 
 def _stored_counts(spark: SparkSession, location: str) -> DataFrame:
@@ -326,8 +336,8 @@ def queries() -> dict[str, Query]:
         "fk_orphans_monthly": _fk_orphans("monthly_usage"),
         "fk_orphans_reportage": _fk_orphans("reportage_usage"),
         "warehouse_load": _warehouse_load,
-        "kpi_utilization": _on_tables(lambda s, tables: kpis.query_utilization(tables)),
-        "kpi_utilization_norules": _on_tables(lambda s, tables: kpis.query_utilization(tables), rules=False),
+        "kpi_utilization": _on_tables(lambda s, tables: kpis.query_utilization(tables), reported=False),
+        "kpi_utilization_norules": _on_tables(lambda s, tables: kpis.query_utilization(tables), rules=False, reported=False),
         "kpi_reporting": _on_tables(lambda s, tables: kpis.query_reporting(tables)),
         "kpi_reporting_per_role": _on_tables(lambda s, tables: kpis.query_reporting_per_role(tables)),
         **{name: _raw(fn, *names) for name, (fn, names) in _RAW.items()},

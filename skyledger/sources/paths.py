@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,11 +62,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Staging:
-    """Cuts lineage by writing an intermediate result once as parquet."""
+    """Cuts lineage by writing an intermediate result once as parquet.
+
+    What is staged goes with ``close``, else when the process ends in good order: a frame
+    handed out may be read at any time before.
+    """
+
+    _open: dict[str, SparkSession] = {}
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/staging-{uuid.uuid4().hex}"
+        Staging._open[self.folder] = spark
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
@@ -72,4 +81,12 @@ class Staging:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
+        Staging._open.pop(self.folder, None)
         delete(self.spark, self.folder)
+
+
+@atexit.register
+def _remove_staged() -> None:
+    for folder, spark in Staging._open.items():
+        with suppress(Exception):  # the session may be gone
+            delete(spark, folder)
