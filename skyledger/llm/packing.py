@@ -12,11 +12,13 @@ again, all groups together, in further rounds.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,15 +34,16 @@ SPARSE = 0.5
 TRIED, STEPS = 64, 400
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"
-PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, `offset` long"
+GROUPED = f"{PIECES}, sequence_id long, `offset` long, settled boolean"
 
 
 def pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int | None) -> DataFrame:
-    """The pieces of each row's whole ``text``; ``salt`` is a number without order."""
+    """The pieces of each row's whole ``text``; ``salt`` is a number of its own for each, also where rows are alike."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_level(tokenizer)
         end = np.array([] if end_id is None else [end_id], dtype=bpe.dtype)
+        pieces_so_far = itertools.count(TaskContext.get().partitionId() << 40)
         for batch in batches:
             for part in texts.sliced(batch, limit=16 << 20):
                 columns: list[list] = [[] for _ in range(6)]
@@ -50,8 +53,8 @@ def pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int | None) ->
                     stop = (n - 1) % capacity + 1
                     while start < n:
                         checksum = zlib.crc32(wide[start:stop].tobytes())
-                        salt = hash((doc_id, number, checksum)) & 0x7FFFFFFFFFFFFFFF
-                        for column, value in zip(columns, (doc_id, number, start, stop - start, checksum, salt), strict=True):
+                        values = (doc_id, number, start, stop - start, checksum, next(pieces_so_far))
+                        for column, value in zip(columns, values, strict=True):
                             column.append(value)
                         start, stop, number = stop, stop + capacity, number + 1
                 types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
@@ -191,14 +194,13 @@ def pack(df: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int | None
     spark = df.sparkSession
     stage = Staging(spark)
     left = stage(pieces(df, tokenizer, capacity, end_id), "pieces")
-    result = "doc_id long, piece int, start long, length long, ids_crc32 long, salt long, sequence_id long, `offset` long, settled boolean"
     done = []
     for number in range(2):
         count = left.count()
         groups = max(1, -(-count // group))
         dealt = left.withColumn("group", F.pmod(F.xxhash64("salt", F.lit(number)), F.lit(groups)))
         last = number == 1 or groups == 1
-        packed = dealt.groupBy("group").applyInArrow(_pack_group(capacity, 40, 0.0 if last else SPARSE, number == 0), result)
+        packed = dealt.groupBy("group").applyInArrow(_pack_group(capacity, 40, 0.0 if last else SPARSE, number == 0), GROUPED)
         packed = stage(packed, f"round-{number}")
         done.append(packed.where("settled"))
         if last:
