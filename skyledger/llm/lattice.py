@@ -28,23 +28,20 @@ from skyledger.llm import texts
 from skyledger.sources.paths import Staging
 
 MARK = "▁"
-#: Words of the same length that are scored together.
-TOGETHER = 4096
+#: Words scored together, and characters of these.
+TOGETHER, CELLS = 4096, 1 << 16
 #: Pseudo-tokens by which the vocabulary's own scores count.
 PRIOR = 10_000.0
 #: Words that occur most are looked up in the tasks; so many at most are sent to them.
 FREQUENT = 1 << 18
 
-_BASE = np.uint64(0x100000001B3)
-
 
 @dataclass
 class Pieces:
-    """Pieces of a vocabulary: hashes in order, and the places of the 256 bytes and of the end."""
+    """Pieces of a vocabulary as a table of all their beginnings, by hash in ascending order."""
 
-    hashes: np.ndarray  # sorted
-    places: np.ndarray  # of each hash, among the probabilities
-    longest: int
+    hashes: np.ndarray
+    places: np.ndarray  # of the piece that a beginning is, among the probabilities; -1 if it is none
     prior: np.ndarray  # probabilities: pieces, then bytes, then the end
 
     @property
@@ -57,26 +54,38 @@ def _points(word: str) -> np.ndarray:
 
 
 def _next(hashes: np.ndarray, points: np.ndarray) -> np.ndarray:
-    return texts.mixed(hashes * _BASE + points + np.uint64(1))
+    out = (hashes ^ (points + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
+    return out ^ (out >> np.uint64(29))
 
 
 def vocabulary(path: str) -> Pieces:
     """Reads a sentencepiece model. Pieces rank by score; of rank r weighs 1 / (r + 10), bytes like the last."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = [i for i in range(model.vocab_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
-    strings = [model.id_to_piece(i) for i in ids]
     scores = np.array([model.get_score(i) for i in ids])
     rank = np.empty(len(ids))
     rank[np.argsort(-scores, kind="stable")] = np.arange(len(ids))
     weights = np.concatenate([1 / (rank + 10), np.full(257, 1 / (len(ids) + 10))])
-    hashes = np.empty(len(ids), dtype=np.uint64)
-    for i, s in enumerate(strings):
+    table: dict[int, int] = {}
+    for place, i in enumerate(ids):
         h = np.zeros(1, dtype=np.uint64)
-        for point in _points(s):
+        for point in _points(model.id_to_piece(i)):
             h = _next(h, point)
-        hashes[i] = h[0]
-    order = np.argsort(hashes)
-    return Pieces(hashes[order], order, max(map(len, strings)), weights / weights.sum())
+            table.setdefault(int(h[0]), -1)
+        table[int(h[0])] = place
+    hashes = np.array(sorted(table), dtype=np.uint64)
+    return Pieces(hashes, np.array([table[int(h)] for h in hashes]), weights / weights.sum())
+
+
+@dataclass
+class Edges:
+    """Pieces of one length in the words of a block, by start: those from ``bounds[r]`` to ``bounds[r + 1]`` start at r."""
+
+    words: np.ndarray
+    starts: np.ndarray
+    places: np.ndarray
+    logs: np.ndarray
+    bounds: np.ndarray
 
 
 class Lattice:
@@ -86,20 +95,28 @@ class Lattice:
         self.pieces = pieces
         self.logs = np.log(probabilities)
 
-    def _edges(self, points: np.ndarray) -> list[list[tuple[np.ndarray, np.ndarray]]]:
-        """For each start, for each length from one: place of the piece there, and its log-probability."""
-        count, length = points.shape
-        out = []
-        for start in range(length):
-            hashes, row = np.zeros(count, dtype=np.uint64), []
-            for end in range(start, min(length, start + self.pieces.longest)):
-                hashes = _next(hashes, points[:, end])
-                at = np.minimum(np.searchsorted(self.pieces.hashes, hashes), len(self.pieces.hashes) - 1)
-                found = self.pieces.hashes[at] == hashes
-                place = np.where(found, self.pieces.places[at], -1)
-                row.append((place, np.where(found, self.logs[place], -np.inf)))
-            out.append(row)
-        return out
+    def _edges(self, points: np.ndarray, lengths: np.ndarray) -> list[Edges]:
+        """For each length from one: beginnings that are in no piece are not followed further."""
+        most, count = points.shape
+        starts = np.repeat(np.arange(most), count)
+        words = np.tile(np.arange(count), most)
+        left = lengths[words] - starts
+        hashes = np.zeros(len(starts), dtype=np.uint64)
+        out, size = [], 0
+        while True:
+            size += 1
+            alive = left >= size
+            starts, words, left, hashes = starts[alive], words[alive], left[alive], hashes[alive]
+            if not len(starts):
+                return out
+            hashes = _next(hashes, points[starts + size - 1, words])
+            at = np.minimum(np.searchsorted(self.pieces.hashes, hashes), len(self.pieces.hashes) - 1)
+            alive = self.pieces.hashes[at] == hashes
+            starts, words, left, hashes = starts[alive], words[alive], left[alive], hashes[alive]
+            places = self.pieces.places[at[alive]]
+            ends = places >= 0
+            own = starts[ends]
+            out.append(Edges(words[ends], own, places[ends], self.logs[places[ends]], np.searchsorted(own, np.arange(most + 1))))
 
     def _bytes(self, points: np.ndarray) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
         """Bytes of each different character, its number at each position, and its log-probability by bytes."""
@@ -109,52 +126,59 @@ class Lattice:
         place = place.reshape(points.shape)
         return spelled, place, logs[place]
 
-    def same_length(self, points: np.ndarray, weights: np.ndarray | None = None, gathered: np.ndarray | None = None) -> np.ndarray:
-        """Log-probabilities of words given as rows of code points; expected counts are added to ``gathered``."""
-        count, length = points.shape
-        edges = self._edges(points)
+    def block(self, points: np.ndarray, lengths: np.ndarray, weights: np.ndarray | None = None, gathered: np.ndarray | None = None) -> np.ndarray:
+        """Log-probabilities of words given as columns of code points; expected counts are added to ``gathered``."""
+        most, count = points.shape
+        edges = self._edges(points, lengths)
         spelled, character, by_bytes = self._bytes(points)
-        forward = np.full((length + 1, count), -np.inf)
+        forward = np.full((most + 1, count), -np.inf)
         forward[0] = 0
-        for start in range(length):
-            for size, (_, log_p) in enumerate(edges[start], 1):
-                forward[start + size] = np.logaddexp(forward[start + size], forward[start] + log_p)
-            forward[start + 1] = np.logaddexp(forward[start + 1], forward[start] + by_bytes[:, start])
+        for end in range(1, most + 1):
+            into = forward[end - 1] + by_bytes[end - 1]
+            for size, e in enumerate(edges[:end], 1):
+                some = slice(e.bounds[end - size], e.bounds[end - size + 1])
+                words = e.words[some]
+                into[words] = np.logaddexp(into[words], forward[end - size, words] + e.logs[some])
+            forward[end] = into
+        total = forward[lengths, np.arange(count)]
         if gathered is None:
-            return forward[length]
-        backward = np.full((length + 1, count), -np.inf)
-        backward[length] = 0
-        for start in range(length - 1, -1, -1):
-            for size, (_, log_p) in enumerate(edges[start], 1):
-                backward[start] = np.logaddexp(backward[start], backward[start + size] + log_p)
-            backward[start] = np.logaddexp(backward[start], backward[start + 1] + by_bytes[:, start])
-        characters = np.zeros(len(spelled))
-        for start in range(length):
-            base = forward[start] - forward[length]
-            for size, (place, log_p) in enumerate(edges[start], 1):
-                there = place >= 0
-                share = weights[there] * np.exp((base + log_p + backward[start + size])[there])
-                gathered += np.bincount(place[there], weights=share, minlength=len(gathered))
-            share = weights * np.exp(base + by_bytes[:, start] + backward[start + 1])
-            characters += np.bincount(character[:, start], weights=share, minlength=len(characters))
+            return total
+        backward = np.full((most + 1, count), -np.inf)
+        backward[lengths, np.arange(count)] = 0
+        for start in range(most - 1, -1, -1):
+            out = backward[start + 1] + by_bytes[start]
+            for size, e in enumerate(edges[: most - start], 1):
+                some = slice(e.bounds[start], e.bounds[start + 1])
+                words = e.words[some]
+                out[words] = np.logaddexp(out[words], backward[start + size, words] + e.logs[some])
+            backward[start] = np.where(lengths > start, out, backward[start])
+        for size, e in enumerate(edges, 1):
+            logs = forward[e.starts, e.words] + e.logs + backward[e.starts + size, e.words] - total[e.words]
+            gathered += np.bincount(e.places, weights=weights[e.words] * np.exp(logs), minlength=len(gathered))
+        inside = np.arange(most)[:, None] < lengths
+        shares = weights * np.exp(np.where(inside, forward[:-1] + by_bytes + backward[1:] - total, -np.inf))
+        characters = np.bincount(character.ravel(), weights=shares.ravel(), minlength=len(spelled))
         for own, n in zip(spelled, characters, strict=True):
             for b in own:
                 gathered[self.pieces.byte + b] += n
-        return forward[length]
+        return total
 
     def words(self, words: list[str], weights: np.ndarray | None = None, gathered: np.ndarray | None = None) -> np.ndarray:
-        """Natural log-probabilities of words, each with the mark before it."""
-        points = [_points(MARK + w) for w in words]
-        lengths = np.fromiter(map(len, points), dtype=np.int64, count=len(points))
+        """Natural log-probabilities of words, each with the mark before it; in blocks of about the same length."""
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1
         out = np.empty(len(words))
         order = np.argsort(lengths, kind="stable")
         at = 0
         while at < len(order):
-            length = int(lengths[order[at]])
-            some = order[at : at + max(1, min(TOGETHER, (1 << 17) // length))]
-            some = some[lengths[some] == length]
-            rows = np.stack([points[i] for i in some])
-            out[some] = self.same_length(rows, None if weights is None else weights[some], gathered)
+            some = order[at : at + TOGETHER]
+            most = max(1, CELLS // int(lengths[some[0]]))
+            some = some[:most][lengths[some[:most]] <= lengths[some[0]] + 2]
+            own = lengths[some]
+            points = np.zeros((int(own[-1]), len(some)), dtype=np.uint64)
+            row = np.repeat(np.arange(len(some)), own)
+            column = np.arange(len(row)) - np.repeat(np.cumsum(own) - own, own)
+            points[column, row] = _points("".join([MARK + words[i] for i in some.tolist()]))
+            out[some] = self.block(points, own, None if weights is None else weights[some], gathered)
             at += len(some)
         return out
 
