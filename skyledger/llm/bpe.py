@@ -33,7 +33,7 @@ LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: Marks a cut. A text that holds it is cut alone.
 CUT = "\x1f"
 #: Pieces whose ids a process keeps between slices.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -123,12 +123,15 @@ class ByteLevel:
         lists = pc.split_pattern(cut, CUT)
         offsets = lists.offsets.to_numpy()
         encoded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        del bulk, cut, lists
         places = self._places(encoded.dictionary)[encoded.indices.to_numpy(zero_copy_only=False)]
         lengths = self._length[places]
         ends = np.cumsum(lengths)
         start = np.cumsum(self._length) - self._length
         total = int(ends[-1]) if len(ends) else 0
-        ids = self._ids[np.arange(total) + np.repeat(start[places] - (ends - lengths), lengths)]
+        at = np.repeat(start[places] - (ends - lengths), lengths)
+        at += np.arange(total)
+        ids = self._ids[at]
         bounds = np.concatenate([[0], ends])[offsets - offsets[0]].tolist()
         rows = iter(zip(bounds[:-1], bounds[1:], strict=True))
         return [self.alone(texts[i].as_py()) if s else ids[slice(*next(rows))] for i, s in enumerate(slow.tolist())]

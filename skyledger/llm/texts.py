@@ -32,6 +32,8 @@ def sliced(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE) -> I
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    # Workers outlive their tasks; what Arrow keeps for later adds up beside the JVM's heap.
+    pa.default_memory_pool().release_unused()
 
 
 def filled(texts: pa.Array) -> pa.Array:
