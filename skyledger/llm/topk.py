@@ -22,6 +22,8 @@ from skyledger.sources.paths import Staging
 CANDIDATES, QUERIES = 4096, 1024
 #: Queries scored at once.
 TOGETHER = 64
+#: Tasks that the pairs of blocks are dealt to, at most, beyond the shuffle partitions.
+MOST_PARTS = 10_000
 
 BLOCK = "block int, ids binary, terms binary, offsets binary, weights binary"
 
@@ -134,7 +136,11 @@ def search(rows: DataFrame, queries: Column, k: int = 5) -> DataFrame:
     asked = stage(_packed(asked, q_blocks), "queries")
     asked = asked.select(F.col("block").alias("q_block"), *[F.col(c).alias(f"q_{c}") for c in asked.columns[1:]])
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    scored = _scored(candidates.join(asked, ["block", "q_block"]), k)
+    # Each pair of blocks is work of its own; neither side has a bound, so none is broadcast.
+    keys = ["block", "q_block"]
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(blocks * q_blocks, MOST_PARTS))
+    pairs = candidates.repartition(parts, *keys).join(asked.repartition(parts, *keys).hint("merge"), keys)
+    scored = _scored(pairs, k)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
