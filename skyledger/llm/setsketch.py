@@ -40,7 +40,7 @@ from skyledger.sources.paths import Staging
 #: Stands for a null id, which comes last.
 NO_ID = (1 << 63) - 1
 
-SKETCHED = "id long, n_shingles long, set_a long, set_b long, registers binary"
+SKETCHED = "row long, id long, text_hash long, n_shingles long, set_a long, set_b long, registers binary"
 
 
 @dataclass(frozen=True)
@@ -139,8 +139,8 @@ def shingle_sets(column: pa.Array, width: int = 5) -> list[np.ndarray]:
     return out
 
 
-def sketches(df: DataFrame, sketch: Sketch = DEFAULT) -> DataFrame:
-    """A row for each row: id, set size, two checksums of the set (equal sets: equal) and the registers."""
+def sketches(documents: DataFrame, sketch: Sketch = DEFAULT) -> DataFrame:
+    """A row for each (row, id, text): the hash of the text, set size, two checksums of the set (equal sets: equal), the registers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,17 +148,16 @@ def sketches(df: DataFrame, sketch: Sketch = DEFAULT) -> DataFrame:
                 sets = shingle_sets(part.column("text"), sketch.width)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("id"),
+                        *(part.column(c) for c in ("row", "id", "text_hash")),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([int(texts.mixed(s).sum().view(np.int64)) for s in sets], pa.int64()),
                         pa.array([int(texts.mixed(~s).sum().view(np.int64)) for s in sets], pa.int64()),
                         pa.array([sketch.of(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                     ],
-                    names=["id", "n_shingles", "set_a", "set_b", "registers"],
+                    names=["row", "id", "text_hash", "n_shingles", "set_a", "set_b", "registers"],
                 )
 
-    ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    return df.select(ids.alias("id"), "text").mapInArrow(run, SKETCHED)
+    return documents.select("row", "id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, SKETCHED)
 
 
 def _banded(classes: DataFrame, sketch: Sketch) -> DataFrame:
@@ -232,7 +231,7 @@ def _with_centres(close: DataFrame, members: DataFrame, percent: int, width: int
     def compare(one: pa.Table, many: pa.Table) -> pa.Table:
         a, b = [], []
         if one.num_rows and many.num_rows:
-            centres = shingle_sets(one.column("one_text").combine_chunks(), width)  # one, or as many as rows repeat the id
+            centres = shingle_sets(one.column("one_text").combine_chunks(), width)
             for other, s in zip(many.column("b").to_pylist(), shingle_sets(many.column("text").combine_chunks(), width), strict=True):
                 if any(_similar(centre, s, percent) for centre in centres):
                     a.append(one.column("one")[0].as_py())
@@ -307,27 +306,46 @@ def _among_members(clusters: DataFrame, members: DataFrame, sketch: Sketch, perc
 @dataclass
 class NearDuplicates:
     """``rows``: a row for each document; ``links``: confirmed pairs (a, b) of class
-    representatives that give the components."""
+    representatives, by row number, that give the components; ``kept``: the numbers of the rows kept."""
 
     rows: DataFrame
     links: DataFrame
+    kept: DataFrame
 
 
-def near_duplicates(df: DataFrame, percent: int = 75, sketch: Sketch = DEFAULT) -> NearDuplicates:
+def near_duplicates(df: DataFrame, percent: int = 75, sketch: Sketch = DEFAULT, row: str | None = None, one_per_id: bool = False) -> NearDuplicates:
     """Groups of documents linked by 100 * |shared| >= ``percent`` * |all| of their shingle sets.
 
-    ``rows`` has doc_id, n_shingles, component_id (the least doc_id reachable) and kept
-    (doc_id = component_id), a row for each row of ``df``. Empty and null texts have no
-    shingles and are linked with nothing. Rows that share an id are one document of the
-    graph. A null id comes after all others: such a row is kept only if no row with an id
-    is reachable. Other columns are ignored.
+    ``rows`` has doc_id, n_shingles, component_id (the least doc_id reachable) and kept, a
+    row for each row of ``df``. Each row is a document of its own, also if it lacks an id or
+    repeats one: only texts link. One row of each component is kept: that of the least id,
+    null after all others, of rows that share it the one with the least hash of its text.
+    Empty and null texts have no shingles and are linked with nothing. Other columns are ignored.
+
+    ``row``: a stored column with a number of its own for each row; without it the rows are
+    stored with one. With ``one_per_id`` at most one row of an id that is not null is kept:
+    the one with the least hash, or, if that goes for another document's sake, the next one
+    that stays. Rows with other texts of an id then represent a component only if it has no others.
     """
     stage = Staging(df.sparkSession)
-    documents = df.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
-    sketched = stage(sketches(df, sketch), "sketches")
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    documents = df.select(number.alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
+    if row is None:
+        documents = stage(documents, "documents")
+    sketched = stage(sketches(documents, sketch), "sketches")
+    later = F.lit(False).alias("later")
+    if one_per_id:
+        named = sketched.where(F.col("id") != NO_ID).select("row", "id", "text_hash")
+        firsts = named.groupBy("id").agg(F.min("text_hash").alias("first"), F.max("text_hash").alias("last")).where("first <> last")
+        others = named.join(firsts, "id").where("text_hash <> first").select("row", F.lit(True).alias("other"))
+        sketched = sketched.join(stage(others, "others"), "row", "left")
+        later = F.coalesce("other", F.lit(False)).alias("later")
+    sketched = sketched.withColumn("head", F.struct(later, "id", "text_hash", "row"))
     sets = ["n_shingles", "set_a", "set_b"]
-    classes = sketched.where("n_shingles > 0").groupBy(*sets).agg(F.min("id").alias("id"), F.any_value("registers").alias("registers"))
-    classes = stage(classes, "classes")
+    classes = sketched.where("n_shingles > 0").groupBy(*sets)
+    # A class is named by its first row, which also gives its text.
+    classes = classes.agg(F.min("head").alias("head"), F.min("id").alias("doc_id"), F.any_value("registers").alias("registers"))
+    classes = stage(classes.withColumn("id", F.col("head.row")), "classes")
 
     banded = _banded(classes, sketch)
     shared = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
@@ -339,8 +357,8 @@ def near_duplicates(df: DataFrame, percent: int = 75, sketch: Sketch = DEFAULT)
 
     # All that is compared: one row for each class with company. Their number has no bound, so they are not broadcast.
     needed = clusters.select("id").distinct().hint("merge")
-    members = documents.join(needed, "id", "left_semi").join(classes, "id").select("id", "n_shingles", "registers", "text")
-    members = stage(members, "members")
+    members = documents.select(F.col("row").alias("id"), "text").join(needed, "id", "left_semi").join(classes, "id")
+    members = stage(members.select("id", "n_shingles", "registers", "text"), "members")
 
     pairs = clusters.where("centre <> id").select(F.col("centre").alias("a"), F.col("id").alias("b"))
     close = stage(_estimated(pairs, members, sketch, percent), "close")
@@ -351,13 +369,24 @@ def near_duplicates(df: DataFrame, percent: int = 75, sketch: Sketch = DEFAULT)
     links = first.unionByName(second)
     component = components(links, stage, "components")
 
-    rows = sketched.join(classes.select(*sets, F.col("id").alias("class_id")), sets, "left")
-    rows = rows.join(component.select(F.col("id").alias("class_id"), "component"), "class_id", "left")
-    least = F.coalesce("component", "class_id", "id")
-    rows = rows.select(
+    # Ids come in only here: the least one and the first row of each component, by class and then by row.
+    grouped = classes.join(component, "id", "left").select(*sets, "head", "doc_id", F.coalesce("component", "id").alias("component"))
+    grouped = stage(grouped, "grouped")
+    owners = grouped.groupBy("component").agg(F.min("doc_id").alias("least"), F.min("head").alias("owner"))
+    named = grouped.select(*sets, "component").join(owners, "component").select(*sets, "least", F.col("owner.row").alias("owner"))
+    bare = sketched.drop("registers")
+    linked = bare.where("n_shingles > 0").join(named, sets)
+    alone = bare.where("n_shingles = 0").withColumn("least", F.col("id")).withColumn("owner", F.col("row"))
+    found = linked.unionByName(alone).withColumn("kept", F.col("row") == F.col("owner"))
+    rows = found.select(
         F.nullif("id", F.lit(NO_ID)).alias("doc_id"),
         "n_shingles",
-        F.nullif(least, F.lit(NO_ID)).alias("component_id"),
-        (F.col("id") == least).alias("kept"),
+        F.nullif("least", F.lit(NO_ID)).alias("component_id"),
+        "kept",
     )
-    return NearDuplicates(rows, links)
+    kept = found.where("kept")
+    if one_per_id:
+        kept = stage(kept.select("head", "id", "row"), "kept")
+        one = kept.where(F.col("id") != NO_ID).groupBy("id").agg(F.min("head").alias("head")).select(F.col("head.row").alias("row"))
+        kept = one.unionByName(kept.where(F.col("id") == NO_ID).select("row"))
+    return NearDuplicates(rows, links, kept.select("row"))
