@@ -2,16 +2,18 @@
 
 1. Language identification: documents without a letter, or whose most probable language is
    not even half certain, go. It learns from the languages given in the documents it gets.
-2. Near-duplicates: of each group linked by a similarity of 0.75 the document with the
-   least id stays.
+2. Near-duplicates: of each group of rows linked by a similarity of 0.75 the one with the
+   least id stays, a row without an id only if no other has one. Rows that repeat an id are
+   one document: one of them stays at most, and a text that copies another document does
+   not take the others with it.
 3. Secrets: found ones are masked in the text, and n_chars is that of the new text. Every
    document stays.
 4. Mixing: sources weigh 5, 2, 1 in turn for 150 % of all words; a document is dropped,
    stays, or is there twice.
 5. Packing: every document left, each copy by itself, in sequences of 2048 tokens.
 
-Stages 1 to 4 return the columns of ``documents``, other columns of the input too. Null ids
-are kept; a null text has no letter, so stage 1 drops it.
+Stages 1 to 4 return the columns of ``documents``, other columns of the input too. Rows
+without an id are documents of their own; a null text has no letter, so stage 1 drops it.
 """
 
 from __future__ import annotations
@@ -39,11 +41,10 @@ def _numbered(rows: DataFrame, order: list) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat an id are one document: the first by text stays. Rows without an id stay apart."""
-    found = setsketch.near_duplicates(docs, percent=75).rows
-    gone = found.where("not kept").select(F.coalesce("doc_id", F.lit(blocks.LEAST)).alias("llm_id")).distinct()
-    first = _numbered(docs, ["text"]).where((F.col("llm_number") == 1) | F.col("doc_id").isNull())
-    return first.join(gone, "llm_id", "left_anti").select(*docs.columns)
+    """Each row stays or goes by its own text, with or without an id; of the rows that repeat an id one stays at most."""
+    rows = Staging(spark)(docs.withColumn("llm_row", F.monotonically_increasing_id()), "rows")
+    kept = setsketch.near_duplicates(rows, percent=75, row="llm_row", one_per_id=True).kept
+    return rows.join(kept.withColumnRenamed("row", "llm_row"), "llm_row", "left_semi").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
