@@ -6,12 +6,15 @@ groups of bounded size; within a group they are placed best fit, longest first,
 a swap-based local search works on the emptiest underfull sequence: it moves a piece to
 another sequence, exchanges one of its pieces for a shorter one, or two for a shorter one.
 Each step makes the fuller side fuller, so the sum of squared fills grows, until the
-emptiest is empty or nothing helps. Sequences that remain half empty or more are dealt
-again, all groups together, in further rounds.
+emptiest is empty or nothing helps, then on the next, until none of the group can be
+improved or it has no more sequences than its tokens need. Underfull sequences (of a group
+with no more than needed: the emptiest) are dealt again, all groups together, in further
+rounds, as long as a round saves a sequence.
 """
 
 from __future__ import annotations
 
+import heapq
 import itertools
 import zlib
 from collections.abc import Iterator
@@ -28,11 +31,6 @@ from skyledger.sources.paths import Staging
 
 #: Pieces of a group, on average; a group is one task's work in memory.
 GROUP = 40_000
-#: Sequences with less than this share filled are packed again with those of other groups.
-SPARSE = 0.5
-#: Sequences the search tries to empty in a group, and steps for each.
-TRIED, STEPS = 64, 400
-
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, salt long"
 GROUPED = f"{PIECES}, sequence_id long, `offset` long, settled boolean"
 
@@ -88,72 +86,190 @@ def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-def local_search(lengths: np.ndarray, bins: np.ndarray, capacity: int, tried: int = TRIED, steps: int = STEPS) -> np.ndarray:
-    """Empties underfull bins by moves and exchanges that raise the sum of squared fills."""
-    bins = bins.copy()
-    fills = np.bincount(bins, weights=lengths).astype(np.int64)
-    given_up = np.zeros(len(fills), dtype=bool)
-    for _ in range(tried):
-        used = int((fills > 0).sum())
-        if used <= -(-int(fills.sum()) // capacity):
-            break  # no packing has fewer
-        waiting = np.flatnonzero((fills > 0) & (fills < capacity) & ~given_up)
-        if len(waiting) < 2:
-            break
-        source = int(waiting[fills[waiting].argmin()])
-        for _ in range(steps):
-            if not _improve(lengths, bins, fills, source, capacity):
+class _Search:
+    """One pass over underfull bins: those that wait are offered room, by room, and pieces, by length.
+
+    While a bin waits its room only shrinks, so the entries by length are upper bounds, put right when they are looked at.
+    """
+
+    def __init__(self, lengths: list[int], bins: list[int], fills: list[int], capacity: int):
+        self.lengths, self.bins, self.fills, self.capacity = lengths, bins, fills, capacity
+        self.waits = [0 < f < capacity for f in fills]
+        self.held: list[list[int]] = [[] for _ in fills]
+        self.by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
+        self.rooms = np.zeros(capacity + 1, dtype=np.int64)  # waiting bins by room
+        self.by_length: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # (-room, piece)
+        self.most = np.full(capacity + 1, -1, dtype=np.int64)  # room of the first entry by length
+        for b, f in enumerate(fills):
+            if self.waits[b]:
+                self.by_room[capacity - f].append(b)
+                self.rooms[capacity - f] += 1
+        for piece, b in enumerate(bins):
+            if self.waits[b]:
+                self.held[b].append(piece)
+                self.by_length[lengths[piece]].append((fills[b] - capacity, piece))
+        for length, entries in enumerate(self.by_length):
+            if entries:
+                heapq.heapify(entries)
+                self.most[length] = -entries[0][0]
+
+    def leave(self, b: int) -> None:
+        """The bin no longer waits: it is neither given pieces nor asked for them."""
+        if self.waits[b]:
+            self.waits[b] = False
+            self.rooms[self.capacity - self.fills[b]] -= 1
+
+    def enter(self, b: int) -> None:
+        """The bin waits again."""
+        room = self.capacity - self.fills[b]
+        self.waits[b] = True
+        self.rooms[room] += 1
+        self.by_room[room].append(b)
+        for piece in self.held[b]:
+            self._offer(piece, room)
+
+    def _offer(self, piece: int, room: int) -> None:
+        entries = self.by_length[self.lengths[piece]]
+        heapq.heappush(entries, (-room, piece))
+        self.most[self.lengths[piece]] = -entries[0][0]
+
+    def _fill(self, b: int, gain: int) -> None:
+        self.rooms[self.capacity - self.fills[b]] -= 1
+        self.fills[b] += gain
+        room = self.capacity - self.fills[b]
+        self.rooms[room] += 1
+        self.by_room[room].append(b)
+        if not room:
+            self.leave(b)
+
+    def _put(self, piece: int, b: int) -> None:
+        self.bins[piece] = b
+        self.held[b].append(piece)
+        if self.waits[b]:
+            self._offer(piece, self.capacity - self.fills[b])
+
+    def _first(self, length: int) -> bool:
+        """Puts the first entry of a length right; whether it was."""
+        entries, was = self.by_length[length], self.most[length]
+        while entries:
+            room, piece = entries[0]
+            b = self.bins[piece]
+            if not self.waits[b]:
+                heapq.heappop(entries)
+            elif self.fills[b] - self.capacity != room:
+                heapq.heapreplace(entries, (self.fills[b] - self.capacity, piece))
+            else:
                 break
-        given_up[source] = fills[source] > 0
-    return bins
+        self.most[length] = -entries[0][0] if entries else -1
+        return self.most[length] == was
+
+    def step(self, source: int) -> bool:
+        """Takes tokens out of ``source``, which does not wait, into a bin that does."""
+        lengths, own = self.lengths, self.held[source]
+        # Move: the longest piece that fits anywhere, to the fullest bin with room.
+        widest = self.rooms[1:].nonzero()[0]
+        widest = int(widest[-1]) + 1 if len(widest) else 0
+        fits = [p for p in own if lengths[p] <= widest]
+        if fits:
+            piece = max(fits, key=lengths.__getitem__)
+            size = lengths[piece]
+            room = size + int((self.rooms[size:] > 0).argmax())
+            entries = self.by_room[room]
+            while not (self.waits[entries[-1]] and self.capacity - self.fills[entries[-1]] == room):
+                entries.pop()
+            to = entries.pop()
+            own.remove(piece)
+            self.fills[source] -= size
+            self._fill(to, size)
+            self._put(piece, to)
+            return True
+        # Exchange one or two pieces for one shorter piece of a bin with room for the difference.
+        offers: dict[int, tuple[int, ...]] = {}
+        for a, b in itertools.combinations(own, 2):
+            offers[lengths[a] + lengths[b]] = (a, b)
+        for a in own:
+            offers[lengths[a]] = (a,)
+        offered = np.zeros(self.capacity + 1, dtype=np.int64)
+        offered[list(offers)] = list(offers)
+        offered = np.maximum.accumulate(offered)  # the greatest offer up to a length
+        size = np.flatnonzero(self.most > 0)
+        if not len(size):
+            return False
+        gain = offered[np.minimum(size + self.most[size], self.capacity)] - size
+        while True:
+            place = int(gain.argmax())
+            if gain[place] <= 0:
+                return False
+            length = int(size[place])
+            if self._first(length):
+                break
+            gain[place] = offered[min(length + int(self.most[length]), self.capacity)] - length if self.most[length] > 0 else 0
+        won = int(gain[place])
+        other = self.by_length[length][0][1]
+        to = self.bins[other]
+        self.held[to].remove(other)
+        heapq.heappop(self.by_length[length])
+        self.most[length] = -self.by_length[length][0][0] if self.by_length[length] else -1
+        self.fills[source] -= won
+        self._fill(to, won)
+        self._put(other, source)
+        for piece in offers[length + won]:
+            own.remove(piece)
+            self._put(piece, to)
+        return True
+
+
+def local_search(lengths: np.ndarray, bins: np.ndarray, capacity: int, tried: int | None = None) -> np.ndarray:
+    """Empties underfull bins by moves and exchanges that raise the sum of squared fills, until none can be improved.
+
+    ``tried``: after so many bins it stops.
+    """
+    sizes, held = lengths.tolist(), bins.tolist()
+    fills = np.bincount(bins, weights=lengths).astype(np.int64).tolist()
+    used, least = sum(f > 0 for f in fills), -(-sum(fills) // capacity)
+    better, count = True, 0
+    while better and used > least:  # no packing has fewer
+        better = False
+        search = _Search(sizes, held, fills, capacity)
+        emptiest = [(f, b) for b, f in enumerate(fills) if search.waits[b]]
+        heapq.heapify(emptiest)
+        level, alike = 0, []  # bins given up wait on for those that are as full
+        while emptiest and used > least:
+            fill, source = heapq.heappop(emptiest)
+            if not search.waits[source]:
+                continue
+            if fills[source] != fill:
+                heapq.heappush(emptiest, (fills[source], source))
+                continue
+            if tried is not None and count >= tried:
+                return np.array(held, dtype=np.int64)
+            count += 1
+            if fill > level:
+                for b in alike:
+                    search.leave(b)
+                level, alike = fill, []
+            search.leave(source)
+            while fills[source] and search.step(source):
+                better = True
+            used -= not fills[source]
+            if fills[source] == fill:
+                search.enter(source)
+                alike.append(source)
+    return np.array(held, dtype=np.int64)
 
 
 def _improve(lengths: np.ndarray, bins: np.ndarray, fills: np.ndarray, source: int, capacity: int) -> bool:
     """One step that takes tokens out of ``source`` into a bin at least as full."""
-    own = np.flatnonzero(bins == source)
-    if not len(own):
-        return False
-    own = own[np.argsort(-lengths[own], kind="stable")]
-    targets = np.flatnonzero((fills < capacity) & (fills >= fills[source]))
-    targets = targets[targets != source]
-    if not len(targets):
-        return False
-    room = capacity - fills
-    # Move: the longest piece that fits anywhere, to the fullest bin with room.
-    for a in own.tolist():
-        fits = targets[room[targets] >= lengths[a]]
-        if len(fits):
-            to = int(fits[fills[fits].argmax()])
-            bins[a] = to
-            fills[source] -= lengths[a]
-            fills[to] += lengths[a]
-            return True
-    # Exchange one or two pieces for one shorter piece of a bin with room for the difference.
-    is_target = np.zeros(len(fills), dtype=bool)
-    is_target[targets] = True
-    others = np.flatnonzero(is_target[bins])
-    size, spare = lengths[others], room[bins[others]]
-    best_gain, best = 0, None
-    few = own[:40].tolist()
-    offers = [(a,) for a in few] + [(a, b) for i, a in enumerate(few) for b in few[i + 1 :]]
-    for offer in offers:
-        gain = int(lengths[list(offer)].sum()) - size
-        gain = np.where((gain > 0) & (gain <= spare), gain, 0)
-        place = int(gain.argmax())
-        if gain[place] > best_gain:
-            best_gain, best = int(gain[place]), (offer, int(others[place]))
-    if best is None:
-        return False
-    offer, other = best
-    to = int(bins[other])
-    bins[list(offer)] = to
-    bins[other] = source
-    fills[source] -= best_gain
-    fills[to] += best_gain
-    return True
-
-
-def _pack_group(capacity: int, shift: int, sparse: float, first: bool):
+    search = _Search(lengths.tolist(), bins.tolist(), fills.tolist(), capacity)
+    for b in np.flatnonzero(fills < fills[source]).tolist():
+        search.leave(b)
+    search.leave(source)
+    done = search.step(source)
+    bins[:], fills[:] = search.bins, search.fills
+    return done
+
+
+def _pack_group(capacity: int, number: int, last: bool):
     def pack(table: pa.Table) -> pa.Table:
         lengths = table.column("length").to_numpy()
         keys = np.lexsort((table.column("piece").to_numpy(), table.column("salt").to_numpy(), -lengths))
@@ -169,14 +285,17 @@ def _pack_group(capacity: int, shift: int, sparse: float, first: bool):
         starts = np.searchsorted(bins[order], bins[order], side="left")
         offset = ends - sizes - (ends - sizes)[starts]
         fill = np.bincount(bins, weights=lengths)
+        settled = np.full(len(fill), True) if last else fill == capacity
+        if not last and len(fill) == -(-int(lengths.sum()) // capacity):
+            settled = np.arange(len(fill)) != fill.argmin()
         rows = table.take(pa.array(keys[order]))
         group = table.column("group")[0].as_py()
         return pa.table(
             {
                 **{c: rows.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32", "salt")},
-                "sequence_id": pa.array((group << shift) + bins[order] if first else -1 - ((group << shift) + bins[order])),
+                "sequence_id": pa.array((group << 40) + bins[order] if number == 0 else -1 - ((number - 1 << 56) + (group << 32) + bins[order])),
                 "offset": pa.array(offset),
-                "settled": pa.array(fill[bins[order]] >= sparse * capacity),
+                "settled": pa.array(settled[bins[order]]),
             }
         )
 
@@ -194,18 +313,21 @@ def pack(df: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int | None
     spark = df.sparkSession
     stage = Staging(spark)
     left = stage(pieces(df, tokenizer, capacity, end_id), "pieces")
-    done = []
-    for number in range(2):
-        count = left.count()
-        groups = max(1, -(-count // group))
+    done, waiting, sequences = [], None, None
+    for number in itertools.count():
+        groups = max(1, -(-left.count() // group))
         dealt = left.withColumn("group", F.pmod(F.xxhash64("salt", F.lit(number)), F.lit(groups)))
-        last = number == 1 or groups == 1
-        packed = dealt.groupBy("group").applyInArrow(_pack_group(capacity, 40, 0.0 if last else SPARSE, number == 0), GROUPED)
-        packed = stage(packed, f"round-{number}")
+        packed = stage(dealt.groupBy("group").applyInArrow(_pack_group(capacity, number, groups == 1), GROUPED), f"round-{number}")
+        now = packed.where("offset = 0").count()
+        if sequences is not None and now >= sequences:  # nothing saved: they stay as they were
+            done.append(waiting)
+            break
         done.append(packed.where("settled"))
-        if last:
+        waiting = packed.where("not settled")
+        sequences = waiting.where("offset = 0").count()
+        if not sequences:
             break
-        left = packed.where("not settled").select(*left.columns)
+        left = waiting.select(*left.columns)
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
