@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import langid, lattice, mixing, packing, secrets, setsketch, texts, tokenfiles, topk, weighted, wordtokens
+from skyledger.llm import (
+    alignment,
+    hadamard,
+    langid,
+    lattice,
+    mixing,
+    packing,
+    secrets,
+    setsketch,
+    texts,
+    tokenfiles,
+    topk,
+    warc,
+    weighted,
+    wordtokens,
+)
 from skyledger.sources.paths import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +80,21 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(texts.documents(spark, sf_dir), percent=75).rows
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc.archived(pages, Staging(spark).folder, "page_id", "url", "html", least_bytes=0)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(texts.documents(spark, sf_dir), BYTES, SUBWORDS)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").where(topk.usable(F.col("embedding")))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    return hadamard.compress(rows, whole, parts=16, entries=64, rounds=2)
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_fingerprints,
@@ -77,6 +107,9 @@ def queries() -> dict[str, Query]:
         op8_lattice_scores,
         op9_packing,
         op10_near_duplicates,
+        op11_warc,
+        op12_alignment,
+        op13_vector_codes,
     ]
     return {f.__name__: f for f in found}
 
@@ -131,6 +164,70 @@ FROM documents d JOIN least USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
 
+# Base 32 takes five bits a letter: five hexadecimal digits are four letters.
+WARC = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), digests AS (
+    SELECT page_id, octet_length(encode(payload)) AS payload_bytes, list_reduce(list_transform(range(8), lambda i:
+        list_reduce(list_transform([15, 10, 5, 0], lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            (((('0x' || substr(hex, 5 * i + 1, 5))::INTEGER >> b) & 31) + 1)::BIGINT, 1)), lambda x, y: x || y)),
+        lambda x, y: x || y) AS payload_digest
+    FROM payloads
+), firsts AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM digests
+)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+
+def _vector_codes(rounds: int = 2) -> str:
+    """Each round: distances to all entries, the nearest entry, the floors of means."""
+
+    def assigned(books: str) -> str:
+        return f"""
+        SELECT vec_id, part, arg_min(entry, (distance, entry)) AS entry, min(distance) AS distance FROM (
+            SELECT p.vec_id, p.part, e.entry, sum((p.x - e.x) * (p.x - e.x))::BIGINT AS distance
+            FROM components p JOIN {books} e USING (part, place) GROUP BY ALL
+        ) GROUP BY vec_id, part"""
+
+    steps = []
+    for r in range(rounds):
+        steps += [
+            f"assigned{r} AS ({assigned(f'books{r}')})",
+            f"""books{r + 1} AS (
+        SELECT part, place, entry, CASE WHEN n > 0 THEN ((s - ((s % n) + n) % n) // n)::BIGINT ELSE x END AS x FROM (
+            SELECT b.part, b.place, b.entry, any_value(b.x) AS x, count(c.x) AS n, coalesce(sum(c.x), 0)::BIGINT AS s
+            FROM books{r} b LEFT JOIN assigned{r} a USING (part, entry)
+            LEFT JOIN components c ON c.vec_id = a.vec_id AND c.part = b.part AND c.place = b.place
+            GROUP BY b.part, b.place, b.entry
+        ))""",
+        ]
+    steps.append(f"final AS ({assigned(f'books{rounds}')})")
+    following = ", ".join(steps)
+    return f"""
+    WITH kept AS (
+        SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id) - 1 AS number, len(embedding) // 16 AS size FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), flat AS (
+        SELECT vec_id, number, size, unnest(range(len(embedding))) AS i, floor(256 * unnest(embedding)::DOUBLE)::BIGINT AS x FROM kept
+    ), components AS (
+        SELECT vec_id, number, i // size AS part, i % size AS place, x FROM flat
+    ), books0 AS (
+        SELECT part, place, number AS entry, x FROM components WHERE number < 64
+    ), {following}, coded AS (
+        SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(distance)::BIGINT AS error FROM final GROUP BY vec_id
+    ), shown AS (
+        SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM books{rounds}
+    )
+    SELECT c.vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+    FROM coded c JOIN kept USING (vec_id), shown
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {"op7_top_k": TOP_K, "op10_near_duplicates": NEAR_DUPLICATES}
+    return {"op7_top_k": TOP_K, "op10_near_duplicates": NEAR_DUPLICATES, "op11_warc": WARC, "op13_vector_codes": _vector_codes()}

@@ -25,7 +25,7 @@ def by_id(found):
 
 
 def test_one_query_for_each_operator():
-    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 14))
 
 
 def test_fingerprints(spark, small, table):
