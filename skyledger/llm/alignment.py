@@ -6,7 +6,8 @@ Documents are handled in slices of some megabytes, as Arrow tables throughout:
 
 * token lists are flattened, with the number of the document as parent index, and the
   lengths of their bytes are summed up within each document;
-* an Acero hash join on (document, end) finds the cuts, and one on groups the linked ids;
+* an Acero hash join on (document, end) finds the cuts, and one on groups the linked ids where
+  a group has several;
 * ``Table.group_by`` counts a slice's pairs of ids, and Spark adds up the slices.
 
 The counts come back to a slice in a shuffle, once for each of its different pairs.
@@ -74,11 +75,22 @@ class Tokenizer:
         self.written = pa.array(written, pa.binary())
         self.lengths = np.fromiter(map(len, written), np.int64, len(written))
 
-    def joined(self, tokens: Tokens, documents: int) -> pa.Array:
-        """The bytes of each document's tokens."""
-        offsets = np.concatenate([[0], np.cumsum(tokens.counts(documents))]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(offsets, self.written.take(pa.array(tokens.ids)))
-        return pc.binary_join(lists, pa.scalar(b"", pa.binary()))
+    def spells(self, tokens: Tokens, given: pa.Array) -> np.ndarray:
+        """Whether the bytes of each document's tokens join to those ``given``."""
+        parts = self.written.take(pa.array(tokens.ids))
+        sizes = np.bincount(tokens.parent, self.lengths[tokens.ids], len(given))
+        if (sizes == pc.binary_length(given).to_numpy()).all() and _bytes(parts) == _bytes(given):
+            return np.ones(len(given), dtype=bool)
+        offsets = np.concatenate([[0], np.cumsum(tokens.counts(len(given)))]).astype(np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(offsets, parts), pa.scalar(b"", pa.binary()))
+        return pc.equal(joined, given).to_numpy(zero_copy_only=False)
+
+
+def _bytes(values: pa.Array) -> memoryview:
+    """The bytes of all values, one after the other."""
+    data = values.buffers()[2]
+    ends = np.frombuffer(values.buffers()[1], np.int32)[[values.offset, values.offset + len(values)]].tolist()
+    return memoryview(data if data is not None else b"")[slice(*ends)]
 
 
 class ByteTokens(Tokenizer):
@@ -118,18 +130,18 @@ def tokenizers(bytes_path: str, pieces_path: str) -> tuple[ByteTokens, PieceToke
     return ByteTokens(bytes_path), PieceTokens(pieces_path)
 
 
-def _grouped(tokens: Tokens, ends: np.ndarray, cuts: pa.Table) -> np.ndarray:
-    """The number of each token's group; groups of consecutive documents are numbered on."""
-    # Cuts are in order, so a token belongs to the first cut at or after its end.
-    keys = cuts.column("parent").to_numpy(), cuts.column("end").to_numpy()
-    width = int(max(ends.max(initial=0), keys[1].max(initial=0))) + 1
-    return np.searchsorted(keys[0] * width + keys[1], tokens.parent * width + ends)
+def _id_lists(offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
+    """For each group its ids as text, joined by commas."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids).cast(pa.string())), ",")
 
 
-def _id_lists(group: np.ndarray, ids: np.ndarray, groups: int) -> pa.Array:
-    """For each group its ids as text, joined by commas."""
-    offsets = np.searchsorted(group, np.arange(groups + 1)).astype(np.int32)
-    return pc.binary_join(pa.ListArray.from_arrays(offsets, pa.array(ids).cast(pa.string())), ",")
+def _grouped(offsets: np.ndarray, ids: np.ndarray, wanted: np.ndarray, name: str, times: str) -> pa.Table:
+    """The ids of the ``wanted`` groups, once each, with how often they are there."""
+    sizes = np.diff(offsets)
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    there = wanted[group]
+    counted = pa.table({"group": group[there], name: ids[there]}).group_by(["group", name], use_threads=False)
+    return counted.aggregate([([], "count_all")]).rename_columns(["group", name, times])
 
 
 @dataclass
@@ -149,24 +161,27 @@ def align(plain: pa.Array, first: ByteTokens, second: PieceTokens) -> Aligned:
     spaced = pc.binary_join_element_wise(pa.scalar(" "), plain, "")
     a, b = first.encode(spaced), second.encode(plain)
     given = spaced.cast(pa.binary())
-    sound = pc.and_(pc.equal(first.joined(a, n), given), pc.equal(second.joined(b, n), given))
-    sound = pc.and_(sound, pc.not_equal(plain, "")).to_numpy(zero_copy_only=False)
+    sound = first.spells(a, given) & second.spells(b, given) & pc.not_equal(plain, "").to_numpy(zero_copy_only=False)
     a, b = a.where(sound), b.where(sound)
-    a_ends, b_ends = a.ends(first.lengths), b.ends(second.lengths)
-
-    key = ["parent", "end"]
-    tables = [pa.table({"parent": t.parent, "end": e}) for t, e in ((a, a_ends), (b, b_ends))]
-    cuts = tables[0].join(tables[1], key, join_type="inner", use_threads=False).sort_by([(k, "ascending") for k in key])
-    a_group, b_group = _grouped(a, a_ends, cuts), _grouped(b, b_ends, cuts)
-
-    # Ids of a group once each, with how often; the join then meets every pair of ids of a group once.
-    of_a = pa.table({"group": a_group, "a": a.ids}).group_by(["group", "a"], use_threads=False).aggregate([([], "count_all")])
-    of_b = pa.table({"group": b_group, "b": b.ids}).group_by(["group", "b"], use_threads=False).aggregate([([], "count_all")])
-    met = of_a.join(of_b.rename_columns(["group", "b", "times"]), "group", join_type="inner", use_threads=False)
-    occurrences = pc.multiply(met.column("count_all"), met.column("times"))
-    parent = cuts.column("parent").take(met.column("group"))
-    pair = np.left_shift(met.column("a").to_numpy().astype(np.int64), 32) | met.column("b").to_numpy()
-    linked = pa.table({"parent": parent, "pair": pair, "n": occurrences})
+
+    # Cuts: where tokens of both end. Each row has the places of the two tokens.
+    of_a = pa.table({"parent": a.parent, "end": a.ends(first.lengths), "at_a": np.arange(len(a.ids))})
+    of_b = pa.table({"parent": b.parent, "end": b.ends(second.lengths), "at_b": np.arange(len(b.ids))})
+    cuts = of_a.join(of_b, ["parent", "end"], join_type="inner", use_threads=False)
+    at_a, at_b = (np.sort(cuts.column(c).to_numpy()) for c in ("at_a", "at_b"))
+    a_offsets, b_offsets = np.append(0, at_a + 1), np.append(0, at_b + 1)
+    owner = a.parent[at_a]
+
+    # Most groups are a token each. In others ids are counted, so that the join meets every pair of ids of a group once.
+    single = (np.diff(a_offsets) == 1) & (np.diff(b_offsets) == 1)
+    several = _grouped(a_offsets, a.ids, ~single, "a", "times_a")
+    met = several.join(_grouped(b_offsets, b.ids, ~single, "b", "times_b"), "group", join_type="inner", use_threads=False)
+    group = np.concatenate([np.flatnonzero(single), met.column("group").to_numpy()])
+    id_a = np.concatenate([a.ids[at_a[single]], met.column("a").to_numpy()])
+    id_b = np.concatenate([b.ids[at_b[single]], met.column("b").to_numpy()])
+    times = met.column("times_a").to_numpy() * met.column("times_b").to_numpy()
+    occurrences = np.concatenate([np.ones(len(group) - len(times), np.int64), times])
+    linked = pa.table({"parent": owner[group], "pair": np.left_shift(id_a.astype(np.int64), 32) | id_b, "n": occurrences})
     links = linked.group_by(["parent", "pair"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["parent", "pair", "n"])
     counted = links.group_by("pair", use_threads=False).aggregate([([], "count_all")])
     place = pc.index_in(links.column("pair"), value_set=counted.column("pair").combine_chunks())
@@ -179,8 +194,8 @@ def align(plain: pa.Array, first: ByteTokens, second: PieceTokens) -> Aligned:
         }
     )
 
-    spelled = pc.binary_join_element_wise(_id_lists(a_group, a.ids, len(cuts)), _id_lists(b_group, b.ids, len(cuts)), "|")
-    bounds = np.searchsorted(cuts.column("parent").to_numpy(), np.arange(n + 1)).astype(np.int32)
+    spelled = pc.binary_join_element_wise(_id_lists(a_offsets, a.ids), _id_lists(b_offsets, b.ids), "|")
+    bounds = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
     whole = pc.binary_join(pa.ListArray.from_arrays(bounds, spelled), ";").cast(pa.binary()).to_pylist()
     per_document = np.zeros(n, np.int64)
     np.add.at(per_document, links.column("parent").to_numpy(), links.column("n").to_numpy())
