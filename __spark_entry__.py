@@ -8,7 +8,10 @@ grouped frames the star schema is derived from, as the stored warehouse does.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import timedelta
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +24,10 @@ from skyledger import fixtures, schemas  # noqa: E402
 from skyledger.functions import predicates as P  # noqa: E402
 from skyledger.functions import temporal as t  # noqa: E402
 from skyledger.operators import reports  # noqa: E402
+from skyledger.operators.ordering import with_position  # noqa: E402
 from skyledger.plans import etl, kpis, raw_kpis, violations, warehouse  # noqa: E402
 from skyledger.plans import transform as tr  # noqa: E402
+from skyledger.plans.commits import Retention  # noqa: E402
 from skyledger.plans.reconcile import REPORTING, UTILIZATION, reconcile  # noqa: E402
 from skyledger.sources import SourceConfig, TableSource, read_sources, readers  # noqa: E402
 from skyledger.sources.paths import Staging  # noqa: E402
@@ -227,10 +232,7 @@ def _stored_counts(spark: SparkSession, location: str) -> DataFrame:
         )
         for name, df in stored.tables().items()
     ]
-    first, *rest = counts
-    for df in rest:
-        first = first.unionByName(df)
-    return first
+    return _union(counts)
 
 
 def _warehouse_load(spark: SparkSession, folder: str) -> DataFrame:
@@ -284,6 +286,150 @@ def _etl_from_files(spark: SparkSession, folder: str) -> DataFrame:
     return _stored_counts(spark, location)
 
 
+def _with_broken_lines(spark: SparkSession, folder: str) -> SourceConfig:
+    """The source relations as files, with short, long and unclosed lines in both lookup files."""
+    config = _as_files(spark, folder)
+    sources, lookups = fixtures.sources(spark, folder), f"{Staging(spark).folder}/lookups"
+
+    def store(lines: DataFrame, header: str, name: str) -> None:
+        as_they_are = {"sep": "\u0001", "quote": "", "escape": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        lines.select(F.col("line").alias(header)).write.options(header=True, **as_they_are).csv(f"{lookups}/{name}")
+
+    def lines(rows: DataFrame, sound: F.Column, key: F.Column, number: F.Column) -> DataFrame:
+        broken = F.array(
+            F.when(number % 5 == 0, key),
+            F.when(number % 9 == 0, F.concat(sound, F.lit(',"more, and",more'))),
+            F.when(number % 8 == 0, F.concat(sound, F.lit('"'))),
+        )
+        return rows.select(F.explode(F.array_compact(F.concat(F.array(sound), broken))).alias("line"))
+
+    c = F.col
+    registration = F.coalesce(c("registration"), F.lit(""))
+    aircraft = F.concat_ws(",", registration, F.lit("MSN"), c("model"), c("manufacturer"))
+    numbered = F.substring(c("registration"), 4, 20).cast("long")
+    store(lines(sources["aircrafts"], aircraft, registration, numbered), "aircraft_reg_code,manufacturer_serial_number,aircraft_model,aircraft_manufacturer", readers.AIRCRAFT_FILES[0])
+    person = F.concat_ws(",", c("reporteurid"), c("airport"))
+    store(lines(sources["personnel"], person, c("reporteurid"), F.trim("reporteurid").cast("long")), "reporteurid,airport", readers.PERSONNEL_FILE)
+    return replace(config, lookup_folder=lookups, broken_lines="set_aside")
+
+
+def _broken_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """What a load sets aside of the lookup files."""
+    location = Staging(spark).folder
+    etl.run_etl(spark, _with_broken_lines(spark, folder), location)
+    logged = warehouse.Warehouse(spark, location).log("broken_lines")
+    return logged.groupBy("file", "line", "reason").agg(F.count("*").alias("copies"))
+
+
+def _etl_with_broken_lines(spark: SparkSession, folder: str) -> DataFrame:
+    location = Staging(spark).folder
+    etl.run_etl(spark, _with_broken_lines(spark, folder), location)
+    return _stored_counts(spark, location)
+
+
+def _stored_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows by commit and table: a new warehouse, a load that was broken off, two loads at a time, a clean-up."""
+    location = Staging(spark).folder
+    stored = warehouse.Warehouse(spark, location, create=True)
+    warehouse.begin(spark, location).write_empty()
+    load = lambda: etl.run_etl_on(spark, fixtures.sources(spark, folder), location, log_violations=False)
+    warehouse.together([load, load])
+    stored.clean()
+    counts = [
+        df.agg(F.count("*").alias("written")).select(F.lit(c.number).alias("commit"), F.lit(c.kind).alias("kind"), F.lit(name).alias("table_name"), "written")
+        for c in stored.available()
+        for name, df in stored.tables(c.number).items()
+    ]
+    return _union(counts)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    first, *rest = frames
+    for df in rest:
+        first = first.unionByName(df)
+    return first
+
+
+REPORTING_BY_NAME = """
+WITH calendar AS (
+    SELECT d.day_id, m.year FROM {db}.days d JOIN {db}.months m ON m.month_id = d.month_id
+), flown AS (
+    SELECT a.manufacturer, c.year, sum(u.fh) AS fh, sum(u.tos) AS tos
+    FROM {db}.daily_usage u JOIN calendar c ON c.day_id = u.day_id AND c.year = u.year JOIN {db}.aircrafts a ON a.registration = u.registration
+    GROUP BY a.manufacturer, c.year
+), reported AS (
+    SELECT a.manufacturer, m.year, sum(u.reps) AS reps
+    FROM {db}.reportage_usage u JOIN {db}.months m ON m.month_id = u.month_id AND m.year = u.year JOIN {db}.aircrafts a ON a.registration = u.registration
+    GROUP BY a.manufacturer, m.year
+)
+SELECT manufacturer, year, 1000D * {per_hour} AS rrh, 100D * {per_cycle} AS rrc FROM flown JOIN reported USING (manufacturer, year)
+"""
+
+
+def _reporting_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """Q2 as SQL over table names, which the second of two loads has moved."""
+    location, database = Staging(spark).folder, f"fleet_{uuid.uuid4().hex[:12]}"
+    for rules in (False, True):
+        etl.run_etl_on(spark, fixtures.sources(spark, folder), location, rules, log_violations=False, database=database)
+    rates = {"per_hour": kpis.ratio("reps", "fh", 3), "per_cycle": kpis.ratio("reps", "tos", 2)}
+    return spark.sql(REPORTING_BY_NAME.format(db=database, **rates))
+
+
+def _one_year(spark: SparkSession, folder: str) -> DataFrame:
+    """Q1 of the last year of a stored warehouse, which reads the files of that year."""
+    location = Staging(spark).folder
+    etl.run_etl_on(spark, fixtures.sources(spark, folder), location, log_violations=False)
+    tables = warehouse.Warehouse(spark, location).tables(partitions=True)
+    last = tables["months"].agg(F.max("year")).first()[0]
+    return kpis.query_utilization(tables).where(F.col("year") == last)
+
+
+def _log_over_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """Cases by load, of three loads of which the second applies no rules; the tables of the first are gone."""
+    location = Staging(spark).folder
+    for rules in (True, False, True):
+        etl.run_etl_on(spark, fixtures.sources(spark, folder), location, rules)
+    stored = warehouse.Warehouse(spark, location)
+    stored.clean(Retention(commits=2, replaced=timedelta(0)))
+    logged = stored.log_history("rule_violations")
+    return logged.groupBy("commit", "rule_id", "source").agg(F.sum("cases").cast("long").alias("cases"))
+
+
+def _restarted(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows before and after a warehouse is emptied, and opened again."""
+    location = Staging(spark).folder
+    etl.run_etl_on(spark, fixtures.sources(spark, folder), location, log_violations=False)
+    warehouse.Warehouse(spark, location).restart()
+    stored = warehouse.Warehouse(spark, location, create=True)
+    count = lambda df, name: df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+    before = _union([count(df, name) for name, df in stored.tables(at=1).items()]).withColumnRenamed("rows", "loaded")
+    return before.join(_union([count(df, name) for name, df in stored.tables().items()]), "table_name")
+
+
+def _failed_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of a warehouse after a load that was told to fail on broken keys: those of the load before."""
+    location = Staging(spark).folder
+    etl.run_etl_on(spark, fixtures.sources(spark, folder), location, False, log_violations=False)
+    try:
+        etl.run_etl_on(spark, fixtures.sources(spark, folder), location, on_violation="fail")
+        failed = False
+    except warehouse.ConstraintViolation:
+        failed = True
+    return _stored_counts(spark, location).withColumn("second_load_failed", F.lit(failed))
+
+
+def _positions(kpi: Callable[[dict[str, DataFrame]], DataFrame], *keys: str) -> Query:
+    """A KPI with the place of each row in its order."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        sources = fixtures.sources(spark, folder)
+        grains = tr.grains(sources, True, Staging(spark))
+        found = kpi(tr.tables(grains, sources["aircrafts"], sources["personnel"]))
+        return with_position(found, [F.col(k).asc_nulls_last() for k in keys], Staging(spark))
+
+    return run
+
+
 def _raw(fn: Callable[..., DataFrame], *names: str) -> Query:
     return _on_sources(lambda s: fn(*[s[n] for n in names]))
 
@@ -336,6 +482,16 @@ def queries() -> dict[str, Query]:
         "fk_orphans_monthly": _fk_orphans("monthly_usage"),
         "fk_orphans_reportage": _fk_orphans("reportage_usage"),
         "warehouse_load": _warehouse_load,
+        "warehouse_broken_lines": _broken_lines,
+        "warehouse_with_broken_lines": _etl_with_broken_lines,
+        "warehouse_stored_runs": _stored_runs,
+        "warehouse_by_name": _reporting_by_name,
+        "warehouse_one_year": _one_year,
+        "warehouse_log_over_loads": _log_over_loads,
+        "warehouse_restarted": _restarted,
+        "warehouse_failed_load": _failed_load,
+        "kpi_utilization_positions": _positions(kpis.query_utilization, "manufacturer", "year"),
+        "kpi_reporting_per_role_positions": _positions(kpis.query_reporting_per_role, "manufacturer", "year", "role"),
         "kpi_utilization": _on_tables(lambda s, tables: kpis.query_utilization(tables), reported=False),
         "kpi_utilization_norules": _on_tables(lambda s, tables: kpis.query_utilization(tables), rules=False, reported=False),
         "kpi_reporting": _on_tables(lambda s, tables: kpis.query_reporting(tables)),

@@ -381,6 +381,32 @@ def _load_counts(aircraft: str) -> str:
     return " UNION ALL ".join(rows)
 
 
+def _over_loads() -> str:
+    """Cases of commits 1 and 3, with the rules, and 2, without."""
+    on_events = (
+        "SELECT 'BR-21' AS rule_id, CASE act WHEN 0 THEN 'flight' ELSE 'maintenance' END AS source, count(*) AS cases "
+        "FROM decided WHERE NOT ok GROUP BY ALL "
+        "UNION ALL SELECT 'BR-23', 'flight', count(*) FROM decided WHERE act = 0 AND ok AND t1 < t0 HAVING count(*) > 0"
+    )
+    foreign = f"SELECT 'FOREIGN-AIRCRAFT' AS rule_id, 'report' AS source, count(*) AS cases FROM fx_reports WHERE {FOREIGN} HAVING count(*) > 0"
+    return (
+        f"SELECT commit, e.* FROM ({on_events}) e, (VALUES (1), (3)) AS c(commit) "
+        f"UNION ALL SELECT commit, f.* FROM ({foreign}) f, (VALUES (1), (2), (3)) AS c(commit)"
+    )
+
+
+# Lines that are none, beside each sound one by its number: too short, too long, not closed.
+BROKEN_LINES = """
+aircraft_lines AS (
+  SELECT coalesce(registration, '') || ',MSN,' || model || ',' || manufacturer AS line, registration AS key,
+         CAST(substr(registration, 4) AS BIGINT) AS number, 'aircraft-manufacturerinfo-lookup.csv' AS file FROM fx_aircraft
+),
+person_lines AS (
+  SELECT rid || ',' || airport AS line, rid AS key, CAST(trim(rid) AS BIGINT) AS number, 'maintenance_personnel.csv' AS file
+  FROM fx_personnel
+),
+all_lines AS (SELECT * FROM aircraft_lines UNION ALL SELECT * FROM person_lines)"""
+
 UTILIZATION = ["fh", "tos", "adoss", "adosu", "ados", "adis", "du", "dc", "dyr", "cnr", "tdr", "add"]
 GROUP = ["manufacturer", "year"]
 _FACTS = {"daily_usage": "t_daily", "monthly_usage": "t_monthly", "reportage_usage": "t_reportage"}
@@ -532,6 +558,36 @@ def oracle_sql() -> dict[str, str]:
         "etl_from_files": _ruled(
             _load_counts("SELECT coalesce(registration, '') AS registration, model, manufacturer FROM fx_aircraft")
         ),
+        "warehouse_broken_lines": _query(
+            "SELECT file, line, reason, count(*) AS copies FROM ("
+            "SELECT file, key AS line, 'number of values' AS reason FROM all_lines WHERE number % 5 = 0 "
+            "UNION ALL SELECT file, line || ',\"more, and\",more', 'number of values' FROM all_lines WHERE number % 9 = 0 "
+            "UNION ALL SELECT file, line || '\"', 'unclosed quote' FROM all_lines WHERE number % 8 = 0) GROUP BY ALL",
+            BROKEN_LINES,
+        ),
+        # Commits are those of a new warehouse and of two loads.
+        "warehouse_stored_runs": _ruled(
+            "SELECT commit, kind, table_name, CASE kind WHEN 'load' THEN written ELSE 0 END AS written "
+            f"FROM ({_load_counts('SELECT * FROM fx_aircraft')}) l, "
+            "(VALUES (1, 'restart'), (2, 'load'), (3, 'load')) AS c(commit, kind)"
+        ),
+        "warehouse_by_name": _ruled("SELECT * FROM q_reporting", YEARLY),
+        "warehouse_one_year": _ruled(
+            "SELECT * FROM q_utilization WHERE year = (SELECT max(year) FROM t_months)", YEARLY
+        ),
+        "warehouse_log_over_loads": _ruled(_over_loads()),
+        "warehouse_restarted": _ruled(
+            f"SELECT table_name, written AS loaded, 0 AS rows FROM ({_load_counts('SELECT * FROM fx_aircraft')})"
+        ),
+        "warehouse_failed_load": _unruled(
+            f"SELECT *, true AS second_load_failed FROM ({_load_counts('SELECT * FROM fx_aircraft')})"
+        ),
+        "kpi_utilization_positions": _ruled(
+            "SELECT *, row_number() OVER (ORDER BY manufacturer NULLS LAST, year NULLS LAST) AS position FROM q_utilization", YEARLY
+        ),
+        "kpi_reporting_per_role_positions": _ruled(
+            "SELECT *, row_number() OVER (ORDER BY manufacturer NULLS LAST, year NULLS LAST, role) AS position FROM q_per_role", YEARLY
+        ),
         "kpi_utilization": _ruled("SELECT * FROM q_utilization", YEARLY),
         "kpi_utilization_norules": _unruled("SELECT * FROM q_utilization", YEARLY),
         "kpi_reporting": _ruled("SELECT * FROM q_reporting", YEARLY),
@@ -545,6 +601,7 @@ def oracle_sql() -> dict[str, str]:
             _reconcile("q_per_role", "r_per_role", ["rrh", "rrc"], [*GROUP, "role"]), YEARLY, RAW
         ),
     }
+    q["warehouse_with_broken_lines"] = q["etl_from_files"]
     q["source_files_flights"], q["source_files_maintenance"] = q["source_flights"], q["source_maintenance"]
     for name, t in _DIMS.items():
         q[f"dim_{name}"] = _ruled(f"SELECT * FROM {t}")

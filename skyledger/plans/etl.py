@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from skyledger.operators import overlap, reports
 from skyledger.plans import transform as tr
 from skyledger.plans import violations
-from skyledger.plans.warehouse import LoadResult, published, together
+from skyledger.plans.catalog import WarehouseCatalog
+from skyledger.plans.warehouse import LoadResult, Warehouse, published, together
 from skyledger.sources import SourceConfig, read_sources
 from skyledger.sources.paths import Staging
 
@@ -19,6 +20,7 @@ from skyledger.sources.paths import Staging
 class EtlReport:
     rows_read: dict[str, int]
     loaded: list[LoadResult]
+    broken_lines: int = 0  # of lookup files, if they are set aside
 
     @property
     def set_aside(self) -> dict[str, int]:
@@ -41,12 +43,14 @@ def run_etl_on(
     apply_business_rules: bool = True,
     on_violation: str = "quarantine",
     log_violations: bool = True,
+    database: str | None = None,
 ) -> EtlReport:
     """Fills the warehouse at ``location`` from source relations, all tables at once at the end.
 
     The events are reduced to decided slots once, for the tables and for the table
     ``rule_violations``, which reads the events themselves once more; ``log_violations``
-    leaves that table out. If anything fails the warehouse stays as it was.
+    leaves that table out. Lookup lines that were set aside become the table ``broken_lines``. If anything fails the warehouse stays as it was. ``database``: where
+    the tables go by name; its names move once the load is committed.
     """
     staging = Staging(spark)
     lookup, personnel = sources["aircrafts"], sources["personnel"]
@@ -70,10 +74,15 @@ def run_etl_on(
             if log_violations:
                 hits = violations.rule_violations(sources, apply_business_rules, decided)
                 jobs.append(lambda: run.write_log(hits, "rule_violations"))
+            if "broken_lines" in sources:
+                jobs.append(lambda: run.write_log(sources["broken_lines"], "broken_lines"))
             loaded, rows_read, *_ = together(jobs)
+            broken = run.log("broken_lines").count() if "broken_lines" in sources else 0
     finally:
         staging.close()
-    return EtlReport(rows_read, loaded)
+    if database:
+        WarehouseCatalog(Warehouse(spark, location), database).sync()
+    return EtlReport(rows_read, loaded, broken)
 
 
 def run_etl(spark: SparkSession, config: SourceConfig, location: str, **options) -> EtlReport:

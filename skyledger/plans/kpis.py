@@ -23,6 +23,12 @@ def _months(tables: Tables) -> DataFrame:
     return tables["months"].select("month_id", "year")
 
 
+def _dated(fact: DataFrame, calendar: DataFrame, key: str) -> DataFrame:
+    """With the year. Facts stored by year meet the calendar by it too: what leaves out years there leaves out
+    their files. Rows of a month without a year appear in no KPI either way."""
+    return fact.join(calendar.select(key, "year"), [key, "year"] if "year" in fact.columns else key)
+
+
 def _per_manufacturer(fact: DataFrame, tables: Tables, measures: list[str], aircraft_count: bool = False) -> DataFrame:
     """Yearly sums of ``fact``, which carries ``registration`` and ``year``."""
     per_aircraft = fact.groupBy("registration", "year").agg(*[F.sum(m).alias(m) for m in measures])
@@ -33,15 +39,15 @@ def _per_manufacturer(fact: DataFrame, tables: Tables, measures: list[str], airc
 
 def _yearly_daily(tables: Tables, measures: list[str], aircraft_count: bool = False) -> DataFrame:
     calendar = tables["days"].select("day_id", "month_id").join(_months(tables), "month_id")
-    fact = tables["daily_usage"].join(calendar.select("day_id", "year"), "day_id")
-    return _per_manufacturer(fact, tables, measures, aircraft_count)
+    return _per_manufacturer(_dated(tables["daily_usage"], calendar, "day_id"), tables, measures, aircraft_count)
 
 
 def _yearly_monthly(tables: Tables, fact: str, measures: list[str]) -> DataFrame:
-    return _per_manufacturer(tables[fact].join(_months(tables), "month_id"), tables, measures)
+    return _per_manufacturer(_dated(tables[fact], _months(tables), "month_id"), tables, measures)
 
 
-def _ratio(num: str, den: str, digits: int) -> str:
+def ratio(num: str, den: str, digits: int) -> str:
+    """SQL text of a rounded quotient."""
     return round_double(double_ratio(num, den), digits)
 
 
@@ -56,13 +62,13 @@ def query_utilization(tables: Tables) -> DataFrame:
     """
     daily = _yearly_daily(tables, ["fh", "tos", "sto"], aircraft_count=True)
     monthly = _yearly_monthly(tables, "monthly_usage", ["ados", "adoss", "adosu", "adis", "dh", "dy", "cn"])
-    kpis = {m: _ratio(m, "n_aircrafts", 2) for m in ("fh", "tos", "adoss", "adosu", "ados", "adis")} | {
-        "du": _ratio("fh", "24 * adis", 2),
-        "dc": _ratio("tos", "adis", 2),
-        "dyr": _ratio("100 * dy", "sto", 2),
-        "cnr": _ratio("100 * cn", "tos", 2),
+    kpis = {m: ratio(m, "n_aircrafts", 2) for m in ("fh", "tos", "adoss", "adosu", "ados", "adis")} | {
+        "du": ratio("fh", "24 * adis", 2),
+        "dc": ratio("tos", "adis", 2),
+        "dyr": ratio("100 * dy", "sto", 2),
+        "cnr": ratio("100 * cn", "tos", 2),
         "tdr": round_double(f"(100D * (1D - {double_ratio('dy + cn', 'sto')}))", 2),
-        "add": _ratio("6000 * dh", "dy", 2),
+        "add": ratio("6000 * dh", "dy", 2),
     }
     grouped = _sorted(daily.join(monthly, GROUP), *GROUP)
     return grouped.select(*GROUP, *[F.expr(kpi).alias(name) for name, kpi in kpis.items()])
@@ -71,8 +77,8 @@ def query_utilization(tables: Tables) -> DataFrame:
 def _rates(reports: str) -> list[Column]:
     """Reports per 1000 flight hours and per 100 take-offs: rounded, then scaled."""
     return [
-        F.expr(f"1000D * {_ratio(reports, 'fh', 3)}").alias("rrh"),
-        F.expr(f"100D * {_ratio(reports, 'tos', 2)}").alias("rrc"),
+        F.expr(f"1000D * {ratio(reports, 'fh', 3)}").alias("rrh"),
+        F.expr(f"100D * {ratio(reports, 'tos', 2)}").alias("rrc"),
     ]
 
 

@@ -124,8 +124,11 @@ def rule_summary(usage: DataFrame, counts: DataFrame, aircrafts: DataFrame) -> D
         )
     )
     known = aircrafts.where("registration is not null").select("registration").distinct().withColumn("known", F.lit(True))
+    # One row for each registration meets the lookup, so reports without one are no hot key.
     on_reports = (
-        counts.join(known, "registration", "left")
+        counts.groupBy("registration")
+        .agg(F.sum("reps").alias("reps"))
+        .join(known, "registration", "left")
         .agg(
             long(F.sum(F.when(F.col("known").isNull(), F.col("reps")))).alias("hits"),
             long(F.sum("reps")).alias("rows_checked"),

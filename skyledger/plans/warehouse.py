@@ -1,9 +1,10 @@
 """The stored star schema: create, load with key checks, publish, open, empty.
 
 A warehouse is a folder of runs. A run is a folder of parquet tables with the declared
-schemas; it counts from the moment its marker file, written last, is there, and a
-warehouse is opened at the last run that counts. A load that fails leaves the tables as
-they were. Rows that do not fit a declared type, lose against another row with their
+schemas, facts in a folder for each year; it counts from the moment a commit names it
+(``commits.py``), and a warehouse is opened at the last commit. A load that fails leaves the
+tables as they were, and loads at the same time do not touch each other's runs. Logs lie beside
+the runs, in a folder for each, and stay when a run goes. Rows that do not fit a declared type, lose against another row with their
 primary key or miss a dimension row are kept apart in ``<table>_rejects`` with the reason,
 and counted. Nothing is dropped, and a load never claims more than it wrote.
 """
@@ -22,8 +23,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.schemas import DIMENSIONS, FACTS, TABLES, Table
-from skyledger.sources.paths import children, create_empty, delete, exists
+from skyledger.plans import commits
+from skyledger.plans.commits import Commit, CommitLog, Retention
+from skyledger.schemas import DIMENSIONS, FACTS, PARTITION, TABLES, Table
+from skyledger.sources.paths import children, delete, exists, write_text
 
 R = TypeVar("R")
 
@@ -141,10 +144,14 @@ def check_dimension(df: DataFrame, table: Table) -> Checked:
 
 
 def check_fact(df: DataFrame, table: Table, dimensions: dict[str, DataFrame]) -> Checked:
-    """Marks rows that miss a dimension row. A NULL reference passes."""
+    """Marks rows that miss a dimension row. A NULL reference passes.
+
+    The rows get the year of the calendar row that dates them; calendar dimensions carry it.
+    """
     checked = _fitted(df.select(*table.columns), table)
     for column, dimension in table.foreign_keys.items():
-        known = dimensions[dimension].select(F.col(TABLES[dimension].primary_key).alias("_key"))
+        year = [PARTITION] if column == table.dated_by else []
+        known = dimensions[dimension].select(F.col(TABLES[dimension].primary_key).alias("_key"), *year)
         checked = (
             checked.join(known, F.col(column) == F.col("_key"), "left")
             .withColumn(REASONS, _add_reason(f"{column} is not null and _key is null", f"orphan:{column}"))
@@ -161,28 +168,50 @@ def together(jobs: Iterable[Callable[[], R]]) -> list[R]:
         return list(pool.map(lambda job: job(), jobs))
 
 
-MARKER = "_PUBLISHED"
+#: Rows of a file of a fact, at most.
+FILE_ROWS = 10_000_000
+
+
+def read_stored(spark: SparkSession, path: str, table: Table, partitions: bool) -> DataFrame:
+    stored = spark.read.schema(table.stored_schema).parquet(path)
+    return stored if partitions else stored.select(*table.columns)
 
 
 class Run:
-    """The tables of one load, not part of the warehouse before ``publish``."""
+    """The tables of one load, not part of the warehouse before ``publish``.
+
+    ``began_with`` is the last commit at its beginning, 0 if there was none.
+    """
 
-    def __init__(self, spark: SparkSession, location: str):
+    def __init__(self, spark: SparkSession, warehouse: str, name: str):
         self.spark = spark
-        self.location = location
+        self.warehouse = warehouse.rstrip("/")
+        self.name = name
+        self.location = f"{self.warehouse}/runs/{name}"
+        self.commits = CommitLog(spark, warehouse)
+        self.began_with = max(self.commits.numbers(), default=0)
+        write_text(spark, f"{self.location}/_BEGUN", "")
 
     def _path(self, name: str) -> str:
         return f"{self.location}/{name}"
 
-    def _write(self, df: DataFrame, name: str) -> None:
-        df.write.parquet(self._path(name))
+    def _write(self, df: DataFrame, name: str, table: Table | None = None) -> None:
+        """Facts by year: each file holds rows of one year and has a bounded length."""
+        if table and table.dated_by:
+            df.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(PARTITION).parquet(self._path(name))
+        else:
+            df.write.parquet(self._path(name))
 
     def write_log(self, df: DataFrame, name: str) -> None:
-        """A table beside the star schema, such as the rule hits."""
-        self._write(df, name)
+        """A table beside the star schema, such as the rule hits. It outlives the run if the run is published."""
+        df.write.parquet(log_path(self.warehouse, name, self.name))
+
+    def log(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(log_path(self.warehouse, name, self.name))
 
     def write_empty(self) -> None:
-        together(lambda t=table: self._write(self.spark.createDataFrame([], t.schema).coalesce(1), t.name) for table in TABLES.values())
+        none = lambda t: self.spark.createDataFrame([], t.stored_schema).coalesce(1)
+        together(lambda t=table: self._write(none(t), t.name, t) for table in TABLES.values())
 
     def _store(self, table: Table, checked: Checked, on_violation: str) -> LoadResult:
         if on_violation == "fail":
@@ -191,10 +220,13 @@ class Run:
                 raise ConstraintViolation(f"{table.name}: {example[0][REASONS]} in {example[0]['row']}")
         observed = Observation()
         sound = F.size(REASONS) == 0
-        counted = checked.rows.observe(
+        # Rows of a year come together, so that a year is a few files however many tasks there are; a
+        # long one is split. Counting is above that: a stage found empty would take its counts with it.
+        rows = checked.rows.hint("rebalance", PARTITION) if table.dated_by else checked.rows
+        counted = rows.observe(
             observed, F.count_if(sound).alias("written"), F.count_if(checked.suspect).alias("suspect")
         )
-        self._write(counted.where(sound).select(*table.columns), table.name)
+        self._write(counted.where(sound).select(*table.stored_schema.fieldNames()), table.name, table)
         counts = observed.get
         if not counts["suspect"]:
             return LoadResult(table.name, counts["written"], 0)
@@ -209,7 +241,10 @@ class Run:
             return self._store(TABLES[name], check_dimension(frames[name], TABLES[name]), on_violation)
 
         def stored(name: str) -> DataFrame:
-            return self.spark.read.schema(TABLES[name].schema).parquet(self._path(name))
+            found = read_stored(self.spark, self._path(name), TABLES[name], False)
+            if name == "days":
+                found = found.join(stored("months").select("month_id", PARTITION), "month_id", "left")
+            return found
 
         def load_fact(name: str) -> LoadResult:
             known = {d: stored(d) for d in TABLES[name].foreign_keys.values()}
@@ -218,50 +253,74 @@ class Run:
         dimensions = together(lambda n=name: load_dimension(n) for name in DIMENSIONS)
         return dimensions + together(lambda n=name: load_fact(n) for name in FACTS)
 
-    def publish(self) -> None:
-        create_empty(self.spark, self._path(MARKER))
+    def publish(self, kind: str = "load", alone: bool = False) -> Commit:
+        """Makes the run count. With ``alone`` only if no other was committed since it began."""
+        missing = [t for t in TABLES if not exists(self.spark, f"{self._path(t)}/_SUCCESS")]
+        if missing:
+            raise FileNotFoundError(f"the run {self.name} lacks {missing}")
+        return self.commits.add(self.name, kind, self.began_with if alone else None)
 
     def discard(self) -> None:
-        delete(self.spark, self.location)
+        discard(self.spark, self.warehouse, self.name)
+
+
+def log_path(warehouse: str, log: str, run: str) -> str:
+    return f"{warehouse}/logs/{log}/run={run}"
+
+
+def discard(spark: SparkSession, warehouse: str, run: str, logs: bool = True) -> None:
+    """Removes a run; with ``logs`` also what it logged."""
+    delete(spark, f"{warehouse}/runs/{run}")
+    for log in children(spark, f"{warehouse}/logs") if logs else []:
+        delete(spark, log_path(warehouse, log, run))
 
 
 class Warehouse:
     """``create=True`` starts a warehouse, empty, where there is none yet; ``restart``
-    empties one that is there. Otherwise an existing warehouse is opened."""
+    empties one that is there. Otherwise an existing warehouse is opened.
+
+    Tables are those of the last commit at the time of a call, or of the commit given as ``at``.
+    """
 
     def __init__(self, spark: SparkSession, location: str, create: bool = False):
         self.spark = spark
         self.location = location.rstrip("/")
-        if self._published() is None:
+        self.commits = CommitLog(spark, self.location)
+        if not self.commits.numbers():
             if not create:
                 raise FileNotFoundError(f"no warehouse at {self.location}")
             self.restart()
 
-    def _runs(self) -> list[str]:
-        return sorted(children(self.spark, f"{self.location}/runs"))
-
-    def _published(self) -> str | None:
-        """The last run that counts."""
-        paths = [f"{self.location}/runs/{run}" for run in reversed(self._runs())]
-        return next((p for p in paths if exists(self.spark, f"{p}/{MARKER}")), None)
+    def run_path(self, at: int | None = None) -> str:
+        commit = self.commits.last() if at is None else self.commits.read(at)
+        return f"{self.location}/runs/{commit.run}"
 
     def _path(self, name: str) -> str:
-        return f"{self._published()}/{name}"
+        return f"{self.run_path()}/{name}"
+
+    def history(self) -> list[Commit]:
+        """All commits, also those whose runs are gone."""
+        return self.commits.all()
+
+    def available(self) -> list[Commit]:
+        """Commits whose tables can be read."""
+        return commits.available(self.commits, f"{self.location}/runs")
 
     def restart(self) -> None:
         """Empties all tables."""
-        with published(self.spark, self.location) as run:
+        with published(self.spark, self.location, kind="restart") as run:
             run.write_empty()
 
-    def table(self, name: str) -> DataFrame | None:
+    def table(self, name: str, at: int | None = None) -> DataFrame | None:
         """A stored table, or None for a name that is none."""
         if name not in TABLES:
             return None
-        return self.spark.read.schema(TABLES[name].schema).parquet(self._path(name))
+        return read_stored(self.spark, f"{self.run_path(at)}/{name}", TABLES[name], False)
 
-    def tables(self) -> dict[str, DataFrame]:
-        run = self._published()
-        return {name: self.spark.read.schema(t.schema).parquet(f"{run}/{name}") for name, t in TABLES.items()}
+    def tables(self, at: int | None = None, partitions: bool = False) -> dict[str, DataFrame]:
+        """With ``partitions`` facts have the year that they are stored by, so that conditions on it leave out files."""
+        run = self.run_path(at)
+        return {name: read_stored(self.spark, f"{run}/{name}", t, partitions) for name, t in TABLES.items()}
 
     def rejects(self, name: str) -> DataFrame:
         """Rows of the last load that were set aside: the row as JSON, and why."""
@@ -271,8 +330,24 @@ class Warehouse:
         return self.spark.read.schema(REJECTS).parquet(path)
 
     def log(self, name: str) -> DataFrame:
-        """A table beside the star schema."""
-        return self.spark.read.parquet(self._path(name))
+        """A table beside the star schema, of the last commit."""
+        return self.spark.read.parquet(log_path(self.location, name, self.commits.last().run))
+
+    def log_history(self, name: str) -> DataFrame | None:
+        """What all loads logged, also those whose tables are gone, with the ``commit`` of each; None if none did.
+
+        Only folders of committed runs are read, so a load that was broken off leaves no hits.
+        """
+        root = f"{self.location}/logs/{name}"
+        logged = set(children(self.spark, root))
+        of_run = {f"run={c.run}": c for c in self.commits.all() if f"run={c.run}" in logged}
+        if not of_run:
+            return None
+        paths = [f"{root}/{folder}" for folder in of_run]
+        rows = self.spark.read.option("basePath", root).parquet(*paths)
+        numbers = [(c.run, c.number) for c in of_run.values()]
+        known = self.spark.createDataFrame(numbers, "run string, commit int")
+        return rows.join(known, "run").drop("run")
 
     def load(self, frames: dict[str, DataFrame], on_violation: str = "quarantine") -> list[LoadResult]:
         """Replaces all seven tables at once.
@@ -283,27 +358,42 @@ class Warehouse:
         with published(self.spark, self.location, on_violation) as run:
             return run.load(frames, on_violation)
 
+    def clean(self, retention: Retention = Retention(), now: int | None = None) -> list[str]:
+        """Removes runs that ``retention`` does not keep; returns their names. Logs of committed runs stay."""
+        now = commits.file_system_now(self.spark, self.location) if now is None else now
+        committed = {c.run for c in self.history()}
+        gone = commits.removable(self.commits, f"{self.location}/runs", retention, now)
+        for run in gone:
+            discard(self.spark, self.location, run, logs=run not in committed)
+        return gone
+
 
 def begin(spark: SparkSession, location: str) -> Run:
-    """A new run; its name sorts after those before."""
-    return Run(spark, f"{location.rstrip('/')}/runs/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
+    return Run(spark, location, f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}")
 
 
 @contextmanager
-def published(spark: SparkSession, location: str, on_violation: str = "quarantine") -> Iterator[Run]:
+def published(
+    spark: SparkSession,
+    location: str,
+    on_violation: str = "quarantine",
+    kind: str = "load",
+    alone: bool = False,
+    retention: Retention | None = Retention(),
+) -> Iterator[Run]:
     """A run that counts if the block ends well and is removed if it does not.
 
-    Earlier runs go, but for the one before, which readers may still have open.
+    A clean-up by ``retention`` follows; None leaves everything. ``alone``: fail with
+    ``Superseded`` if another load was committed meanwhile; else the last to be committed is seen.
     """
     if on_violation not in ("quarantine", "fail"):
         raise ValueError(f"on_violation: {on_violation!r}")
     run = begin(spark, location)
     try:
         yield run
-        run.publish()
+        run.publish(kind, alone)
     except BaseException:
         run.discard()
         raise
-    folder = f"{location.rstrip('/')}/runs"
-    for old in sorted(children(spark, folder))[:-2]:
-        delete(spark, f"{folder}/{old}")
+    if retention:
+        Warehouse(spark, location).clean(retention)

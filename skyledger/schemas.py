@@ -46,17 +46,29 @@ ROW_KEY = "row_key"
 
 @dataclass(frozen=True)
 class Table:
-    """One warehouse table: columns in order, primary key, foreign keys."""
+    """One warehouse table: columns in order, primary key, foreign keys.
+
+    A fact is stored by the year of the calendar row that its column ``dated_by`` refers to.
+    """
 
     name: str
     schema: T.StructType
     primary_key: str | None = None
     foreign_keys: dict[str, str] = field(default_factory=dict)  # column -> dimension
+    dated_by: str | None = None
 
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
+    @property
+    def stored_schema(self) -> T.StructType:
+        """The declared columns, and that of the partitions where there are any."""
+        return T.StructType([*self.schema.fields, *[T.StructField(PARTITION, _I)] * bool(self.dated_by)])
+
+
+#: The column by whose values facts are partitioned.
+PARTITION = "year"
 
 _TABLES = (
     Table("days", _struct(("day_id", _S, False), ("day", _I, True), ("month_id", _S, True)), "day_id"),
@@ -77,6 +89,7 @@ _TABLES = (
             ("registration", _S, True), ("day_id", _S, True), ("fh", _DEC, True), ("tos", _I, True), ("sto", _I, True)
         ),
         foreign_keys={"registration": "aircrafts", "day_id": "days"},
+        dated_by="day_id",
     ),
     Table(
         "monthly_usage",
@@ -92,6 +105,7 @@ _TABLES = (
             ("adis", _DEC, True),
         ),
         foreign_keys={"registration": "aircrafts", "month_id": "months"},
+        dated_by="month_id",
     ),
     Table(
         "reportage_usage",
@@ -104,6 +118,7 @@ _TABLES = (
             ("pireps", _I, True),
         ),
         foreign_keys={"registration": "aircrafts", "month_id": "months", "reporteur_uid": "reporteurs"},
+        dated_by="month_id",
     ),
 )
 

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
 from contextlib import suppress
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,10 +33,86 @@ def children(spark: SparkSession, folder: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hadoop_path)] if fs.exists(hadoop_path) else []
 
 
-def create_empty(spark: SparkSession, path: str) -> None:
-    """An empty file, which is there or not on any store."""
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as a catalog needs it."""
     fs, hadoop_path = _hadoop(spark, path)
-    fs.create(hadoop_path, True).close()
+    return fs.makeQualified(hadoop_path).toString()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small ASCII file, written over one that is there."""
+    fs, hadoop_path = _hadoop(spark, path)
+    out = fs.create(hadoop_path, True)
+    try:
+        out.writeBytes(text)
+    finally:
+        out.close()
+
+
+def read_line(spark: SparkSession, path: str) -> str:
+    """The first line of a small ASCII file."""
+    fs, hadoop_path = _hadoop(spark, path)
+    stream = fs.open(hadoop_path)
+    try:
+        return stream.readLine() or ""
+    finally:
+        stream.close()
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file was last changed, in milliseconds of the file system's clock."""
+    fs, hadoop_path = _hadoop(spark, path)
+    return fs.getFileStatus(hadoop_path).getModificationTime()
+
+
+def last_change(spark: SparkSession, folder: str) -> int | None:
+    """When the newest file below a folder was changed; None if there is no file."""
+    fs, hadoop_path = _hadoop(spark, folder)
+    found, newest = fs.listFiles(hadoop_path, True), None
+    while found.hasNext():
+        newest = max(newest or 0, found.next().getModificationTime())
+    return newest
+
+
+def _link(spark: SparkSession, whole, target) -> bool:
+    """On a mounted file system: a second name, which fails if the name is taken."""
+    try:
+        os.link(whole.toUri().getPath(), target.toUri().getPath())
+    except FileExistsError:
+        return False
+    return True
+
+
+def _rename(spark: SparkSession, whole, target) -> bool:
+    """On HDFS and its like: a rename that does not overwrite."""
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    options = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(whole, target, options)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """A small file that is there whole or not at all. False, and nothing done, if one has the name already.
+
+    Of any number of writers of a name one succeeds: by a hard link on mounted file systems, by a
+    rename without overwriting elsewhere, which HDFS does at once. An object store whose
+    rename is a copy does not keep two writers apart who come at the same moment.
+    """
+    fs, target = _hadoop(spark, path)
+    target = fs.makeQualified(target)
+    part = f"{target.getParent()}/.{target.getName()}-{uuid.uuid4().hex}"
+    write_text(spark, part, text)
+    _, whole = _hadoop(spark, part)
+    try:
+        return (_link if fs.getUri().getScheme() == "file" else _rename)(spark, whole, target)
+    finally:
+        delete(spark, part)
 
 
 def first_existing(spark: SparkSession, folder: str, names: tuple[str, ...]) -> str:

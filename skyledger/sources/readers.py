@@ -118,35 +118,72 @@ class SourceConfig:
     maintenance: TableSource | JdbcSource
     reports: TableSource | JdbcSource
     lookup_folder: str  # holds the aircraft and the personnel file
+    #: Lines of the lookup files that are none: ``fail`` the read, or ``set_aside`` under their own name.
+    broken_lines: str = "fail"
+
+
+@dataclass(frozen=True)
+class LookupLines:
+    """A lookup file: its ``rows``, and the lines that are ``broken`` (file, line, reason)."""
+
+    rows: DataFrame
+    broken: DataFrame
+
+
+UNCLOSED, MISCOUNTED = "unclosed quote", "number of values"
+
+
+def _lookup_lines(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
+    """The columns under their new names, with the ``line`` they are from and the ``reason`` if it is broken.
+
+    A line is broken if a quote in it is not closed (quotes within quotes are doubled) or if it has
+    more or fewer values than the header.
+    """
+    header = spark.read.options(header="true", inferSchema="false", escape='"').csv(path).columns
+    missing = [c for c in columns if c not in header]
+    if missing:
+        raise ValueError(f"missing columns {missing} among {header} in {path}")
+    fields = [T.StructField(f"c{i}", T.StringType()) for i in range(len(header))]
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
+    schema = T.StructType([*fields, T.StructField("broken", T.StringType())]).simpleString()[7:-1].replace(":", " ")
+    parsed = F.from_csv("value", schema, options).alias("parsed")
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0).select(F.col("value").alias("line"), parsed)
+    value = {name: F.col(f"parsed.c{i}") for i, name in enumerate(header)}
+    names = F.lit(True)
+    for i, name in enumerate(header):
+        names = names & F.col(f"parsed.c{i}").eqNullSafe(F.lit(name))
+    reason = F.when(F.regexp_count("line", F.lit('"')) % 2 == 1, UNCLOSED).when(F.col("parsed.broken").isNotNull(), MISCOUNTED)
+    chosen = [F.coalesce(value[source], F.lit("")).alias(name) for source, name in columns.items()]
+    # Each file of a folder begins with the header.
+    return lines.where(~names).select(*chosen, "line", reason.alias("reason"))
+
+
+def read_lookup_lines(spark: SparkSession, path: str, columns: dict[str, str]) -> LookupLines:
+    """A lookup file: columns by header name, all text, blanks kept as ''; broken lines apart."""
+    found = _lookup_lines(spark, path, columns)
+    name = F.lit(path.rsplit("/", 1)[-1]).alias("file")
+    broken = found.where("reason is not null").select(name, "line", "reason")
+    return LookupLines(found.where("reason is null").select(*columns.values()), broken)
 
 
 def read_lookup_csv(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
-    """A lookup file: columns by header name, all text, blanks kept as ``''``."""
-    raw = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("sep", ",")
-        .option("encoding", "UTF-8")
-        .option("escape", '"')
-        .csv(path)
-    )
-    return raw.select(*[F.coalesce(F.col(f"`{source}`"), F.lit("")).alias(name) for source, name in columns.items()])
+    """The rows of a lookup file; a broken line fails the read."""
+    found = _lookup_lines(spark, path, columns)
+    failure = F.raise_error(F.concat(F.lit("malformed line, "), F.col("reason"), F.lit(": "), F.col("line")))
+    sound = F.when(F.col("reason").isNull(), True).otherwise(failure.cast("boolean"))
+    return found.where(sound).select(*columns.values())
+
+
+AIRCRAFT_COLUMNS = {"aircraft_reg_code": "registration", "aircraft_model": "model", "aircraft_manufacturer": "manufacturer"}
+PERSONNEL_COLUMNS = {"reporteurid": "reporteurid", "airport": "airport"}
 
 
 def read_aircrafts(spark: SparkSession, folder: str) -> DataFrame:
-    return read_lookup_csv(
-        spark,
-        first_existing(spark, folder, AIRCRAFT_FILES),
-        {"aircraft_reg_code": "registration", "aircraft_model": "model", "aircraft_manufacturer": "manufacturer"},
-    )
+    return read_lookup_csv(spark, first_existing(spark, folder, AIRCRAFT_FILES), AIRCRAFT_COLUMNS)
 
 
 def read_personnel(spark: SparkSession, folder: str) -> DataFrame:
-    return read_lookup_csv(
-        spark,
-        first_existing(spark, folder, (PERSONNEL_FILE,)),
-        {"reporteurid": "reporteurid", "airport": "airport"},
-    )
+    return read_lookup_csv(spark, first_existing(spark, folder, (PERSONNEL_FILE,)), PERSONNEL_COLUMNS)
 
 
 def project(df: DataFrame, schema: T.StructType, keep_key: bool = False) -> DataFrame:
@@ -162,10 +199,18 @@ def project(df: DataFrame, schema: T.StructType, keep_key: bool = False) -> Data
 
 
 def read_sources(spark: SparkSession, config: SourceConfig) -> dict[str, DataFrame]:
-    return {
+    """The five relations by name; with ``set_aside`` also ``broken_lines`` of the lookup files."""
+    found = {
         "flights": project(config.flights.load(spark, schemas.FLIGHTS), schemas.FLIGHTS, keep_key=True),
         "maintenance": project(config.maintenance.load(spark, schemas.MAINTENANCE), schemas.MAINTENANCE, keep_key=True),
         "reports": project(config.reports.load(spark, schemas.REPORTS), schemas.REPORTS),
-        "aircrafts": read_aircrafts(spark, config.lookup_folder),
-        "personnel": read_personnel(spark, config.lookup_folder),
     }
+    folder = config.lookup_folder
+    if config.broken_lines == "fail":
+        return found | {"aircrafts": read_aircrafts(spark, folder), "personnel": read_personnel(spark, folder)}
+    if config.broken_lines != "set_aside":
+        raise ValueError(f"broken_lines: {config.broken_lines!r}")
+    aircrafts = read_lookup_lines(spark, first_existing(spark, folder, AIRCRAFT_FILES), AIRCRAFT_COLUMNS)
+    personnel = read_lookup_lines(spark, first_existing(spark, folder, (PERSONNEL_FILE,)), PERSONNEL_COLUMNS)
+    broken = aircrafts.broken.unionByName(personnel.broken)
+    return found | {"aircrafts": aircrafts.rows, "personnel": personnel.rows, "broken_lines": broken}

@@ -3,12 +3,16 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from skyledger import fixtures
 from skyledger.operators import overlap, reports
+from skyledger.plans import kpis, violations
 from skyledger.plans import transform as tr
-from skyledger.plans import violations
+from skyledger.plans.etl import run_etl_on
+from skyledger.plans.warehouse import Warehouse
+from skyledger.schemas import TABLES
 
 SF = "/root/testdata/sf0.001"
 STAGED = ("kpi_", "pk_", "fk_", "reconcile_", "warehouse_", "logged_", "etl_", "op", "pipeline")
@@ -80,6 +84,37 @@ def test_no_forced_broadcast(spark):
         assert "strategy=broadcast" not in optimized(entry_module.queries()[name](spark, SF))
 
 
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    location = str(tmp_path_factory.mktemp("plans") / "w")
+    run_etl_on(spark, fixtures.sources(spark, SF), location, log_violations=False, database="plans_test")
+    return Warehouse(spark, location)
+
+
+def test_a_kpi_of_one_year_reads_its_partition(spark, stored):
+    for kpi in (kpis.query_utilization, kpis.query_reporting, kpis.query_reporting_per_role):
+        for tables in (stored.tables(partitions=True), {n: spark.table(f"plans_test.{n}") for n in TABLES}):
+            of_year = kpi(tables).where("year = 1995")
+            scans = [n for n in of_year._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters: [isnotnull(year" in n]
+            assert len(scans) == 2 and all(re.search(r"\(year#\d+L? = 1995\)", n) for n in scans)
+            whole = [tuple(r) for r in kpi(stored.tables()).collect() if r.year == 1995]
+            assert sorted(map(tuple, of_year.collect())) == sorted(whole) and whole
+
+
+def test_files_of_one_year_are_all_that_is_read(spark, stored):
+    fact = stored.tables(partitions=True)["daily_usage"]
+    files = {r[0] for r in fact.where("year = 1995").select(F.input_file_name()).distinct().collect()}
+    assert files and all("/year=1995/" in f for f in files)
+    assert len(files) <= 2  # a year is a few files, however many tasks there are
+
+
+def test_years_found_at_run_time_prune_too(spark, stored):
+    """A condition on the calendar, here on the month, leaves out the partitions of other years."""
+    tables = stored.tables(partitions=True)
+    tables["months"] = tables["months"].where("month_id like '1996%'")
+    assert "dynamicpruning" in plan(kpis.query_reporting(tables))
+
+
 def test_gathered_slots_are_bounded(spark, make):
     """Many events of one aircraft and day arrive as one row per distinct slot."""
     rows = [("A", "2024-01-05T00:00", "2024-01-05T00:00", f"2024-01-05T{h:02}:{m:02}", f"2024-01-05T{(h * 7 + m) % 24:02}:30", False)

@@ -123,3 +123,57 @@ def test_staging_writes_once_and_cleans_up(spark):
     assert df.count() == 5 and exists(spark, stage.folder)
     stage.close()
     assert not exists(spark, stage.folder)
+
+
+BROKEN = {
+    "XY-B": readers.MISCOUNTED,
+    "XY-C,1,m,Airbus,more": readers.MISCOUNTED,
+    'XY-D,1,m,"Airbus': readers.UNCLOSED,
+    'XY-E,1,"m,Airbus': readers.UNCLOSED,
+}
+SOUND = ['XY-F,1,"a ""quoted"" m",Airbus', "XY-G,,,", " XY-H ,1,m,B", '"XY,I",1,m,B']
+
+
+def aircraft_file(folder, lines):
+    header = AIRCRAFT_CSV.splitlines()[0]
+    (folder / readers.AIRCRAFT_FILES[0]).write_text("\n".join([header, *lines, "", "  "]))
+
+
+def test_broken_lookup_lines_are_set_aside(spark, lookups, tmp_path):
+    aircraft_file(lookups, [*SOUND, *BROKEN])
+    found = readers.read_lookup_lines(spark, str(lookups / readers.AIRCRAFT_FILES[0]), readers.AIRCRAFT_COLUMNS)
+    assert {r.line: r.reason for r in found.broken.collect()} == BROKEN
+    assert sorted(map(tuple, found.rows.collect())) == sorted(
+        [("XY-F", 'a "quoted" m', "Airbus"), ("XY-G", "", ""), (" XY-H ", "m", "B"), ("XY,I", "m", "B")]
+    )
+
+
+@pytest.mark.parametrize("line", BROKEN)
+def test_a_broken_lookup_line_fails_the_read(spark, lookups, line):
+    aircraft_file(lookups, [*SOUND, line])
+    with pytest.raises(Exception, match="malformed line"):
+        readers.read_aircrafts(spark, str(lookups)).collect()
+
+
+def test_a_lookup_without_a_column(spark, lookups):
+    (lookups / readers.AIRCRAFT_FILES[0]).write_text("aircraft_reg_code,aircraft_model\nXY-A,m\n")
+    with pytest.raises(ValueError, match="aircraft_manufacturer"):
+        readers.read_aircrafts(spark, str(lookups))
+
+
+def test_a_folder_of_lookup_files_has_a_header_in_each(spark, tmp_path):
+    folder = tmp_path / readers.PERSONNEL_FILE
+    spark.createDataFrame([(str(i), "CGN") for i in range(9)], "reporteurid string, airport string").repartition(4).write.csv(str(folder), header=True)
+    assert sorted(r.reporteurid for r in readers.read_personnel(spark, str(tmp_path)).collect()) == list("012345678")
+
+
+def test_broken_lines_option(spark, make, lookups, tmp_path):
+    aircraft_file(lookups, [*SOUND, *BROKEN])
+    for name, df in (("f", make.flights([])), ("m", make.maintenance([])), ("r", make.reports([]))):
+        df.write.parquet(str(tmp_path / name))
+    tables = [TableSource(str(tmp_path / n)) for n in "fmr"]
+    found = read_sources(spark, SourceConfig(*tables, str(lookups), "set_aside"))
+    assert found["broken_lines"].count() == 4 and found["aircrafts"].count() == 4 and found["personnel"].count() == 2
+    assert "broken_lines" not in read_sources(spark, SourceConfig(*tables, str(lookups)))
+    with pytest.raises(ValueError, match="broken_lines"):
+        read_sources(spark, SourceConfig(*tables, str(lookups), "ignore"))
