@@ -395,6 +395,13 @@ def _log_over_loads(spark: SparkSession, folder: str) -> DataFrame:
     return logged.groupBy("commit", "rule_id", "source").agg(F.sum("cases").cast("long").alias("cases"))
 
 
+def _stage_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows read, staged, written and set aside by a load, as it counted them."""
+    location = Staging(spark).folder
+    etl.run_etl_on(spark, fixtures.sources(spark, folder), location, log_violations=False)
+    return warehouse.Warehouse(spark, location).log("stage_counts")
+
+
 def _restarted(spark: SparkSession, folder: str) -> DataFrame:
     """Rows before and after a warehouse is emptied, and opened again."""
     location = Staging(spark).folder
@@ -488,6 +495,7 @@ def queries() -> dict[str, Query]:
         "warehouse_by_name": _reporting_by_name,
         "warehouse_one_year": _one_year,
         "warehouse_log_over_loads": _log_over_loads,
+        "warehouse_stage_counts": _stage_counts,
         "warehouse_restarted": _restarted,
         "warehouse_failed_load": _failed_load,
         "kpi_utilization_positions": _positions(kpis.query_utilization, "manufacturer", "year"),

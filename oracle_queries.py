@@ -395,6 +395,27 @@ def _over_loads() -> str:
     )
 
 
+def _stage_rows() -> str:
+    """Rows of each stage of a load; slots are whole hours of an aircraft and day, cancelled flights share one without hours."""
+    slots = (
+        "SELECT DISTINCT reg, CAST(sd AS DATE) AS d, CASE WHEN NOT gone THEN hour(ad) END AS s, CASE WHEN NOT gone THEN hour(aa) END AS e "
+        "FROM (SELECT reg, sd, ad, aa, cancelled OR ad IS NULL OR aa IS NULL AS gone FROM fx_flights "
+        "UNION ALL SELECT reg, sd, sd, sa, false FROM fx_maint)"
+    )
+    rows = {
+        ("read", "flights"): "fx_flights",
+        ("read", "maintenance"): "fx_maint",
+        ("read", "reports"): "fx_reports",
+        ("staged", "slots"): f"({slots})",
+        ("staged", "usage"): "(SELECT DISTINCT reg, CAST(sd AS DATE) FROM (SELECT reg, sd FROM fx_flights UNION ALL SELECT reg, sd FROM fx_maint))",
+        ("staged", "report_counts"): "(SELECT DISTINCT reg, year(rd), month(rd), rid FROM fx_reports)",
+    }
+    counted = [f"SELECT '{stage}' AS stage, '{name}' AS name, count(*) AS rows FROM {of}" for (stage, name), of in rows.items()]
+    counts = _load_counts("SELECT * FROM fx_aircraft")
+    counted += [f"SELECT '{stage}', table_name, {column} FROM ({counts})" for stage, column in (("written", "written"), ("set_aside", "rejected"))]
+    return f"SELECT *, rows AS observed FROM ({' UNION ALL '.join(counted)})"
+
+
 # Lines that are none, beside each sound one by its number: too short, too long, not closed.
 BROKEN_LINES = """
 aircraft_lines AS (
@@ -576,6 +597,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * FROM q_utilization WHERE year = (SELECT max(year) FROM t_months)", YEARLY
         ),
         "warehouse_log_over_loads": _ruled(_over_loads()),
+        "warehouse_stage_counts": _ruled(_stage_rows()),
         "warehouse_restarted": _ruled(
             f"SELECT table_name, written AS loaded, 0 AS rows FROM ({_load_counts('SELECT * FROM fx_aircraft')})"
         ),

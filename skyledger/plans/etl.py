@@ -11,6 +11,7 @@ from skyledger.operators import overlap, reports
 from skyledger.plans import transform as tr
 from skyledger.plans import violations
 from skyledger.plans.catalog import WarehouseCatalog
+from skyledger.plans.stage_counts import READ, STAGED, StageCounts
 from skyledger.plans.warehouse import LoadResult, Warehouse, published, together
 from skyledger.sources import SourceConfig, read_sources
 from skyledger.sources.paths import Staging
@@ -49,19 +50,25 @@ def run_etl_on(
 
     The events are reduced to decided slots once, for the tables and for the table
     ``rule_violations``, which reads the events themselves once more; ``log_violations``
-    leaves that table out. Lookup lines that were set aside become the table ``broken_lines``. If anything fails the warehouse stays as it was. ``database``: where
+    leaves that table out. Lookup lines that were set aside become the table ``broken_lines``;
+    ``stage_counts`` has the rows of each stage. If anything fails the warehouse stays as it was. ``database``: where
     the tables go by name; its names move once the load is committed.
     """
-    staging = Staging(spark)
+    staging, counts = Staging(spark), StageCounts()
     lookup, personnel = sources["aircrafts"], sources["personnel"]
+    read = {n: counts.observe(sources[n], READ, n) for n in ("flights", "maintenance", "reports")}
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        return staging(counts.observe(df, STAGED, name), name)
+
     try:
-        counting = lambda: staging(reports.count_reports(sources["reports"]), "report_counts")
+        counting = lambda: stage(reports.count_reports(read["reports"]), "report_counts")
         if apply_business_rules:
-            decided, report_counts = together([lambda: staging(tr.decided_slots(sources), "slots"), counting])
-            usage = staging(overlap.usage_by_day(decided), "usage")
+            decided, report_counts = together([lambda: stage(tr.decided_slots(read), "slots"), counting])
+            usage = stage(overlap.usage_by_day(decided), "usage")
         else:
             decided = None
-            usage, report_counts = together([lambda: staging(tr.usage(sources, False), "usage"), counting])
+            usage, report_counts = together([lambda: stage(tr.usage(read, False), "usage"), counting])
         grains = tr.Grains(usage, report_counts)
         with published(spark, location, on_violation) as run:
             jobs = [
@@ -77,6 +84,7 @@ def run_etl_on(
             if "broken_lines" in sources:
                 jobs.append(lambda: run.write_log(sources["broken_lines"], "broken_lines"))
             loaded, rows_read, *_ = together(jobs)
+            run.write_log(counts.table(spark, rows_read, loaded), "stage_counts")
             broken = run.log("broken_lines").count() if "broken_lines" in sources else 0
     finally:
         staging.close()

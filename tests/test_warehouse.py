@@ -141,3 +141,26 @@ def test_etl_round_trip(spark, tmp_path):
     summed = {r.rule_id: r.n for r in w.log("rule_summary").groupBy("rule_id")
               .agg({"hits": "sum"}).withColumnRenamed("sum(hits)", "n").collect()}
     assert logged == summed and logged["FOREIGN-AIRCRAFT"] > 0
+
+
+def stage_rows(w):
+    return {(r.stage, r.name): (r.rows, r.observed) for r in w.log("stage_counts").collect()}
+
+
+@pytest.mark.parametrize("rules", [True, False])
+def test_stage_counts(spark, tmp_path, rules):
+    sources = fixtures.sources(spark, SF)
+    report = run_etl_on(spark, sources, str(tmp_path / "w"), rules, log_violations=False)
+    rows = stage_rows(Warehouse(spark, str(tmp_path / "w")))
+    assert all(n == seen for n, seen in rows.values())
+    assert {n: rows["read", n][0] for n in report.rows_read} == report.rows_read == {n: sources[n].count() for n in report.rows_read}
+    assert {r.table: (rows["written", r.table][0], rows["set_aside", r.table][0]) for r in report.loaded} == {
+        r.table: (r.written, r.rejected) for r in report.loaded}
+    assert (("staged", "slots") in rows) == rules
+
+
+def test_stage_counts_without_rows(spark, make, tmp_path):
+    sources = {"flights": make.flights([]), "maintenance": make.maintenance([]), "reports": make.reports([]),
+               "aircrafts": make.aircrafts([]), "personnel": make.personnel([])}
+    run_etl_on(spark, sources, str(tmp_path / "w"))
+    assert {n for n, _ in stage_rows(Warehouse(spark, str(tmp_path / "w"))).values()} == {0}
