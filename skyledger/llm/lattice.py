@@ -32,8 +32,9 @@ MARK = "▁"
 TOGETHER, CELLS = 4096, 1 << 16
 #: Pseudo-tokens by which the vocabulary's own scores count.
 PRIOR = 10_000.0
-#: Words that occur most are looked up in the tasks; so many at most are sent to them.
-FREQUENT = 1 << 18
+#: Words that occur most are looked up in the tasks; so many at most are sent to them, of so many bytes in
+#: all, each word with its numbers, and none of more than so many bytes.
+FREQUENT, FREQUENT_BYTES, LONGEST = 1 << 18, 16 << 20, 1 << 10
 
 
 @dataclass
@@ -218,17 +219,22 @@ def _expected(counts: DataFrame, pieces: Pieces, stage: Staging) -> np.ndarray:
     return out
 
 
-def _frequent(table: DataFrame, most: int) -> DataFrame:
-    """The words that occur most: all whose count has at least so many binary digits that they are no more than ``most``."""
-    digits = F.length(F.bin("n"))
-    sizes = table.where("n > 0").groupBy(digits.alias("digits")).agg(F.count("*").alias("words")).collect()  # 64 rows at most
-    least, total = 65, 0
+def _frequent(table: DataFrame, most: int, most_bytes: int = FREQUENT_BYTES, longest: int = LONGEST) -> DataFrame:
+    """The words that occur most: all of up to ``longest`` bytes whose count has at least so many binary digits that
+    they are no more than ``most`` and with their numbers take no more than ``most_bytes``.
+
+    A text without white space is one long word; it stays with Spark, like all others that are left out here.
+    """
+    digits, size = F.length(F.bin("n")), F.octet_length("word")
+    short = table.where((F.col("n") > 0) & (size <= longest))
+    sizes = short.groupBy(digits.alias("digits")).agg(F.count("*").alias("words"), F.sum(size + 24).alias("bytes")).collect()  # 64 rows at most
+    least, words, taken = 65, 0, 0
     for row in sorted(sizes, key=lambda r: -r["digits"]):
-        total += row["words"]
-        if total > most:
+        words, taken = words + row["words"], taken + row["bytes"]
+        if words > most or taken > most_bytes:
             break
         least = row["digits"]
-    return table.where((F.col("n") > 0) & (digits >= least))
+    return short.where(digits >= least)
 
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -244,7 +250,7 @@ def score(df: DataFrame, held_out: Column, vocabulary_path: str, prior: float =
     its only token is the end. Null and repeated ids are kept, each row is scored. Other
     columns are ignored.
 
-    Words that are not among the ``frequent`` ones meet their counts in a join by word.
+    Words that are not among the ``frequent`` ones, and all long ones, meet their counts in a join by word.
     """
     spark = df.sparkSession
     stage = Staging(spark)
