@@ -114,21 +114,21 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in found}
 
 
-# Ties go to the smaller vec_id; a shorter vector has zeros at its end.
+# Ties go to the smaller vec_id; a shorter vector has zeros at its end. Rows that repeat a vec_id are told apart.
 TOP_K = """
-WITH usable AS (
-    SELECT vec_id, embedding FROM embeddings
+WITH usable AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, embedding FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), weights AS (
-    SELECT vec_id, unnest(range(len(embedding))) AS term, floor(256 * unnest(embedding)::DOUBLE)::BIGINT AS weight FROM usable
+    SELECT row, vec_id, unnest(range(len(embedding))) AS term, floor(256 * unnest(embedding)::DOUBLE)::BIGINT AS weight FROM usable
 ), scores AS (
-    SELECT q.vec_id AS query_id, c.vec_id, sum(q.weight * c.weight)::BIGINT AS score
-    FROM weights q JOIN weights c ON q.term = c.term AND q.vec_id <> c.vec_id
+    SELECT q.row AS query_row, q.vec_id AS query_id, c.row, c.vec_id, sum(q.weight * c.weight)::BIGINT AS score
+    FROM weights q JOIN weights c ON q.term = c.term AND q.row <> c.row
     WHERE q.vec_id % 50 = 0
     GROUP BY ALL
 ), ranked AS (
-    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores
+    SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """

@@ -220,4 +220,4 @@ def test_best_of_a_block_with_ties():
         scores, ids = rng.integers(-3, 4, 30), np.arange(30) * 2
         own = int(rng.integers(0, 60))
         expected = sorted((i for i in range(30) if ids[i] != own), key=lambda i: (-scores[i], ids[i]))[:5]
-        assert topk.best(scores, ids, own, 5).tolist() == expected
+        assert topk.best(scores, ids, ids, own, 5).tolist() == expected
