@@ -5,7 +5,8 @@ number of places, weighted by ``(1 + ln tf) * idf`` and scaled to length one. Th
 frequencies behind idf are counted over all training rows. The weights are fitted with
 follow-the-regularised-leader steps and an elastic-net penalty, so most are zero, on a
 sample of the training rows of a bounded size; a part of the sample that is not fitted on
-sets the temperature that calibrates the scores.
+sets the temperature that calibrates the scores. Only so many languages are learned, so that
+the model has a bounded size too.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: rows fitted and calibrated on, about, dealt evenly over the languages."""
+    """``sample``: rows fitted and calibrated on, about, dealt evenly over the languages. ``languages``: those with most
+    training rows, so many at most, are learned; a model takes ``places`` times as many numbers."""
 
+    languages: int = 200
     places: int = 1 << 16
     longest: int = 3
     sample: int = 4000
@@ -169,11 +172,16 @@ def _counted(rows: DataFrame, settings: Settings) -> np.ndarray:
 def train(df: DataFrame, usable: Column | None = None, key: str = "doc_id", settings: Settings = DEFAULT) -> Model:
     """Learns from ``text`` and ``lang`` of the rows that are ``usable`` and whose lang is not null.
 
-    ``key`` only picks the sample. Without such rows the model answers ``und`` to all.
+    ``key`` only picks the sample; where it is null or repeated the text tells rows apart, and equal
+    rows are drawn together. A null text is empty and has no features. Without rows of a language the
+    model answers ``und`` to all. The rows that calibrate are drawn from each language apart, and one row
+    of each is fitted in any case. Document frequencies count all of these rows, whatever their
+    language. Other columns are ignored.
     """
     rows = df.where(F.col("lang").isNotNull())
     rows = (rows if usable is None else rows.where(usable)).select(F.col(key).alias("key"), "text", "lang")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    most = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(settings.languages)
+    sizes = {r["lang"]: r["n"] for r in most.collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros(0), np.zeros((0, 0)), 1.0, settings)
@@ -203,9 +211,12 @@ def train(df: DataFrame, usable: Column | None = None, key: str = "doc_id", sett
         for places, counts in zip(table.column("places"), table.column("counts"), strict=True):
             places, counts = places.values.to_numpy().astype(np.int64), counts.values.to_numpy()
             rows.append((places, weighted(places, counts, idf)))
-        apart = table.column("apart").to_numpy(zero_copy_only=False)
+        apart = table.column("apart").to_numpy(zero_copy_only=False).copy()
+        for language in range(len(languages)):
+            own = order[labels[order] == language]
+            if len(own) and apart[own].all():
+                apart[own[0]] = False
         learn, calibrate = (order[apart[order] == x] for x in (False, True))
-        learn = learn if len(learn) else order
         weights = fit([rows[i] for i in learn], labels[learn], len(languages), settings)
         scores = [rows[i][1] @ weights[rows[i][0]] + weights[-1] for i in calibrate]
         t = temperature(np.array(scores).reshape(-1, len(languages)), labels[calibrate])
@@ -220,7 +231,12 @@ def train(df: DataFrame, usable: Column | None = None, key: str = "doc_id", sett
 
 
 def identify(df: DataFrame, model: Model, held_out: Column) -> DataFrame:
-    """doc_id, held_out, lang_pred, score for each row's whole ``text``; other columns are ignored."""
+    """doc_id, held_out, lang_pred, score for each row's whole ``text``.
+
+    A null text is empty; without a letter the language is ``und`` and the score 0. Null and repeated ids
+    are kept, equal texts are answered alike, and without rows the result is empty. Other columns are
+    ignored, whatever their names.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)  # places x languages numbers at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +253,10 @@ def identify(df: DataFrame, model: Model, held_out: Column) -> DataFrame:
 
 
 def accepted(df: DataFrame, model: Model, least: float) -> DataFrame:
-    """The rows, unchanged, whose text has a language of probability ``least`` or more."""
+    """The rows, with all their columns, whose text has a language of probability ``least`` or more.
+
+    Rows whose text is null or has no letter are not among them; rows that repeat stay or go together.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
