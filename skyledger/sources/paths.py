@@ -158,6 +158,11 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove(self, *names: str) -> None:
+        """Gives the room of results back that nothing will read any more."""
+        for name in names:
+            delete(self.spark, f"{self.folder}/{name}")
+
     def close(self) -> None:
         Staging._open.pop(self.folder, None)
         delete(self.spark, self.folder)

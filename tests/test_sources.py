@@ -121,6 +121,9 @@ def test_staging_writes_once_and_cleans_up(spark):
     assert stage.folder.startswith(spark.conf.get("spark.checkpoint.dir"))
     df = stage(spark.range(5), "numbers")
     assert df.count() == 5 and exists(spark, stage.folder)
+    stage(spark.range(1), "more")
+    stage.remove("more", "none of this name")
+    assert not exists(spark, f"{stage.folder}/more") and df.count() == 5
     stage.close()
     assert not exists(spark, stage.folder)
 
