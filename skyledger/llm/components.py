@@ -34,6 +34,8 @@ def components(edges: DataFrame, stage: Staging, name: str = "components") -> Da
         hop = hop.join(far, "to").select("id", "was", F.least("to", "far").alias("component"))
         hop = stage(hop, f"{name}-{number}")
         changed = hop.where("component <> was").limit(1).count()
+        stage.remove(f"{name}-{number - 1}")
         labels = hop.select("id", "component")
         if not changed:
+            stage.remove(f"{name}-edges")
             return labels

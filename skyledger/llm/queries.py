@@ -77,7 +77,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return setsketch.near_duplicates(texts.documents(spark, sf_dir), percent=75).rows
+    rows = setsketch.near_duplicates(texts.documents(spark, sf_dir), percent=75).rows
+    # Here kept is a matter of ids: rows that repeat the least id of a component are all kept.
+    return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("kept")))
 
 
 def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
