@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyledger.llm.spread import join_counted
 from skyledger.sources.paths import Staging
 
 #: Documents of a block, on average.
@@ -120,18 +121,29 @@ def _fly_and_land(table: pa.Table) -> pa.Table:
 
 
 def mix(
-    df: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, block: int = BLOCK, seed: int = 2
-) -> DataFrame:
+    df: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, block: int = BLOCK, seed: int = 2,
+    row: str | None = None,
+) -> DataFrame:
     """doc_id, size, source_size, target, taken, source, copies: how often each row of ``df`` is taken.
 
+    ``row``: a stored column with a number of its own for each row, which the result then has too.
+
     ``df`` has doc_id, source and size, a count of words (null: 0); other columns are
     ignored. Each row is a document, also if it repeats another: equal rows are alike, so
     which of them is taken more often does not matter. Rows of a null source are a source.
-    A source without words is not taken. The same input gives the same result.
+    A source without words is not taken. The same input gives the same result. Rows alike that
+    are more than a small share of a block are dealt to all blocks of their source.
     """
     stage = Staging(df.sparkSession)
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(F.col("size").cast("long"), F.lit(0)).alias("size"))
-    rows = stage(rows, "sizes")
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    size = F.coalesce(F.col("size").cast("long"), F.lit(0)).alias("size")
+    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size, number.cast("long").alias("row"))
+    rows = stage(rows.withColumn("alike", F.xxhash64("doc_id", "source", "size", F.lit(seed))), "sizes")
+    many = stage(rows.groupBy("alike").agg(F.count("*").alias("copies")).where(F.col("copies") > block // 100), "alike")
+    # Only where rows are alike in numbers does a draw depend on the row.
+    told_apart = F.when(F.col("copies").isNull(), F.col("alike")).otherwise(F.xxhash64("alike", "row"))
+    rows = rows.withColumn("draw", F.col("alike")) if many.isEmpty() else join_counted(rows, many, "alike", "copies", "left").withColumn("draw", told_apart)
+    rows = rows.withColumn("draw", F.pmod("draw", F.lit(1 << 52)) / float(1 << 52))
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
     sources = stage(sources, "sources")
     goals = targets(sources.select("source", "source_size"), weights, share, most)
@@ -141,20 +153,19 @@ def mix(
     rest = ratio - F.floor(ratio)
     decided = (rest < EXACT) | (rest > 1 - EXACT)
     flying = rows.join(goals, F.col("source").eqNullSafe(F.col("name"))).select(
-        "doc_id", "source", "size", "source_size", "target", "documents",
+        "doc_id", "source", "size", "row", "draw", "source_size", "target", "documents",
         F.when(decided, F.round(ratio)).otherwise(F.floor(ratio)).cast("long").alias("sure"),
         F.when(decided, 0.0).otherwise(rest).alias("chance"),
-        (F.pmod(F.xxhash64("doc_id", "source", "size", F.lit(seed)), F.lit(1 << 52)) / float(1 << 52)).alias("draw"),
         F.ceil(F.col("documents") / block).cast("long").alias("blocks"),
     )
-    done, number = [], 0
+    done, turn = [], 0
     undecided = (F.col("chance") > 0) & (F.col("chance") < 1)
     while True:
-        number += 1
-        dealt = flying.withColumn("block", F.pmod(F.xxhash64("draw", F.lit(number)), F.col("blocks")))
+        turn += 1
+        dealt = flying.withColumn("block", F.pmod(F.xxhash64("draw", F.lit(turn)), F.col("blocks")))
         several = dealt.where("blocks > 1").groupBy("source", "block").applyInArrow(_fly, dealt.schema)
         last = dealt.where("blocks <= 1").groupBy("source", "block").applyInArrow(_fly_and_land, dealt.schema)
-        flown = stage(several.unionByName(last), f"round-{number}")
+        flown = stage(several.unionByName(last), f"round-{turn}")
         done.append(flown.where(~undecided))
         flying = flown.where(undecided).drop("block")
         if flying.isEmpty():
@@ -164,4 +175,5 @@ def mix(
     for more in done[1:]:
         out = out.unionByName(more.select(*out.columns))
     copies = (F.col("sure") + F.col("chance")).cast("long")
-    return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), "source", copies.alias("copies"))
+    more = [] if row is None else [F.col("row").alias(row)]
+    return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), "source", copies.alias("copies"), *more)
