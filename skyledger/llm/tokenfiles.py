@@ -97,7 +97,7 @@ def write(df: DataFrame, folder: str, tokenizer: str, end_id: int | None = 0) ->
     """
     spark = df.sparkSession
     rows = df.select("doc_id", "text")
-    placed = blocks.in_blocks(rows, blocks.block_starts(rows)).select("block", "order_id", "text")
+    placed = blocks.in_blocks(rows, blocks.bounds(rows)).select("block", "order_id", "text")
     found = placed.mapInArrow(_writer(f"{folder}/files", tokenizer, end_id), WRITTEN).collect()  # a row for each block
     found.sort(key=lambda r: r["block"])
     base, manifest = 0, []

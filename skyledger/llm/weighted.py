@@ -149,5 +149,5 @@ def with_edits(df: DataFrame, samples: int = SAMPLES) -> DataFrame:
                 )
 
     rows = df.select("doc_id", "text")
-    placed = blocks.in_blocks(rows, blocks.block_starts(rows), heads=True)
+    placed = blocks.in_blocks(rows, blocks.bounds(rows), heads=True)
     return placed.select(placed.doc_id.cast("long").alias("doc_id"), "text", "head").mapInArrow(run, EDITED)
