@@ -14,13 +14,13 @@ often as their Jaccard similarity.
    company over all buckets. Pairs whose likelihood estimate from registers and set sizes is
    far below the threshold are left out; all others are confirmed on their full sets.
 4. The members of all buckets with the same centre are a cluster. Where a cluster's members do
-   not all hang together yet, they are open. Two similar sets share a shingle among the rarest of
-   each, and early enough that what follows it in both can still make them similar; open
-   members that are joined by such shingles are a group, in which each meets the others once.
-   Pages of one template share buckets but few of their rarest shingles, so most are alone.
-5. In a group the members apart from its largest component are compared with all members of
-   other components, by estimate and then full sets, in blocks of bounded size; a block returns
-   only links that join components.
+   not all hang together yet, those apart from its largest component are compared with all
+   members of other components, by estimate and then full sets, in blocks of bounded size; a
+   block returns only links that join components.
+5. In a cluster of more than a block that would be the square of its size. There members are
+   compared in groups instead: two similar sets share a shingle that is rare in both, so early
+   that what follows it in both can still make them similar, and members joined by such
+   shingles are a group. Pages of one template share buckets but no such shingle.
 
 So members that hang together by way of their centre are not compared with one another, no
 pairs of a group are listed, and no link between different components is left out.
@@ -247,98 +247,70 @@ def _with_centres(close: DataFrame, members: DataFrame, percent: int, width: int
     return ones.groupBy("one", "one_salt").cogroup(others.groupBy("a", "salt")).applyInArrow(compare, "a long, b long")
 
 
-#: Places of the table of approximate frequencies, by the highest bits of a shingle's hash.
-FREQUENCY_BITS = 18
-
-
-def _frequencies(members: DataFrame, width: int) -> np.ndarray:
-    """How many members have a shingle of each place, as binary logarithm. One number for each place reaches the driver."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << FREQUENCY_BITS, dtype=np.int64)
-        for batch in batches:
-            for part in texts.sliced(batch):
-                for s in shingle_sets(part.column("text"), width):
-                    np.add.at(total, s >> np.uint64(64 - FREQUENCY_BITS), 1)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["place", "n"])
-
-    found = members.select("text").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << FREQUENCY_BITS, dtype=np.uint8)
-    out[found.column("place").to_numpy()] = np.log2(found.column("n").to_numpy() + 1.0).astype(np.uint8)
-    return out
-
-
-def rarest(members: np.ndarray, frequencies: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles of a set of which a similar set shares one, and the size up to which it can be similar by it.
+def _groups(open_members: DataFrame, sketch: Sketch, percent: int, stage: Staging) -> DataFrame:
+    """(id, grouped): members (id, n_shingles, text) by the least id they are joined with by rare shingles; those alone
+    are left out.
 
-    Shingles are in one order for all sets, rare ones first. If the first one that two sets share
-    is at place i of n, they share n - i at most.
+    Shingles are in one order for all sets, by the number of members that have them. If the first
+    that two sets share is at place i of the n of one, they have n - i in common at most, which
+    tells the greatest size of the other. Shingles of one member only come first and join nothing.
     """
-    n = len(members)
-    needed = -(-percent * n // 100)
-    order = np.lexsort((members, frequencies[members >> np.uint64(64 - FREQUENCY_BITS)]))[: n - needed + 1]
-    most = (n - np.arange(len(order))) * (100 + percent) // percent - n
-    early = most >= needed
-    return members[order[early]], most[early]
-
-
-def _groups(open_members: DataFrame, sketch: Sketch, percent: int, stage: Staging) -> DataFrame:
-    """(id, grouped): open members by the least id they are joined with by rare shingles; those alone are left out."""
-    frequencies = open_members.sparkSession.sparkContext.broadcast(_frequencies(open_members, sketch.width))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in texts.sliced(batch):
-                found = [rarest(s, frequencies.value, percent) for s in shingle_sets(part.column("text"), sketch.width)]
-                sizes = [len(s) for s, _ in found]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([np.empty(0, np.uint64), *[s for s, _ in found]]).view(np.int64)),
-                        pa.array(np.concatenate([np.empty(0, np.int64), *[m for _, m in found]])),
-                        pa.array(np.repeat(part.column("id").to_numpy(), sizes)),
-                        pa.array(np.repeat(part.column("n_shingles").to_numpy(), sizes)),
-                    ],
-                    names=["shingle", "most", "id", "n"],
-                )
-
-    held = stage(open_members.select("id", "n_shingles", "text").mapInArrow(run, "shingle long, most long, id long, n long"), "rarest")
-    # Twice: a member that no other of a shingle is small enough for may itself have been the small one of others.
-    for turn in ("shared-1", "shared-2"):
-        shared = held.groupBy("shingle").agg(F.count("*").alias("members"), F.min("n").alias("least"), F.min("id").alias("first"))
-        shared = stage(shared.where("members > 1"), turn)
-        met = join_counted(held.select("shingle", "most", "id", "n"), shared, "shingle", "members").where("most >= least")
-        held = stage(met, f"{turn}-members")
-    edges = held.where("first <> id").select(F.col("first").alias("a"), F.col("id").alias("b"))
-    found = components(edges, stage, "groups").withColumnRenamed("component", "grouped")
-    stage.remove("rarest", "shared-1", "shared-2", "shared-1-members", "shared-2-members")
-    return found
+                sets = shingle_sets(part.column("text"), sketch.width)
+                sizes = [len(s) for s in sets]
+                columns = [np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)]
+                columns += [np.repeat(part.column(c).to_numpy(), sizes) for c in ("id", "n_shingles")]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shingle", "id", "n"])
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        shared = rows.groupBy("shingle").agg(F.count("*").alias("members"), F.min("n").alias("least"), F.min("id").alias("first"))
+        return join_counted(rows, stage(shared.where("members > 1"), name), "shingle", "members")
+
+    every = stage(open_members.select("id", "n_shingles", "text").mapInArrow(run, "shingle long, id long, n long"), "shingles")
+    # A set's shingles are one list at a time, as long as its text.
+    ordered = counted(every, "shared-1").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("members", "shingle", "least"))).alias("shared"))
+    placed = ordered.select("id", "n", F.size("shared").alias("size"), F.posexplode("shared").alias("at", "one"))
+    left = F.col("size") - F.col("at")  # of the set from here on
+    most = F.floor(left * (100 + percent) / F.lit(percent)) - F.col("n")
+    early = placed.select("id", "n", F.col("one.shingle").alias("shingle"), F.col("one.least").alias("smallest"), most.alias("most"))
+    early = early.where((F.col("most") >= F.col("smallest")) & (100 * F.col("most") >= percent * F.col("n")))
+    # Again among those that are early: the smallest set of a shingle may itself have it too late.
+    again = counted(stage(early.select("id", "n", "shingle", "most"), "early"), "shared-2").where("most >= least and first <> id")
+    found = components(again.select(F.col("first").alias("a"), F.col("id").alias("b")), stage, "groups")
+    stage.remove("shingles", "shared-1", "early", "shared-2")
+    return found.withColumnRenamed("component", "grouped")
 
 
 def _among_members(clusters: DataFrame, members: DataFrame, sketch: Sketch, percent: int, stage: Staging) -> DataFrame:
     """Links (a, b) that join different components within a cluster: rows (centre, id, component).
 
-    Members of a group that are apart from its main component are dealt to blocks, all
-    members to other blocks, and each of the former meets each of the latter once.
+    Members apart from the largest component, of a cluster or a group of a large one, are dealt
+    to blocks, all members to other blocks, and each of the former meets each of the latter once.
     """
     least = percent / 100 - sketch.margin
     held = clusters.groupBy("centre").agg(F.min("component").alias("one"), F.max("component").alias("other"), F.count("*").alias("members"))
     held = stage(held.where("one <> other").select("centre", "members"), "open-clusters")
-    several = stage(join_counted(clusters, held, "centre", "members").select("id", "component").distinct(), "open")
-    open_members = stage(members.join(several, "id"), "open-members")
-    grouped = stage(open_members.select("id", "component").join(_groups(open_members, sketch, percent, stage), "id"), "open-groups")
-    parts = grouped.groupBy("grouped", "component").agg(F.count("*").alias("n"))
-    sizes = parts.groupBy("grouped").agg(F.count("*").alias("parts"), F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("main"))
+    rows = stage(join_counted(clusters, held, "centre", "members"), "open")
+    together = rows.where(F.col("members") <= ALL).select((2 * F.col("centre")).alias("centre"), "id", "component")
+    if not held.where(F.col("members") > ALL).isEmpty():
+        large = stage(rows.where(F.col("members") > ALL).select("id", "component").distinct(), "large")
+        grouped = _groups(members.join(large, "id"), sketch, percent, stage)
+        grouped = large.join(grouped, "id").select((2 * F.col("grouped") + 1).alias("centre"), "id", "component")
+        together = stage(together.unionByName(grouped), "open-groups")
+    parts = together.groupBy("centre", "component").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("centre").agg(F.count("*").alias("parts"), F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("main"))
     sizes = sizes.where("parts > 1").select(
-        "grouped",
+        "centre",
         "members",
         F.col("main.component").alias("main"),
         F.ceil((F.col("members") - F.col("main.n")) / APART).cast("int").alias("apart_blocks"),
         F.ceil(F.col("members") / ALL).cast("int").alias("all_blocks"),
     )
-    rows = join_counted(grouped, stage(sizes, "group-sizes"), "grouped", "members").withColumn("apart", F.col("component") != F.col("main"))
-    rows = rows.drop("component").withColumnRenamed("grouped", "centre")
-    rows = rows.join(open_members.select("id", "component", "n_shingles", "registers", "text"), "id")
+    rows = join_counted(together, stage(sizes, "group-sizes"), "centre", "members").withColumn("apart", F.col("component") != F.col("main"))
+    rows = rows.join(members.select("id", "n_shingles", "registers", "text"), "id")
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
     columns = ["id", "component", "n_shingles", "registers", "text"]
     apart = rows.where("apart").withColumn("i", F.pmod(F.hash("id"), "apart_blocks")).withColumn("j", every("all_blocks"))
@@ -450,7 +422,7 @@ def near_duplicates(df: DataFrame, percent: int = 75, sketch: Sketch = DEFAULT,
     component = components(first, stage, "components-centres")
     named = clusters.join(component, "id", "left").select("centre", "id", F.coalesce("component", "id").alias("component"))
     second = stage(_among_members(stage(named, "named"), members, sketch, percent, stage), "links-members")
-    stage.remove("buckets", "close", "load", "members", "named", "open", "open-members", "open-groups", "group-sizes", "open-clusters")
+    stage.remove("buckets", "close", "load", "members", "named", "open", "large", "open-groups", "group-sizes", "open-clusters")
     links = first.unionByName(second)
     component = components(links, stage, "components")
 
