@@ -20,10 +20,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import blocks, langid, mixing, packing, queries, secrets, setsketch, texts
+from skyledger.llm import langid, mixing, packing, queries, secrets, setsketch, texts
 from skyledger.sources.paths import Staging
 
 #: A language less probable than this is none.
@@ -34,15 +34,14 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accepted(docs, langid.train(docs), LEAST_PROBABLE)
 
 
-def _numbered(rows: DataFrame, order: list) -> DataFrame:
-    """With ``llm_id``, the id (null: the least number), and ``llm_number`` (from 1) among the rows of an id."""
-    rows = rows.withColumn("llm_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(blocks.LEAST)))
-    return rows.withColumn("llm_number", F.row_number().over(Window.partitionBy("llm_id").orderBy(*order)))
+def _with_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """With ``llm_row``, a stored number of its own for each row, whatever its id."""
+    return Staging(spark)(docs.withColumn("llm_row", F.monotonically_increasing_id()), "rows")
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row stays or goes by its own text, with or without an id; of the rows that repeat an id one stays at most."""
-    rows = Staging(spark)(docs.withColumn("llm_row", F.monotonically_increasing_id()), "rows")
+    rows = _with_rows(spark, docs)
     kept = setsketch.near_duplicates(rows, percent=75, row="llm_row", one_per_id=True).kept
     return rows.join(kept.withColumnRenamed("row", "llm_row"), "llm_row", "left_semi").select(*docs.columns)
 
@@ -52,13 +51,11 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat an id get the copies of that id's rows in the order of source and size."""
-    size = texts.word_count(F.col("text"))
-    rows = docs.select("doc_id", "source", size.alias("size"))
-    order = [F.col("source"), F.col("size"), F.col("copies")]
-    taken = _numbered(mixing.mix(rows), order).select("llm_id", "llm_number", F.col("copies").cast("int").alias("llm_copies"))
-    numbered = _numbered(docs.withColumn("llm_size", size), [F.col("source"), F.col("llm_size"), F.col("text")])
-    joined = numbered.join(taken.where("llm_copies > 0"), ["llm_id", "llm_number"])
+    """Rows are taken by their own numbers, also where they repeat an id or have none."""
+    rows = _with_rows(spark, docs)
+    sized = rows.select("doc_id", "source", texts.word_count(F.col("text")).alias("size"), "llm_row")
+    taken = mixing.mix(sized, row="llm_row").where("copies > 0").select("llm_row", F.col("copies").cast("int").alias("llm_copies"))
+    joined = rows.join(taken.hint("merge"), "llm_row")  # as many as the documents: not broadcast at any size
     return joined.withColumn("llm_copy", F.explode(F.sequence(F.lit(1), F.col("llm_copies")))).select(*docs.columns)
 
 
