@@ -34,12 +34,14 @@ class WarehouseCatalog:
         """Full names of the tables of one commit."""
         return {t: f"{self.database}.{t}_c{commit}" for t in TABLES}
 
+    def _place(self, path: str) -> str:
+        return "'" + qualified(self.spark, path).replace("'", "\\'") + "'"
+
     def _create(self, table: Table, commit: int, path: str) -> None:
         name = self.names(commit)[table.name]
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.stored_schema.fields)
         parted = f"PARTITIONED BY ({PARTITION})" if table.dated_by else ""
-        location = qualified(self.spark, path).replace("'", "\\'")
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {parted} LOCATION '{location}'")
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {parted} LOCATION {self._place(path)}")
         # Without this setting partitions are found in the folder, else they are those the catalog knows.
         if table.dated_by and self.spark.conf.get("spark.sql.hive.manageFilesourcePartitions", "true") == "true":
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
@@ -49,7 +51,8 @@ class WarehouseCatalog:
 
         Whoever is late moves the names to what is last then, never back. Repeating it does no harm.
         """
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        beside = self._place(f"{self.warehouse.location}/catalog")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION {beside}")
         done = None
         while (last := self.warehouse.commits.last()).number != done:
             run = self.warehouse.run_path(last.number)
