@@ -28,7 +28,7 @@ SAMPLES = 64
 DRAWN, SAMPLED = 4096, 1 << 15
 #: The sample of a text without words.
 NOTHING = np.uint32(0xFFFFFFFF)
-SLICE = 6 << 20
+SLICE = 4 << 20
 
 
 def _scores(hashes: np.ndarray, weights: np.ndarray, samples: int) -> np.ndarray:
@@ -126,15 +126,18 @@ def with_edits(df: DataFrame, samples: int = SAMPLES) -> DataFrame:
                 if heads.any():  # of the rows that start the next block the first is the one that follows
                     part, ended = part.slice(0, int(heads.argmax()) + 1), True
                 column = texts.filled(part.column("text"))
-                own, strings, ids = fingerprints(column, samples), column.to_pylist(), part.column("doc_id").to_pylist()
+                strings, ids = column.to_pylist(), part.column("doc_id").to_pylist()
                 if held is not None:
                     ids, strings = [held[0], *ids], [held[1], *strings]
+                changed = [edited(a, b) for a, b in zip(strings[:-1], strings[1:], strict=True)]
+                # Together, as most terms of an edited text have the weights they have in the text.
+                both = fingerprints(pa.concat_arrays([column, pa.array(changed, column.type)]), samples)
+                own, theirs = both[: len(column)], both[len(column) :]
+                if held is not None:
                     own = np.concatenate([held[2], own])
                 held = (ids[-1], strings[-1], own[-1:])
                 if len(ids) == 1:
                     continue
-                changed = [edited(a, b) for a, b in zip(strings[:-1], strings[1:], strict=True)]
-                theirs = fingerprints(pa.array(changed, pa.string()), samples)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[:-1], pa.int64()),
