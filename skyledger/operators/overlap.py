@@ -149,6 +149,29 @@ def distinct_slots(events: DataFrame) -> DataFrame:
     )
 
 
+def _taken(firsts: Column, none: Column) -> Column:
+    """The accepted ones of an array of first events, in order.
+
+    Most aircraft and days have one or two slots: those are decided by plain expressions, which are
+    compiled; a fold is interpreted, event by event.
+    """
+    fold = F.aggregate(
+        F.array_sort(F.filter(firsts, lambda event: event.isNotNull())),
+        none,
+        lambda taken, event: F.when(overlaps_any(event, taken), taken).otherwise(F.array_append(taken, event)),
+    )
+    one, two = F.get(firsts, F.lit(0)), F.get(firsts, F.lit(1))
+    former, latter = F.least(one, two), F.greatest(one, two)
+    apart = F.when(
+        slots_overlap(former["start_hour"], former["end_hour"], latter["start_hour"], latter["end_hour"]), F.array(former)
+    ).otherwise(F.array(former, latter))
+    return (
+        F.when((F.size(firsts) == 1) & one.isNotNull(), F.array(one))
+        .when((F.size(firsts) == 2) & one.isNotNull() & two.isNotNull(), apart)
+        .otherwise(fold)
+    )
+
+
 def decided_slots(events: DataFrame) -> DataFrame:
     """The greedy fold: each distinct slot with ``accepted`` and with ``taken``,
     the first events of all accepted slots of its aircraft and day.
@@ -171,14 +194,8 @@ def decided_slots(events: DataFrame) -> DataFrame:
     )
     firsts = F.col("slots.first")
     first_type = grouped.select(firsts.alias("f")).schema["f"].dataType
-
-    taken = F.aggregate(
-        F.array_sort(F.filter(firsts, lambda event: event.isNotNull())),
-        F.array().cast(first_type),
-        lambda taken, event: F.when(overlaps_any(event, taken), taken).otherwise(F.array_append(taken, event)),
-    )
     return (
-        grouped.withColumn("taken", taken)
+        grouped.withColumn("taken", _taken(firsts, F.array().cast(first_type)))
         .select("registration", "month", "day", "taken", F.explode("slots").alias("slot"))
         .withColumn("accepted", F.array_contains("taken", F.col("slot.first")))
     )

@@ -83,18 +83,22 @@ class Checked:
 
 
 def _fitted(df: DataFrame, table: Table, keep: Sequence[str] = ()) -> DataFrame:
-    """Columns with declared types; values that do not fit become a reason."""
+    """Columns with declared types; values that do not fit become a reason.
+
+    Reasons are gathered only for a row that has one: that is interpreted, and nearly all rows have none.
+    """
     fields = table.schema.fields
     fitted = {f.name: f"try_cast({f.name} as {f.dataType.simpleString()})" for f in fields}
-    misfit = ", ".join(
-        f"if({f.name} is not null and {fitted[f.name]} is null, 'out_of_range:{f.name}', null)"
-        for f in fields
-        if not isinstance(f.dataType, T.StringType)
-    )
+    misfits = {
+        f.name: f"({f.name} is not null and {fitted[f.name]} is null)" for f in fields if not isinstance(f.dataType, T.StringType)
+    }
+    found = ", ".join(f"if({misfit}, 'out_of_range:{name}', null)" for name, misfit in misfits.items())
+    none = "cast(array() as array<string>)"
+    reasons = f"if({' or '.join(misfits.values()) or 'false'}, cast(array_compact(array({found})) as array<string>), {none})"
     return df.selectExpr(
         *[f"{value} as {name}" for name, value in fitted.items()],
         *keep,
-        f"cast(array_compact(array({misfit})) as array<string>) as {REASONS}",
+        f"{reasons} as {REASONS}",
         f"struct({', '.join(table.columns)}) as {AS_GIVEN}",
     )
 

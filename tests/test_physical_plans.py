@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_module
 from skyledger import fixtures
 from skyledger.operators import overlap, reports
-from skyledger.plans import kpis, violations
+from skyledger.plans import kpis, violations, warehouse
 from skyledger.plans import transform as tr
 from skyledger.plans.etl import run_etl_on
 from skyledger.plans.warehouse import Warehouse
@@ -121,3 +121,26 @@ def test_gathered_slots_are_bounded(spark, make):
             for h in range(24) for m in range(60)] * 5
     events = overlap.activity_events(make.flights(rows), make.maintenance([]))
     assert overlap.distinct_slots(events).count() <= 24 * 24
+
+
+def test_reasons_are_gathered_only_for_rows_that_have_one(spark):
+    text = optimized(warehouse._fitted(spark.range(1).selectExpr("'A' registration", "'1' day_id", "id fh", "id tos", "id sto"), TABLES["daily_usage"]))
+    assert "if (" in text.lower() and text.index("if (") < text.index("filter(")
+
+
+def test_days_of_one_or_two_slots_are_decided_without_a_fold(spark, make):
+    flights = make.flights([
+        ("A", "2024-01-05T00:00", "2024-01-05T00:00", "2024-01-05T08:00", "2024-01-05T10:00", False),
+        ("B", "2024-01-05T00:00", "2024-01-05T00:00", "2024-01-05T09:30", "2024-01-05T12:00", False),
+        ("B", "2024-01-05T00:00", "2024-01-05T00:00", "2024-01-05T08:00", "2024-01-05T10:00", False),
+        ("C", "2024-01-05T00:00", "2024-01-05T00:00", "2024-01-05T12:00", "2024-01-05T13:00", False),
+        ("C", "2024-01-05T00:00", "2024-01-05T00:00", "2024-01-05T08:00", "2024-01-05T10:00", False),
+        ("D", "2024-01-05T00:00", "2024-01-05T00:00", None, None, None),
+        ("E", "2024-01-05T00:00", "2024-01-05T00:00", None, None, None),
+        ("E", "2024-01-05T00:00", "2024-01-05T00:00", "2024-01-05T12:00", "2024-01-05T13:00", False),
+    ])
+    decided = overlap.decided_slots(overlap.activity_events(flights, make.maintenance([])))
+    text = optimized(decided)
+    assert text.index("CASE WHEN ((size(") < text.index("aggregate(")
+    taken = {r.registration: [e.start_hour for e in r.taken] for r in decided.collect()}
+    assert taken == {"A": [8], "B": [8], "C": [8, 12], "D": [], "E": [12]}
