@@ -49,17 +49,18 @@ def _on_sources(fn: Callable[[Sources], DataFrame]) -> Query:
 
 
 def _on_tables(
-    fn: Callable[[Sources, dict[str, DataFrame]], DataFrame], rules: bool = True, reported: bool = True
+    fn: Callable[[Sources, dict[str, DataFrame]], DataFrame], rules: bool = True, reported: bool = True, roles: bool = True
 ) -> Query:
     """The star schema from staged frames, for queries over several tables.
 
-    Without ``reported`` there are no reports in it, for queries that read none.
+    Without ``reported`` there are no reports in it, for queries that read none; without ``roles`` no table
+    ``reporteurs``, for queries that count reports and do not ask who reported.
     """
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         sources, stage = fixtures.sources(spark, folder), Staging(spark)
         if reported:
-            grains = tr.grains(sources, rules, stage)
+            grains = tr.grains(sources, rules, stage, roles)
         else:
             none = reports.count_reports(sources["reports"]).where(F.lit(False))
             grains = tr.Grains(stage(tr.usage(sources, rules), "usage_by_day"), none)
@@ -430,7 +431,7 @@ def _positions(kpi: Callable[[dict[str, DataFrame]], DataFrame], *keys: str) ->
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         sources = fixtures.sources(spark, folder)
-        grains = tr.grains(sources, True, Staging(spark))
+        grains = tr.grains(sources, True, Staging(spark), roles=False)
         found = kpi(tr.tables(grains, sources["aircrafts"], sources["personnel"]))
         return with_position(found, [F.col(k).asc_nulls_last() for k in keys], Staging(spark))
 
@@ -450,7 +451,7 @@ _RAW = {
 
 def _reconcile(kpi: Callable, raw_name: str, measures: list[str], keys: list[str] | None = None) -> Query:
     raw, names = _RAW[raw_name]
-    return _on_tables(lambda s, tables: reconcile(kpi(tables), raw(*[s[n] for n in names]), measures, keys))
+    return _on_tables(lambda s, tables: reconcile(kpi(tables), raw(*[s[n] for n in names]), measures, keys), roles=False)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -502,8 +503,8 @@ def queries() -> dict[str, Query]:
         "kpi_reporting_per_role_positions": _positions(kpis.query_reporting_per_role, "manufacturer", "year", "role"),
         "kpi_utilization": _on_tables(lambda s, tables: kpis.query_utilization(tables), reported=False),
         "kpi_utilization_norules": _on_tables(lambda s, tables: kpis.query_utilization(tables), rules=False, reported=False),
-        "kpi_reporting": _on_tables(lambda s, tables: kpis.query_reporting(tables)),
-        "kpi_reporting_per_role": _on_tables(lambda s, tables: kpis.query_reporting_per_role(tables)),
+        "kpi_reporting": _on_tables(lambda s, tables: kpis.query_reporting(tables), roles=False),
+        "kpi_reporting_per_role": _on_tables(lambda s, tables: kpis.query_reporting_per_role(tables), roles=False),
         **{name: _raw(fn, *names) for name, (fn, names) in _RAW.items()},
         "reconcile_utilization": _reconcile(kpis.query_utilization, "raw_utilization", UTILIZATION),
         "reconcile_reporting": _reconcile(kpis.query_reporting, "raw_reporting", REPORTING),

@@ -9,20 +9,38 @@ from skyledger.functions import predicates as P
 from skyledger.functions import temporal as t
 
 
-def count_reports(reports: DataFrame) -> DataFrame:
+def count_reports(reports: DataFrame, roles: bool = True) -> DataFrame:
     """Reports per aircraft, month and reporter, combined before the shuffle.
 
     ``last`` is the latest (date, class): the reporter's role follows from it. Reports are
     counted per class first, with the latest date of each, which hashes; only these few
-    rows are compared as (date, class).
+    rows are compared as (date, class). They are placed by the final key before that, as at most one
+    row per class shares it: so they are sorted once, and not on both sides of a shuffle.
+    Without ``roles`` there is no ``last``, and one aggregate that hashes gives the counts.
     """
     keys = ["registration", "month", "reporteur_uid"]
-    per_class = reports.groupBy(
-        F.col("aircraftregistration").alias("registration"),
-        t.calendar_month(F.col("reportingdate")).alias("month"),
-        P.reporter_key(F.col("reporteurid")).alias("reporteur_uid"),
-        "reporteurclass",
-    ).agg(F.count("*").alias("n"), F.max("reportingdate").alias("reportingdate"))
+    if not roles:
+        return reports.groupBy(
+            F.col("aircraftregistration").alias("registration"),
+            t.calendar_month(F.col("reportingdate")).alias("month"),
+            P.reporter_key(F.col("reporteurid")).alias("reporteur_uid"),
+        ).agg(
+            F.count("*").alias("reps"),
+            F.count_if(P.is_marep(F.col("reporteurclass"))).alias("mareps"),
+            F.count_if(P.is_pirep(F.col("reporteurclass"))).alias("pireps"),
+        )
+    per_class = (
+        reports.groupBy(
+            F.col("aircraftregistration").alias("registration"),
+            t.calendar_month(F.col("reportingdate")).alias("month"),
+            "reporteurid",
+            "reporteurclass",
+        )
+        .agg(F.count("*").alias("n"), F.max("reportingdate").alias("reportingdate"))
+        .withColumn("reporteur_uid", P.reporter_key(F.col("reporteurid")))
+        .drop("reporteurid")
+        .repartition(*keys)
+    )
     of_class = lambda is_class: F.sum(F.when(is_class(F.col("reporteurclass")), F.col("n")).otherwise(0))
     return per_class.groupBy(*keys).agg(
         F.sum("n").alias("reps"),
@@ -56,8 +74,15 @@ def of_foreign_aircraft(df: DataFrame, aircrafts: DataFrame, registration: str =
 
 
 def reporter_roles(kept: DataFrame) -> DataFrame:
-    """Role of a reporter: class of the last report, the greater class on a tie."""
-    return kept.groupBy("reporteur_uid").agg(F.max("last")["reporteurclass"].alias("role"))
+    """Role of a reporter: class of the last report, the greater class on a tie.
+
+    The latest date of each class hashes; only one row per reporter and class is compared.
+    """
+    per_class = kept.groupBy("reporteur_uid", F.col("last.reporteurclass").alias("reporteurclass")).agg(
+        F.max("last.reportingdate").alias("reportingdate")
+    )
+    last = F.max(F.struct("reportingdate", "reporteurclass"))
+    return per_class.groupBy("reporteur_uid").agg(last["reporteurclass"].alias("role"))
 
 
 def reporters(personnel: DataFrame, kept: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from skyledger.functions import numeric as n
 from skyledger.functions import temporal as t
 from skyledger.operators import overlap, reports
-from skyledger.plans.warehouse import unique
+from skyledger.plans.warehouse import together, unique
 from skyledger.schemas import TABLES
 
 # 365.25 / 12 days, in seconds: an average month, exactly.
@@ -105,23 +105,30 @@ class Grains:
     report_counts: DataFrame  # per aircraft, month and reporter, foreign aircraft included
 
 
-def grains(sources: dict[str, DataFrame], apply_business_rules: bool = True, stage: Stage | None = None) -> Grains:
-    """``stage`` stores both frames, so that the sources are read once."""
+def grains(
+    sources: dict[str, DataFrame], apply_business_rules: bool = True, stage: Stage | None = None, roles: bool = True
+) -> Grains:
+    """``stage`` stores both frames, so that the sources are read once. Without ``roles`` the counts do not carry
+    the latest class, and the table ``reporteurs`` cannot be derived."""
     stage = stage or (lambda df, name: df)
-    return Grains(
-        stage(usage(sources, apply_business_rules), "usage_by_day"),
-        stage(reports.count_reports(sources["reports"]), "report_counts"),
-    )
+    staged = together([
+        lambda: stage(usage(sources, apply_business_rules), "usage_by_day"),
+        lambda: stage(reports.count_reports(sources["reports"], roles), "report_counts"),
+    ])
+    return Grains(*staged)
 
 
 def rows_to_load(grains: Grains, lookup: DataFrame, personnel: DataFrame) -> dict[str, DataFrame]:
-    """The seven tables in load order, with all rows that share a key: the load chooses among them."""
+    """The seven tables in load order, with all rows that share a key: the load chooses among them.
+
+    Without ``reporteurs`` where the counts carry no roles.
+    """
     kept = reports.of_known_aircraft(grains.report_counts, lookup)
     return {
         "days": days(grains.usage),
         "months": months(grains.usage, kept),
         "aircrafts": aircrafts(lookup),
-        "reporteurs": reports.reporters(personnel, kept),
+        **({"reporteurs": reports.reporters(personnel, kept)} if "last" in kept.columns else {}),
         "daily_usage": daily_usage(grains.usage),
         "monthly_usage": monthly_usage(grains.usage),
         "reportage_usage": reportage_usage(kept),
@@ -131,7 +138,7 @@ def rows_to_load(grains: Grains, lookup: DataFrame, personnel: DataFrame) -> dic
 def tables(grains: Grains, lookup: DataFrame, personnel: DataFrame) -> dict[str, DataFrame]:
     """The seven tables in load order, as a load stores them: one row for each key of a dimension."""
     found = rows_to_load(grains, lookup, personnel)
-    for name in ("aircrafts", "reporteurs"):
+    for name in found.keys() & {"aircrafts", "reporteurs"}:
         found[name] = unique(found[name], TABLES[name].primary_key)
     return found
 

@@ -144,3 +144,33 @@ def test_days_of_one_or_two_slots_are_decided_without_a_fold(spark, make):
     assert text.index("CASE WHEN ((size(") < text.index("aggregate(")
     taken = {r.registration: [e.start_hour for e in r.taken] for r in decided.collect()}
     assert taken == {"A": [8], "B": [8], "C": [8, 12], "D": [], "E": [12]}
+
+
+def test_reports_are_sorted_once(spark):
+    """The rows per class are placed by the final key: no aggregate that sorts feeds a shuffle. Counts without roles hash."""
+    counts = reports.count_reports(fixtures.sources(spark, SF)["reports"])
+    assert "SortAggregate" not in plan(counts)[plan(counts).index("Exchange hashpartitioning") :]
+    assert "SortAggregate" not in plan(reports.count_reports(fixtures.sources(spark, SF)["reports"], roles=False))
+
+
+def test_kpis_of_reports_stage_counts_without_roles(spark, monkeypatch):
+    staged = {}
+
+    class Seen(entry_module.Staging):
+        def __call__(self, df, name):
+            staged[name] = df.columns
+            return super().__call__(df, name)
+
+    monkeypatch.setattr(entry_module, "Staging", Seen)
+    for name in ("kpi_reporting", "reconcile_reporting"):
+        staged.clear()
+        entry_module.queries()[name](spark, SF)
+        assert "last" not in staged["report_counts"] and "reps" in staged["report_counts"]
+
+
+def test_reporter_roles_hash_before_the_shuffle(spark):
+    """Only one row per reporter and class is compared, not every count."""
+    counts = reports.count_reports(fixtures.sources(spark, SF)["reports"])
+    text = plan(reports.reporter_roles(counts))
+    latest = text.index("HashAggregate(keys=[reporteur_uid")
+    assert text.index("SortAggregate(key=[reporteur_uid") < latest < text.index("SortAggregate(key=[registration")
