@@ -256,9 +256,6 @@ def _as_files(spark: SparkSession, folder: str) -> SourceConfig:
     sources = fixtures.sources(spark, folder)
     at = Staging(spark).folder
     mixed = sources["flights"].select(F.lit("x").alias("remark"), *reversed(sources["flights"].columns))
-    mixed.write.csv(f"{at}/flights", header=True)
-    sources["maintenance"].write.json(f"{at}/maintenance")
-    sources["reports"].write.parquet(f"{at}/reports")
     lookups = f"{at}/lookups"
     aircrafts = sources["aircrafts"].select(
         F.col("registration").alias("aircraft_reg_code"),
@@ -267,8 +264,13 @@ def _as_files(spark: SparkSession, folder: str) -> SourceConfig:
         F.col("manufacturer").alias("aircraft_manufacturer"),
     )
     kept_blanks = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    aircrafts.write.csv(f"{lookups}/{readers.AIRCRAFT_FILES[1]}", **kept_blanks)
-    sources["personnel"].write.csv(f"{lookups}/{readers.PERSONNEL_FILE}", **kept_blanks)
+    warehouse.together([
+        lambda: mixed.write.csv(f"{at}/flights", header=True),
+        lambda: sources["maintenance"].write.json(f"{at}/maintenance"),
+        lambda: sources["reports"].write.parquet(f"{at}/reports"),
+        lambda: aircrafts.write.csv(f"{lookups}/{readers.AIRCRAFT_FILES[1]}", **kept_blanks),
+        lambda: sources["personnel"].write.csv(f"{lookups}/{readers.PERSONNEL_FILE}", **kept_blanks),
+    ])
     return SourceConfig(
         TableSource(f"{at}/flights", "csv"),
         TableSource(f"{at}/maintenance", "json", row_key=True),

@@ -174,3 +174,16 @@ def test_reporter_roles_hash_before_the_shuffle(spark):
     text = plan(reports.reporter_roles(counts))
     latest = text.index("HashAggregate(keys=[reporteur_uid")
     assert text.index("SortAggregate(key=[reporteur_uid") < latest < text.index("SortAggregate(key=[registration")
+
+
+def test_source_files_are_written_side_by_side(spark, monkeypatch):
+    sizes, together = [], warehouse.together
+
+    def seen(jobs):
+        jobs = list(jobs)
+        sizes.append(len(jobs))
+        return together(jobs)
+
+    monkeypatch.setattr(warehouse, "together", seen)
+    entry_module._as_files(spark, SF)
+    assert sizes == [5]
