@@ -291,3 +291,22 @@ def event_decisions(events: DataFrame, keyed: bool, decided: DataFrame | None =
             F.transform(before, lambda s: F.struct(s["start_hour"], s["end_hour"])).alias("existing_slots"),
         )
     )
+
+
+def shared_slots(decided: DataFrame) -> DataFrame:
+    """The decided slots that more than one event has, as a rule a small part."""
+    return decided.where("slot.first is not null and slot.flights + slot.services > 1")
+
+
+def lone_events(decided: DataFrame, keyed: bool) -> DataFrame:
+    """The rows of ``event_decisions`` for all other slots: their one event is at hand, so no event is read again."""
+    order = KEYED_ORDER if keyed else EVENT
+    only = lambda event: F.struct(*[event[c].alias(c) for c in order])
+    before = F.filter(F.transform("taken", only), lambda s: s < only(F.col("slot.first")))
+    return decided.where("slot.first is not null and slot.flights + slot.services = 1").select(
+        *GROUP,
+        *[F.col(f"slot.first.{c}").alias(c) for c in EVENT],
+        F.lit(1).cast("long").alias("events"),
+        F.col("accepted").cast("long").alias("accepted"),
+        F.transform(before, lambda s: F.struct(s["start_hour"], s["end_hour"])).alias("existing_slots"),
+    )

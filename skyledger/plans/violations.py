@@ -22,10 +22,13 @@ def _source():
     )
 
 
+def _keyed(sources: dict[str, DataFrame]) -> bool:
+    return all(schemas.ROW_KEY in sources[name].columns for name in ("flights", "maintenance"))
+
+
 def event_decisions(sources: dict[str, DataFrame], decided: DataFrame | None = None) -> DataFrame:
-    flights, maintenance = sources["flights"], sources["maintenance"]
-    keyed = schemas.ROW_KEY in flights.columns and schemas.ROW_KEY in maintenance.columns
-    return overlap.event_decisions(overlap.activity_events(flights, maintenance), keyed, decided)
+    events = overlap.activity_events(sources["flights"], sources["maintenance"])
+    return overlap.event_decisions(events, _keyed(sources), decided)
 
 
 def foreign_report_cases(sources: dict[str, DataFrame]) -> DataFrame:
@@ -42,13 +45,17 @@ def foreign_report_cases(sources: dict[str, DataFrame]) -> DataFrame:
 
 
 def rule_violations(
-    sources: dict[str, DataFrame], apply_business_rules: bool = True, decided: DataFrame | None = None
+    sources: dict[str, DataFrame],
+    apply_business_rules: bool = True,
+    decided: DataFrame | None = None,
+    shared: DataFrame | None = None,
 ) -> DataFrame:
     """Every hit of a rule, with the slots already taken for BR-21.
 
     ``cases`` counts events alike in every column; it is 1 where the sources
     carry a unique row key, and for reports. With the rules off only reports on
-    foreign aircraft are left. ``decided``: the decided slots, if they are at hand.
+    foreign aircraft are left. ``decided``: the decided slots, if they are at hand, and ``shared``
+    those of them with more than one event: only these meet the events again.
     """
     foreign = foreign_report_cases(sources)
     if not apply_business_rules:
@@ -58,7 +65,12 @@ def rule_violations(
         F.lit(rule).alias("rule_id"), taken.alias("existing_slots"), cases.cast("long").alias("cases")
     )
     rejected, swapped = F.col("accepted") < F.col("events"), _is_swapped()
-    events = event_decisions(sources, decided).where(rejected | swapped)
+    hit_by_one = lambda events: events.where(rejected | swapped)
+    if decided is None:
+        events = hit_by_one(event_decisions(sources))
+    else:
+        again = event_decisions(sources, overlap.shared_slots(decided) if shared is None else shared)
+        events = hit_by_one(overlap.lone_events(decided, _keyed(sources))).unionByName(hit_by_one(again))
     hits = F.array_compact(
         F.array(
             F.when(rejected, hit(OVERLAP, F.col("existing_slots").cast(f"array<{_SLOT}>"), F.col("events") - F.col("accepted"))),

@@ -183,3 +183,22 @@ def test_accepted_slots_never_overlap(make):
     for slots in taken.values():
         for i, a in enumerate(slots):
             assert not any(a[0] < b[1] and b[0] < a[1] for b in slots[i + 1:])
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+def test_rule_hits_of_slots_at_hand(make, keyed):
+    """A slot of one event gives its hits without the events; the others meet them again. The hits are the same."""
+    flights, services = random_events(random.Random(11), 900, 30, 0.1)
+    flights += [("S", "2024-01-05T00:00", "2024-01-05T00:00", "2024-01-05T12:00", "2024-01-05T10:00", False)] * 2
+    flights += [("T", None, None, "2024-01-05T12:00", "2024-01-05T10:00", False), (None, *flights[-1][1:])]
+    services += [("T", None, None, True), ("U", "2024-01-05T12:00", None, True)]
+    sources = {
+        "flights": make.flights(flights, keyed), "maintenance": make.maintenance(services, keyed),
+        "reports": make.reports([]), "aircrafts": make.aircrafts([]),
+    }
+    decided = tr.decided_slots(sources)
+    found = [sorted(map(repr, violations.rule_violations(sources, True, *slots).collect())) for slots in ((), (decided,))]
+    assert found[0] == found[1] and len(found[0]) > 100
+    lone, shared = o.lone_events(decided, keyed), o.shared_slots(decided)
+    assert 0 < shared.count() and 0 < lone.count() and lone.count() + shared.count() == decided.where("slot.first is not null").count()
+    assert "Join" not in lone._jdf.queryExecution().executedPlan().toString()
