@@ -50,6 +50,42 @@ def count_reports(reports: DataFrame, roles: bool = True) -> DataFrame:
     )
 
 
+def count_reports_by_date(reports: DataFrame) -> DataFrame:
+    """The counts of ``count_reports`` with the latest date of pilot, maintenance and unclassed reports each.
+
+    One aggregate that hashes, before and after its shuffle: classes are text and would be sorted. With
+    ``other_classes`` reporters' roles follow from it.
+    """
+    group, date = F.col("reporteurclass"), F.col("reportingdate")
+    return reports.groupBy(
+        F.col("aircraftregistration").alias("registration"),
+        t.calendar_month(date).alias("month"),
+        P.reporter_key(F.col("reporteurid")).alias("reporteur_uid"),
+    ).agg(
+        F.count("*").alias("reps"),
+        F.count_if(P.is_marep(group)).alias("mareps"),
+        F.count_if(P.is_pirep(group)).alias("pireps"),
+        F.count_if(group.isNull()).alias("unclassed"),
+        F.max(F.when(P.is_marep(group), date)).alias("last_marep"),
+        F.max(F.when(P.is_pirep(group), date)).alias("last_pirep"),
+        F.max(F.when(group.isNull(), date)).alias("last_unclassed"),
+    )
+
+
+def other_classes(reports: DataFrame) -> DataFrame:
+    """The latest date per aircraft, reporter and class, of reports of all other classes."""
+    group = F.col("reporteurclass")
+    return (
+        reports.where(group.isNotNull() & ~P.is_marep(group) & ~P.is_pirep(group))
+        .groupBy(
+            F.col("aircraftregistration").alias("registration"),
+            P.reporter_key(F.col("reporteurid")).alias("reporteur_uid"),
+            "reporteurclass",
+        )
+        .agg(F.max("reportingdate").alias("reportingdate"))
+    )
+
+
 def _known(aircrafts: DataFrame) -> DataFrame:
     return aircrafts.where("registration is not null").select("registration")
 
@@ -73,24 +109,43 @@ def of_foreign_aircraft(df: DataFrame, aircrafts: DataFrame, registration: str =
     return df.join(known, same, "left_anti")
 
 
-def reporter_roles(kept: DataFrame) -> DataFrame:
+def _latest_by_class(kept: DataFrame, others: DataFrame) -> DataFrame:
+    """One row per reporter and class, from counts by date and the other classes."""
+    classes = {"marep": P.MAREP, "pirep": P.PIREP, "unclassed": None}
+    counted = {"marep": "mareps", "pirep": "pireps", "unclassed": "unclassed"}
+    seen = lambda n: F.when(
+        F.col(counted[n]) > 0,
+        F.struct(F.lit(classes[n]).cast("string").alias("reporteurclass"), F.col(f"last_{n}").alias("reportingdate")),
+    )
+    per_reporter = kept.groupBy("reporteur_uid").agg(
+        *[F.sum(counted[n]).alias(counted[n]) for n in classes], *[F.max(f"last_{n}").alias(f"last_{n}") for n in classes]
+    )
+    of_others = others.groupBy("reporteur_uid", "reporteurclass").agg(F.max("reportingdate").alias("reportingdate"))
+    return per_reporter.select("reporteur_uid", F.inline(F.array_compact(F.array(*map(seen, classes))))).unionByName(of_others)
+
+
+def reporter_roles(kept: DataFrame, others: DataFrame | None = None) -> DataFrame:
     """Role of a reporter: class of the last report, the greater class on a tie.
 
     The latest date of each class hashes; only one row per reporter and class is compared.
+    ``others`` go with counts by date.
     """
-    per_class = kept.groupBy("reporteur_uid", F.col("last.reporteurclass").alias("reporteurclass")).agg(
-        F.max("last.reportingdate").alias("reportingdate")
-    )
+    if others is not None:
+        per_class = _latest_by_class(kept, others)
+    else:
+        per_class = kept.groupBy("reporteur_uid", F.col("last.reporteurclass").alias("reporteurclass")).agg(
+            F.max("last.reportingdate").alias("reportingdate")
+        )
     last = F.max(F.struct("reportingdate", "reporteurclass"))
     return per_class.groupBy("reporteur_uid").agg(last["reporteurclass"].alias("role"))
 
 
-def reporters(personnel: DataFrame, kept: DataFrame) -> DataFrame:
+def reporters(personnel: DataFrame, kept: DataFrame, others: DataFrame | None = None) -> DataFrame:
     """Personnel file merged with the reporters seen in kept reports."""
     listed = personnel.select(_trimmed(F.col("reporteurid")).alias("reporteur_uid"), "airport")
     return (
         listed.dropDuplicates()
-        .join(reporter_roles(kept), "reporteur_uid", "full_outer")
+        .join(reporter_roles(kept, others), "reporteur_uid", "full_outer")
         .select("reporteur_uid", "airport", "role")
     )
 

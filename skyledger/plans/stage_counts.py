@@ -27,6 +27,14 @@ class StageCounts:
     def __init__(self) -> None:
         self._observed: dict[tuple[str, str], Observation] = {}
 
+    @classmethod
+    def joined(cls, *parts: StageCounts) -> StageCounts:
+        """The counts of frames that were counted apart."""
+        out = cls()
+        for part in parts:
+            out._observed |= part._observed
+        return out
+
     def observe(self, df: DataFrame, stage: str, name: str) -> DataFrame:
         """The same rows, which are counted when they are next computed."""
         counting = self._observed[stage, name] = Observation()

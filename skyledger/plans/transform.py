@@ -99,23 +99,27 @@ def aircrafts(lookup: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Grains:
-    """The two frames everything else is derived from."""
+    """The frames everything else is derived from."""
 
     usage: DataFrame  # per aircraft and day
     report_counts: DataFrame  # per aircraft, month and reporter, foreign aircraft included
+    other_classes: DataFrame | None = None  # per aircraft, reporter and class, where counts have the dates of the named ones
 
 
 def grains(
     sources: dict[str, DataFrame], apply_business_rules: bool = True, stage: Stage | None = None, roles: bool = True
 ) -> Grains:
-    """``stage`` stores both frames, so that the sources are read once. Without ``roles`` the counts do not carry
-    the latest class, and the table ``reporteurs`` cannot be derived."""
+    """``stage`` stores the frames, so that they are computed once. Without ``roles`` the counts do not carry
+    the latest date of each class, and the table ``reporteurs`` cannot be derived."""
     stage = stage or (lambda df, name: df)
-    staged = together([
-        lambda: stage(usage(sources, apply_business_rules), "usage_by_day"),
-        lambda: stage(reports.count_reports(sources["reports"], roles), "report_counts"),
-    ])
-    return Grains(*staged)
+    reported = sources["reports"]
+    jobs = [lambda: stage(usage(sources, apply_business_rules), "usage_by_day")]
+    if roles:
+        jobs.append(lambda: stage(reports.count_reports_by_date(reported), "report_counts"))
+        jobs.append(lambda: stage(reports.other_classes(reported), "other_classes"))
+    else:
+        jobs.append(lambda: stage(reports.count_reports(reported, roles), "report_counts"))
+    return Grains(*together(jobs))
 
 
 def rows_to_load(grains: Grains, lookup: DataFrame, personnel: DataFrame) -> dict[str, DataFrame]:
@@ -124,11 +128,12 @@ def rows_to_load(grains: Grains, lookup: DataFrame, personnel: DataFrame) -> dic
     Without ``reporteurs`` where the counts carry no roles.
     """
     kept = reports.of_known_aircraft(grains.report_counts, lookup)
+    others = None if grains.other_classes is None else reports.of_known_aircraft(grains.other_classes, lookup)
     return {
         "days": days(grains.usage),
         "months": months(grains.usage, kept),
         "aircrafts": aircrafts(lookup),
-        **({"reporteurs": reports.reporters(personnel, kept)} if "last" in kept.columns else {}),
+        **({"reporteurs": reports.reporters(personnel, kept, others)} if others is not None or "last" in kept.columns else {}),
         "daily_usage": daily_usage(grains.usage),
         "monthly_usage": monthly_usage(grains.usage),
         "reportage_usage": reportage_usage(kept),

@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -156,3 +157,26 @@ def test_last_report_wins_and_ties_go_to_the_greater_class(make):
         ("A", "2024-03-01", 2, "MAREP"), ("B", "2024-03-01", 2, "PIREP"),
     ]))
     assert rows(reports.reporter_roles(counts), "reporteur_uid", "role") == [("1", "MAREP"), ("2", "PIREP")]
+
+
+def test_roles_from_dates_equal_roles_from_the_latest_class(make):
+    rng = random.Random(3)
+    classes, dates = ["MAREP", "PIREP", None, "CABIN", "ATC"], [None, "2024-01-05", "2024-01-06", "2024-02-05"]
+    given = make.reports(
+        [(rng.choice(["A", "B", "F", None]), rng.choice(dates), rng.choice([None, *range(40)]), rng.choice(classes)) for _ in range(160)]
+        + [("A", None, 50, "MAREP"), ("A", None, 51, None), ("A", None, 52, "CABIN"), ("F", "2024-01-05", 53, "CABIN")]
+    )
+    lookup = make.aircrafts([("A", "A350", "Airbus"), ("B", "737", "Boeing")])
+    known = lambda df: reports.of_known_aircraft(df, lookup)
+    counts, by_date = reports.count_reports(given), reports.count_reports_by_date(given)
+    keys = ("registration", "month", "reporteur_uid", "reps", "mareps", "pireps")
+    assert rows(counts, *keys) == rows(by_date, *keys)
+    expected = rows(reports.reporter_roles(known(counts)), "reporteur_uid", "role")
+    assert rows(reports.reporter_roles(known(by_date), known(reports.other_classes(given))), "reporteur_uid", "role") == expected
+    assert ("52", "CABIN") in expected and ("51", None) in expected and "53" not in dict(expected)
+
+
+def test_what_a_load_stages_of_reports_is_not_sorted(make, sources):
+    grains = tr.grains(sources)
+    for df in (grains.report_counts, grains.other_classes):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
