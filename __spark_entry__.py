@@ -389,9 +389,11 @@ def _one_year(spark: SparkSession, folder: str) -> DataFrame:
 
 def _log_over_loads(spark: SparkSession, folder: str) -> DataFrame:
     """Cases by load, of three loads of which the second applies no rules; the tables of the first are gone."""
-    location = Staging(spark).folder
+    location, sources = Staging(spark).folder, fixtures.sources(spark, folder)
+    reduction = etl.Reduction(spark, sources)
     for rules in (True, False, True):
-        etl.run_etl_on(spark, fixtures.sources(spark, folder), location, rules)
+        etl.run_etl_on(spark, sources, location, rules, reduction=reduction)
+    reduction.close()
     stored = warehouse.Warehouse(spark, location)
     stored.clean(Retention(commits=2, replaced=timedelta(0)))
     logged = stored.log_history("rule_violations")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import as_dicts
 from skyledger import fixtures
-from skyledger.plans import kpis
+from skyledger.plans import etl, kpis
 from skyledger.plans.etl import run_etl_on
 from skyledger.plans.transform import transform
 from skyledger.plans.warehouse import ConstraintViolation, Warehouse, begin, primary_key_summary
@@ -164,3 +164,45 @@ def test_stage_counts_without_rows(spark, make, tmp_path):
                "aircrafts": make.aircrafts([]), "personnel": make.personnel([])}
     run_etl_on(spark, sources, str(tmp_path / "w"))
     assert {n for n, _ in stage_rows(Warehouse(spark, str(tmp_path / "w"))).values()} == {0}
+
+
+def test_loads_of_the_same_sources_share_what_is_staged(spark, tmp_path, monkeypatch):
+    """The reports are counted once for all loads, the slots once for those with the rules; what is logged is the same."""
+    staged = []
+
+    class Seen(etl.Staging):
+        def __call__(self, df, name):
+            staged.append(name)
+            return super().__call__(df, name)
+
+    monkeypatch.setattr(etl, "Staging", Seen)
+    sources = fixtures.sources(spark, SF)
+    reduction = etl.Reduction(spark, sources)
+    logs = {}
+    for rules in (True, False, True):
+        for at, shared in ((f"{tmp_path}/shared", reduction), (f"{tmp_path}/alone", None)):
+            run_etl_on(spark, sources, at, rules, reduction=shared)
+            found = [Warehouse(spark, at).log(n) for n in ("rule_violations", "stage_counts")]
+            logs.setdefault(rules, []).append([sorted(map(repr, df.collect())) for df in found])
+    reduction.close()
+    assert all(seen == of[0] for of in logs.values() for seen in of)
+    # Alone: three loads that count reports, two that decide slots. Shared: one each.
+    assert staged.count("report_counts") == 4 and sum(n.startswith("slots") for n in staged) == 3
+
+
+def test_a_load_without_the_log_stores_no_slots(spark, tmp_path, monkeypatch):
+    staged = []
+
+    class Seen(etl.Staging):
+        def __call__(self, df, name):
+            staged.append(name)
+            return super().__call__(df, name)
+
+    monkeypatch.setattr(etl, "Staging", Seen)
+    counted = []
+    for log in (True, False):
+        staged.clear()
+        run_etl_on(spark, fixtures.sources(spark, SF), str(tmp_path / f"w{log}"), log_violations=log)
+        assert any(n.startswith("slots") for n in staged) == log
+        counted.append(sorted(map(repr, Warehouse(spark, str(tmp_path / f"w{log}")).log("stage_counts").collect())))
+    assert counted[0] == counted[1]
